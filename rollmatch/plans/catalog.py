@@ -36,6 +36,7 @@ from rollmatch.plans.consolidate import consolidate_fixture
 from rollmatch.plans.reconcile import Reconciliation, reconcile
 from rollmatch.schema import INTAKE_NAMES, MEAL, STUDENT
 from rollmatch.sources import fixtures
+from rollmatch.sources.snapshot import snapshot_path, write_snapshot
 
 S, P = STUDENT, MEAL
 
@@ -49,21 +50,45 @@ HEAD_TAIL_ROWS = 6
 ORACLE_TRANSPOSITIONS = "floor"
 
 
+_PLANS: dict = {}
+
+
+def _memo(spark: SparkSession, key: tuple, build):
+    """Lazy plans are immutable: build each once per session and data folder."""
+    k = (spark.sparkContext.applicationId, id(spark)) + key
+    if k not in _PLANS:
+        _PLANS[k] = build()
+    return _PLANS[k]
+
+
+def raw_rosters(spark: SparkSession, sf_dir: str):
+    """Intake: derive both rosters from the tables once, snapshot them as Parquet in the
+    shared checkpoint folder (as the original intake saves its batches), read them back."""
+    def build():
+        files = spark.sparkContext.defaultParallelism
+        s_raw = write_snapshot(fixtures.student_roster(spark, sf_dir),
+                               snapshot_path(spark, sf_dir, "s_raw"), files)
+        p_raw = write_snapshot(fixtures.meal_roster(spark, sf_dir),
+                               snapshot_path(spark, sf_dir, "p_raw"), files)
+        return s_raw, p_raw, prepare_dimension(fixtures.district_dimension(spark, sf_dir))
+    return _memo(spark, ("raw", sf_dir), build)
+
+
 def rec(spark: SparkSession, sf_dir: str, policy: str = "name_dob", **options) -> Reconciliation:
-    s_raw = fixtures.student_roster(spark, sf_dir)
-    p_raw = fixtures.meal_roster(spark, sf_dir)
-    dim = prepare_dimension(fixtures.district_dimension(spark, sf_dir))
-    return reconcile(s_raw, p_raw, dim, policy, **options)
+    def build():
+        s_raw, p_raw, dim = raw_rosters(spark, sf_dir)
+        return reconcile(s_raw, p_raw, dim, policy, **options)
+    return _memo(spark, ("rec", sf_dir, policy, tuple(sorted(options.items()))), build)
 
 
 # ------------------------------------------------------------------ rows and keys
 
 def clean_roster(spark, sf_dir):
-    return prepare_side(fixtures.student_roster(spark, sf_dir), S)
+    return prepare_side(raw_rosters(spark, sf_dir)[0], S)
 
 
 def _keys(spark, sf_dir, policy):
-    df = with_match_key(prepare_side(fixtures.student_roster(spark, sf_dir), S), S, policy)
+    df = with_match_key(prepare_side(raw_rosters(spark, sf_dir)[0], S), S, policy)
     return df.select(S.col("seq"), S.col("join_key1"), S.col("join_key2"), "join_key")
 
 
@@ -176,7 +201,7 @@ def _mismatch(measure, **options):
 
 
 def standardized_addresses(spark, sf_dir):
-    rows = prepare_side(fixtures.student_roster(spark, sf_dir), S)
+    rows = prepare_side(raw_rosters(spark, sf_dir)[0], S)
     a = S.col("student_address1")
     return rows.select(S.col("seq"), a, standardize_address(a).alias("standardized_address"))
 

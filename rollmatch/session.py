@@ -25,6 +25,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", "8g")
+        # generated methods above the JIT's size limit would run interpreted; fall back instead
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
     )
     for k, v in (extra or {}).items():
         builder = builder.config(k, v)

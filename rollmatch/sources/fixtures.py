@@ -130,6 +130,11 @@ def _roster_columns(side: int) -> dict[str, Column]:
 def roster(spark: SparkSession, sf_dir: str, side: int) -> DataFrame:
     """Raw roster of one side: ``seq`` (row order) + the 25 intake fields, all text."""
     orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    # A small table can arrive as one split; spread it so the derivation is not one task.
+    # (A large table already has many splits and is left as it is.)
+    parallelism = spark.sparkContext.defaultParallelism
+    if orders.rdd.getNumPartitions() < parallelism:
+        orders = orders.repartition(parallelism)
     customer = _table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     nation = _table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     # At most STREET_PARTS rows (part keys are unique), so broadcasting it is bounded.
