@@ -68,8 +68,14 @@ class Reconciliation:
 
 
 def reconcile(s_raw: DataFrame, p_raw: DataFrame, dim: DataFrame, policy: str = "name_dob",
-              s: Side = STUDENT, p: Side = MEAL, **options) -> Reconciliation:
-    """Raw rosters (unprefixed 25 fields + order columns) -> a ``Reconciliation``."""
-    s_rows = keyed(prepare_side(s_raw, s), s, policy)
-    p_rows = keyed(prepare_side(p_raw, p), p, policy)
-    return Reconciliation(s_rows=s_rows, p_rows=p_rows, dim=dim, s=s, p=p, **options)
+              s: Side = STUDENT, p: Side = MEAL, prepared: bool = False, **options) -> Reconciliation:
+    """Rosters -> a ``Reconciliation``.
+
+    ``prepared=False``: raw rosters (unprefixed 25 fields + order columns) are prefixed,
+    cleaned and filtered here. ``prepared=True``: intake snapshots, already prefixed and
+    cleaned (``plans.intake``); pass ``order=("src_file", "src_row")`` for CSV intake.
+    """
+    if not prepared:
+        s_raw, p_raw = prepare_side(s_raw, s), prepare_side(p_raw, p)
+    return Reconciliation(s_rows=keyed(s_raw, s, policy), p_rows=keyed(p_raw, p, policy),
+                          dim=dim, s=s, p=p, **options)
