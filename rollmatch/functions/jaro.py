@@ -29,8 +29,24 @@ from pyspark.sql.types import DoubleType
 VARIANTS = ("half", "floor")
 
 
-def jaro(a: str, b: str, transpositions: str = "half") -> float:
-    """Plain-Python Jaro similarity for one pair (used inside the vectorized UDF)."""
+def jaro(a: str, b: str, transpositions: str = "half", prefix_weight: float = 0.0) -> float:
+    """Plain-Python Jaro similarity for one pair (used inside the vectorized UDF).
+
+    ``prefix_weight`` > 0 gives the Winkler variant: ``sim + l * p * (1 - sim)`` with
+    ``l`` the common prefix length, at most 4 (``p`` at most 0.25). Default 0: plain Jaro.
+    """
+    sim = _jaro(a, b, transpositions)
+    if prefix_weight:
+        n = 0
+        for x, y in zip(a[:4], b[:4]):
+            if x != y:
+                break
+            n += 1
+        sim += n * prefix_weight * (1.0 - sim)
+    return sim
+
+
+def _jaro(a: str, b: str, transpositions: str) -> float:
     if a == b:
         if a:
             return 1.0
@@ -65,10 +81,10 @@ def jaro(a: str, b: str, transpositions: str = "half") -> float:
     return (m / la + m / lb + (m - t) / m) / 3.0
 
 
-def _series_jaro(transpositions: str):
+def _series_jaro(transpositions: str, prefix_weight: float):
     def score(a: pd.Series, b: pd.Series) -> pd.Series:
         out = [
-            None if (x is None or y is None) else jaro(x, y, transpositions)
+            None if (x is None or y is None) else jaro(x, y, transpositions, prefix_weight)
             for x, y in zip(a.tolist(), b.tolist())
         ]
         return pd.Series(out, dtype="float64")
@@ -76,21 +92,31 @@ def _series_jaro(transpositions: str):
     return score
 
 
-_UDFS = {v: F.pandas_udf(_series_jaro(v), DoubleType()) for v in VARIANTS}
+_UDFS: dict = {}
+
+
+def _udf(transpositions: str, prefix_weight: float):
+    if transpositions not in VARIANTS:
+        raise ValueError(f"transpositions must be one of {VARIANTS}")
+    if not 0.0 <= prefix_weight <= 0.25:
+        raise ValueError("prefix_weight must be in [0, 0.25]")
+    key = (transpositions, float(prefix_weight))
+    if key not in _UDFS:
+        _UDFS[key] = F.pandas_udf(_series_jaro(transpositions, float(prefix_weight)), DoubleType())
+    return _UDFS[key]
 
 
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def jaro_similarity(a, b, transpositions: str = "half") -> Column:
+def jaro_similarity(a, b, transpositions: str = "half", prefix_weight: float = 0.0) -> Column:
     """Jaro similarity of two text columns; NULL if either is NULL."""
-    if transpositions not in VARIANTS:
-        raise ValueError(f"transpositions must be one of {VARIANTS}")
+    udf = _udf(transpositions, prefix_weight)
     a, b = _c(a), _c(b)
     same = (a == b) & (F.length(a) > 0)
     undecided = a.isNotNull() & b.isNotNull() & ~same
-    scored = _UDFS[transpositions](F.when(undecided, a), F.when(undecided, b))
+    scored = udf(F.when(undecided, a), F.when(undecided, b))
     return (
         F.when(a.isNull() | b.isNull(), F.lit(None).cast("double"))
         .when(same, F.lit(1.0))
@@ -98,28 +124,39 @@ def jaro_similarity(a, b, transpositions: str = "half") -> Column:
     )
 
 
-def _ratio_bound(threshold: float) -> tuple[int, int]:
-    """Exact rational r0 with Jaro < threshold whenever min/max length < r0."""
-    r0 = 3 * Fraction(str(threshold)) - 2
+def _ratio_bound(threshold: float, prefix_weight: float = 0.0) -> tuple[int, int] | None:
+    """Exact rational r0 with similarity < threshold whenever min/max length < r0.
+
+    Jaro <= (2 + r) / 3; the Winkler boost is at most 4p(1 - sim) and increasing in sim,
+    so the plain-Jaro threshold becomes (t - 4p) / (1 - 4p). None when no bound applies.
+    """
+    t, p4 = Fraction(str(threshold)), 4 * Fraction(str(prefix_weight))
+    if p4 >= 1:
+        return None
+    r0 = 3 * (t - p4) / (1 - p4) - 2
     return r0.numerator, r0.denominator
 
 
-def jaro_below(a, b, threshold: float = 0.9, transpositions: str = "half") -> Column:
+def jaro_below(a, b, threshold: float = 0.9, transpositions: str = "half",
+               prefix_weight: float = 0.0) -> Column:
     """TRUE when Jaro(a, b) < ``threshold``; NULL when either side is NULL.
 
     Decided in the JVM when the texts are equal (1.0) or when the length ratio
     alone proves the score is below the threshold; the UDF scores the rest.
     """
-    if transpositions not in VARIANTS:
-        raise ValueError(f"transpositions must be one of {VARIANTS}")
+    udf = _udf(transpositions, prefix_weight)
     a, b = _c(a), _c(b)
     la, lb = F.length(a), F.length(b)
     same = (a == b) & (la > 0)
-    num, den = _ratio_bound(threshold)
-    # min/max < num/den  <=>  den*min < num*max, in exact integer arithmetic
-    short = F.lit(den) * F.least(la, lb) < F.lit(num) * F.greatest(la, lb)
+    bound = _ratio_bound(threshold, prefix_weight)
+    if bound is None:
+        short = F.lit(False)
+    else:
+        num, den = bound
+        # min/max < num/den  <=>  den*min < num*max, in exact integer arithmetic
+        short = F.lit(den) * F.least(la, lb) < F.lit(num) * F.greatest(la, lb)
     undecided = a.isNotNull() & b.isNotNull() & ~same & ~short
-    scored = _UDFS[transpositions](F.when(undecided, a), F.when(undecided, b))
+    scored = udf(F.when(undecided, a), F.when(undecided, b))
     return (
         F.when(a.isNull() | b.isNull(), F.lit(None).cast("boolean"))
         .when(same, F.lit(1.0) < F.lit(threshold))

@@ -7,7 +7,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rollmatch.functions.aun import valid_aun
+from rollmatch.functions.aun import format_aun, plain_aun, valid_aun
 from rollmatch.functions.text import clean_text, present
 from rollmatch.schema import KEY_FIELDS, Side
 
@@ -68,6 +68,18 @@ def districts_in(df: DataFrame, ids: Sequence, id_col: str = "AUN") -> DataFrame
     return df.filter(F.col(id_col).isin(list(ids)))
 
 
-def prepare_side(raw: DataFrame, side: Side) -> DataFrame:
-    """Intake on a raw roster: prefix, clean the seven key fields, require both ids."""
-    return require_ids(clean_side_keys(prefix_columns(raw, side.prefix), side), side)
+def normalize_district_ids(df: DataFrame, side: Side) -> DataFrame:
+    """Write every 9-digit district id in the dashed form, so both forms of one district
+    form one key and one group (other text is left as it is)."""
+    a = side.col("aun9_3")
+    return df.withColumn(a, format_aun(plain_aun(a)))
+
+
+def prepare_side(raw: DataFrame, side: Side, normalize_aun: bool = False) -> DataFrame:
+    """Intake on a raw roster: prefix, clean the seven key fields, require both ids.
+
+    ``normalize_aun=True`` also writes 9-digit district ids dashed before keys are built
+    (the original keeps the undashed and dashed forms of one district apart).
+    """
+    out = require_ids(clean_side_keys(prefix_columns(raw, side.prefix), side), side)
+    return normalize_district_ids(out, side) if normalize_aun else out

@@ -89,12 +89,12 @@ def parent_name_differs(s: Side, p: Side, mode: str = "or") -> Column:
 
 
 def address_differs(s: Side, p: Side, threshold: float = ADDRESS_THRESHOLD,
-                    transpositions: str = "half") -> Column:
+                    transpositions: str = "half", prefix_weight: float = 0.0) -> Column:
     """Both first address lines decodable, present and not blank; standardized Jaro < threshold."""
     a = decodable_or_null(F.col(s.col("student_address1")))
     b = decodable_or_null(F.col(p.col("student_address1")))
     cond = present(a) & present(b)
-    below = jaro_below(standardize_address(a), standardize_address(b), threshold, transpositions)
+    below = jaro_below(standardize_address(a), standardize_address(b), threshold, transpositions, prefix_weight)
     return cond & F.coalesce(below, F.lit(False))
 
 
@@ -110,7 +110,8 @@ def address_similarity(s: Side, p: Side, transpositions: str = "half") -> Column
 # ---------------------------------------------------------------- one pass over the 1:1 match
 
 def match_measure_table(match: DataFrame, s: Side, p: Side, parent_mode: str = "or",
-                        threshold: float = ADDRESS_THRESHOLD, transpositions: str = "half") -> DataFrame:
+                        threshold: float = ADDRESS_THRESHOLD, transpositions: str = "half",
+                        prefix_weight: float = 0.0) -> DataFrame:
     """All matched-student measures per S-side district text, in one aggregation."""
     aggs = [F.count(F.lit(1)).alias("matched")]
     aggs += [count_where(_elig(s) == v).alias(s.col(v)) for v in ELIGIBILITY_VALUES]
@@ -118,7 +119,8 @@ def match_measure_table(match: DataFrame, s: Side, p: Side, parent_mode: str = "
     aggs += [
         count_where(site_code_differs(s, p)).alias("school_code_mismatch_count"),
         count_where(parent_name_differs(s, p, parent_mode)).alias("parent_name_mismatch_count"),
-        count_where(address_differs(s, p, threshold, transpositions)).alias("address_mismatch_count"),
+        count_where(address_differs(s, p, threshold, transpositions, prefix_weight))
+        .alias("address_mismatch_count"),
         count_where(case_number_differs(s, p)).alias("case_number_mismatch_count"),
     ]
     return match.groupBy(s.col("aun9_3")).agg(*aggs)

@@ -33,6 +33,7 @@ class Reconciliation:
     parent_mode: str = "or"
     transpositions: str = "half"
     threshold: float = 0.9
+    prefix_weight: float = 0.0
     _frames: dict = field(default_factory=dict, repr=False)
 
     @cached_property
@@ -51,7 +52,7 @@ class Reconciliation:
     def table(self) -> DataFrame:
         """Matched-student measures per S district (one aggregation over the 1:1 match)."""
         return match_measure_table(self.match, self.s, self.p, self.parent_mode,
-                                   self.threshold, self.transpositions)
+                                   self.threshold, self.transpositions, self.prefix_weight)
 
     @cached_property
     def pair_table(self) -> DataFrame:
@@ -68,14 +69,16 @@ class Reconciliation:
 
 
 def reconcile(s_raw: DataFrame, p_raw: DataFrame, dim: DataFrame, policy: str = "name_dob",
-              s: Side = STUDENT, p: Side = MEAL, prepared: bool = False, **options) -> Reconciliation:
+              s: Side = STUDENT, p: Side = MEAL, prepared: bool = False, normalize_aun: bool = False,
+              **options) -> Reconciliation:
     """Rosters -> a ``Reconciliation``.
 
     ``prepared=False``: raw rosters (unprefixed 25 fields + order columns) are prefixed,
     cleaned and filtered here. ``prepared=True``: intake snapshots, already prefixed and
     cleaned (``plans.intake``); pass ``order=("src_file", "src_row")`` for CSV intake.
+    ``normalize_aun=True`` folds the dashed and undashed forms of a district id.
     """
     if not prepared:
-        s_raw, p_raw = prepare_side(s_raw, s), prepare_side(p_raw, p)
+        s_raw, p_raw = prepare_side(s_raw, s, normalize_aun), prepare_side(p_raw, p, normalize_aun)
     return Reconciliation(s_rows=keyed(s_raw, s, policy), p_rows=keyed(p_raw, p, policy),
                           dim=dim, s=s, p=p, **options)

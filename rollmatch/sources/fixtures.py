@@ -18,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rollmatch.operators.dimension import bounded_broadcast
 from rollmatch.schema import INTAKE_NAMES
 
 # Nations whose district is left out of the district dimension.
@@ -137,9 +138,9 @@ def roster(spark: SparkSession, sf_dir: str, side: int) -> DataFrame:
         orders = orders.repartition(parallelism)
     customer = _table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     nation = _table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    # At most STREET_PARTS rows (part keys are unique), so broadcasting it is bounded.
-    parts = F.broadcast(_table(spark, sf_dir, "part").select("p_partkey", "p_name")
-                        .filter(F.col("p_partkey") < STREET_PARTS))
+    # Broadcast only after checking it holds at most STREET_PARTS rows.
+    parts = bounded_broadcast(_table(spark, sf_dir, "part").select("p_partkey", "p_name")
+                              .filter(F.col("p_partkey") < STREET_PARTS), STREET_PARTS)
     joined = (
         orders.filter(F.col("o_orderkey") % 2 == side)
         .join(customer, F.col("o_custkey") == F.col("c_custkey"))

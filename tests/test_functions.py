@@ -180,3 +180,19 @@ def test_strict_sum_and_distinct_with_null(spark):
     out = {r["k"]: (r["s"], r["d"]) for r in
            df.groupBy("k").agg(strict_sum("v").alias("s"), distinct_with_null("v").alias("d")).collect()}
     assert out == {"g": (None, 2), "h": (8, 2)}
+
+
+@settings(max_examples=200, deadline=None)
+@given(words, words, st.sampled_from([0.0, 0.1, 0.25]))
+def test_winkler_boost_and_bound(a, b, p):
+    v = jaro(a, b, "half", p)
+    assert 0.0 <= v <= 1.0 + 1e-12
+    assert v >= jaro(a, b, "half") - 1e-12
+
+
+def test_jaro_below_with_prefix_weight_matches_python(spark):
+    data = [("martha", "marhta"), ("dixon", "dicksonx"), ("abcdefg", "abcdefghij"), ("12 main st", "12 maine st")]
+    df = spark.createDataFrame(data, "a string, b string")
+    for p in (0.1, 0.25):
+        got = [r["lo"] for r in df.select(jaro_below("a", "b", 0.9, "half", p).alias("lo")).collect()]
+        assert got == [jaro(a, b, "half", p) < 0.9 for a, b in data]
