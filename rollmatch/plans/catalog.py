@@ -32,7 +32,7 @@ from rollmatch.operators.matching import (
     unmatched_ids,
 )
 from rollmatch.operators.summary import district_summary
-from rollmatch.plans.consolidate import consolidate_fixture
+from rollmatch.plans.consolidate import consolidate_rosters
 from rollmatch.plans.reconcile import Reconciliation, reconcile
 from rollmatch.schema import INTAKE_NAMES, MEAL, STUDENT
 from rollmatch.sources import fixtures
@@ -311,7 +311,8 @@ def first_last_districts(spark, sf_dir):
 
 
 def consolidated_roster(spark, sf_dir):
-    return consolidate_fixture(spark, sf_dir)
+    s_raw, p_raw, _ = raw_rosters(spark, sf_dir)
+    return consolidate_rosters(s_raw, p_raw)
 
 
 # ------------------------------------------------------------------ raw many-to-many measures

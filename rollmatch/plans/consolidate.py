@@ -12,7 +12,7 @@ projection/union: no shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rollmatch.functions.aun import MEAL_FILE_AUN, aun_from_filename, format_aun, plain_aun
@@ -48,15 +48,11 @@ def consolidate(dc: DataFrame, full: DataFrame) -> DataFrame:
     return dc.unionByName(full, allowMissingColumns=True)
 
 
-def consolidate_fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Consolidation on the fixture rosters: P rows as DC-only files named ``x<id>...``,
-    S rows as Full User snapshot rows."""
-    from rollmatch.sources import fixtures
-
-    p_raw = fixtures.meal_roster(spark, sf_dir)
+def consolidate_rosters(s_raw: DataFrame, p_raw: DataFrame) -> DataFrame:
+    """Consolidation of a roster pair (25 intake fields + ``seq``): P rows as DC-only files
+    named ``x<district id>...``, S rows as Full User snapshot rows."""
     files = p_raw.select(
         *[F.col(n).alias(c) for n, c in zip(INTAKE_NAMES, CONSOLIDATED_NAMES)], "seq",
         F.concat(F.lit("x"), plain_aun("aun9_3"), F.lit("_meals.csv")).alias("source_file"),
     )
-    s_raw = fixtures.student_roster(spark, sf_dir).select(*INTAKE_NAMES, "seq")
-    return consolidate(dc_only(files, MEAL_FILE_AUN), full_user(s_raw))
+    return consolidate(dc_only(files, MEAL_FILE_AUN), full_user(s_raw.select(*INTAKE_NAMES, "seq")))
