@@ -31,7 +31,6 @@ from rollmatch.operators.matching import (
     unmatched,
     unmatched_ids,
 )
-from rollmatch.operators.summary import district_summary
 from rollmatch.plans.consolidate import consolidate_rosters
 from rollmatch.plans.reconcile import Reconciliation, reconcile
 from rollmatch.schema import INTAKE_NAMES, MEAL, STUDENT
@@ -274,7 +273,7 @@ def frequency_table(spark, sf_dir):
 
 
 def _summary(r: Reconciliation) -> DataFrame:
-    return district_summary(r.s_undup, r.p_undup, r.table, S, P, r.dim)
+    return r.summary()
 
 
 def district_summary_q(spark, sf_dir):

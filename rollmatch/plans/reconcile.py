@@ -18,6 +18,7 @@ from rollmatch.operators.cleaning import prepare_side
 from rollmatch.operators.keys import dedup_by_key, keyed
 from rollmatch.operators.matching import match_one_to_one
 from rollmatch.operators.measures import match_measure_table, pair_measure_table
+from rollmatch.operators.summary import district_summary
 from rollmatch.schema import MEAL, STUDENT, Side
 from rollmatch.session import cut_lineage
 
@@ -59,6 +60,11 @@ class Reconciliation:
         """Same measures over the raw many-to-many match, counted from per-key aggregates."""
         return pair_measure_table(self.s_rows, self.p_rows, self.s, self.p, self.parent_mode)
 
+    def summary(self) -> DataFrame:
+        """Every measure per plain district id, in one pass over the two de-duplicated sides."""
+        return district_summary(self.s_undup, self.p_undup, self.s, self.p, self.dim, self.parent_mode,
+                                self.threshold, self.transpositions, self.prefix_weight)
+
     def materialize(self) -> "Reconciliation":
         """Checkpoint the de-duplicated sides into the shared checkpoint folder."""
         self.__dict__["s_undup"] = cut_lineage(self.s_undup)

@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from rollmatch.operators import measures as M
-from rollmatch.operators.summary import district_summary
 from rollmatch.plans.reconcile import Reconciliation
 from rollmatch.sources.export import export_measures
 
@@ -42,7 +41,7 @@ def district_reports(r: Reconciliation, dedup: bool = True) -> dict[str, DataFra
 
 
 def summary(r: Reconciliation) -> DataFrame:
-    return district_summary(r.s_undup, r.p_undup, r.table, r.s, r.p, r.dim)
+    return r.summary()
 
 
 def write_reports(r: Reconciliation, out_dir: str, fmt: str = "parquet", dedup: bool = True) -> dict[str, str]:
