@@ -35,6 +35,7 @@ from rollmatch.plans.consolidate import consolidate_rosters
 from rollmatch.plans.reconcile import Reconciliation, reconcile
 from rollmatch.schema import INTAKE_NAMES, MEAL, STUDENT
 from rollmatch.sources import fixtures
+from rollmatch.sources.csv import scan_rosters
 from rollmatch.sources.snapshot import snapshot_path, write_snapshot
 
 S, P = STUDENT, MEAL
@@ -309,6 +310,20 @@ def first_last_districts(spark, sf_dir):
     return M.head_tail(id_length_counts(spark, sf_dir), "AUN", HEAD_TAIL_ROWS)
 
 
+def csv_intake_roster(spark, sf_dir):
+    """The student roster written as a folder of CSV files (one per district, NULL as ``NA``),
+    then read back by the strict positional reader and cleaned: the 25 cleaned fields."""
+    def build():
+        s_raw = raw_rosters(spark, sf_dir)[0]
+        folder = snapshot_path(spark, sf_dir, "s_csv")
+        (s_raw.select(*INTAKE_NAMES).repartition("sfa_name")
+         .write.mode("overwrite").option("header", True).option("nullValue", "NA").csv(folder))
+        return folder
+    folder = _memo(spark, ("csv", sf_dir), build)
+    rows = prepare_side(scan_rosters(spark, folder, mode="strict", check=True), S)
+    return rows.select(*S.cols(INTAKE_NAMES))
+
+
 def consolidated_roster(spark, sf_dir):
     s_raw, p_raw, _ = raw_rosters(spark, sf_dir)
     return consolidate_rosters(s_raw, p_raw)
@@ -384,6 +399,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "district_lookup_ids": district_lookup_ids,
     "district_summary": district_summary_q,
     "consolidated_roster": consolidated_roster,
+    "csv_intake_roster": csv_intake_roster,
     "first_last_districts": first_last_districts,
     "eligibility_comparison_raw": _raw("eligibility"),
     "site_code_mismatches_raw": _raw("school_code_mismatch_count"),
