@@ -128,61 +128,72 @@ def match_measure_table(match: DataFrame, s: Side, p: Side, parent_mode: str = "
 
 # ---------------------------------------------------------------- raw pairs, counted not emitted
 
-def _equal_pairs(s_rows: DataFrame, p_rows: DataFrame, s: Side, s_val: Column, p_val: Column,
-                 s_keep: Column, p_keep: Column, name: str) -> DataFrame:
-    sa = s.col("aun9_3")
-    sv = (s_rows.filter(s_keep & s_val.isNotNull())
-          .groupBy("join_key", sa, s_val.alias("_v")).agg(F.count(F.lit(1)).alias("_ns")))
-    pv = (p_rows.filter(p_keep & p_val.isNotNull())
-          .groupBy("join_key", p_val.alias("_v")).agg(F.count(F.lit(1)).alias("_np")))
-    return (sv.join(pv, ["join_key", "_v"])
-            .groupBy("join_key", sa).agg(F.sum(F.col("_ns") * F.col("_np")).alias(name)))
+def _value_records(side: Side, parent_mode: str) -> list[Column]:
+    """Per row, one (kind, value) record for each value the pair measures compare."""
+    elig = _elig(side)
+    code, case = F.col(side.col("school_code4")), F.col(side.col("case_number"))
+    first, last = _norm(side.col("parent_first_name")), _norm(side.col("parent_last_name"))
+    names_ok = _names_present(side)
+
+    def rec(kind: str, value: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), value.cast("string").alias("value"))
+
+    recs = [
+        rec("row", F.lit("")),
+        F.when(elig.isin(*ELIGIBILITY_VALUES), rec("elig", elig)),
+        F.when(code.isNotNull(), rec("code", code)),
+        F.when(case.isNotNull(), rec("case", case)),
+        F.when(names_ok, rec("names", F.to_json(F.array(first, last)))),
+    ]
+    if parent_mode == "and":
+        recs += [F.when(names_ok, rec("first", first)), F.when(names_ok, rec("last", last))]
+    elif parent_mode != "or":
+        raise ValueError("parent_mode must be 'or' or 'and'")
+    return recs
+
+
+def _value_counts(rows: DataFrame, side: Side, keys: list[str], parent_mode: str, out: str) -> DataFrame:
+    r = F.explode(F.array(*_value_records(side, parent_mode))).alias("_r")
+    return (rows.select(*keys, r).filter(F.col("_r").isNotNull())
+            .groupBy(*keys, F.col("_r.kind").alias("kind"), F.col("_r.value").alias("value"))
+            .agg(F.count(F.lit(1)).alias(out)))
+
+
+def _marginals(counts: DataFrame, keys: list[str], n: str, tag: str) -> DataFrame:
+    kind, value, cnt = F.col("kind"), F.col("value"), F.col(n)
+
+    def total(cond: Column, name: str) -> Column:
+        return F.coalesce(F.sum(F.when(cond, cnt)), F.lit(0)).alias(name)
+
+    return counts.groupBy(*keys).agg(
+        total(kind == "row", f"_{tag}"),
+        *[total((kind == "elig") & (value == v), f"_{tag}_{v}") for v in ELIGIBILITY_VALUES],
+        *[total(kind == k, f"_{tag}_{k}") for k in ("code", "case", "names")],
+    )
 
 
 def pair_measure_table(s_rows: DataFrame, p_rows: DataFrame, s: Side, p: Side,
                        parent_mode: str = "or") -> DataFrame:
     """Matched-pair measures of the raw many-to-many match, per S-side district text.
 
-    Same columns as ``match_measure_table`` except the address measure.
+    Same columns as ``match_measure_table`` except the address measure. Each side is
+    read once: every row becomes a few (kind, value) records, counted per key with
+    map-side combine; everything after that works on those counts.
     """
     sa = s.col("aun9_3")
-    s_code, p_code = F.col(s.col("school_code4")), F.col(p.col("school_code4"))
-    s_case, p_case = F.col(s.col("case_number")), F.col(p.col("case_number"))
-
-    s_key = s_rows.groupBy("join_key", sa).agg(
-        F.count(F.lit(1)).alias("_ns"),
-        *[count_where(_elig(s) == v).alias("_ns_" + v) for v in ELIGIBILITY_VALUES],
-        count_where(s_code.isNotNull()).alias("_ns_code"),
-        count_where(s_case.isNotNull()).alias("_ns_case"),
-        count_where(_names_present(s)).alias("_ns_names"),
-    )
-    p_key = p_rows.groupBy("join_key").agg(
-        F.count(F.lit(1)).alias("_np"),
-        *[count_where(_elig(p) == v).alias("_np_" + v) for v in ELIGIBILITY_VALUES],
-        count_where(p_code.isNotNull()).alias("_np_code"),
-        count_where(p_case.isNotNull()).alias("_np_case"),
-        count_where(_names_present(p)).alias("_np_names"),
-    )
-    true = F.lit(True)
-    sf, sl = _norm(s.col("parent_first_name")), _norm(s.col("parent_last_name"))
-    pf, pl = _norm(p.col("parent_first_name")), _norm(p.col("parent_last_name"))
-    parts = [
-        _equal_pairs(s_rows, p_rows, s, s_code, p_code, true, true, "_code_eq"),
-        _equal_pairs(s_rows, p_rows, s, s_case, p_case, true, true, "_case_eq"),
-        _equal_pairs(s_rows, p_rows, s, F.struct(sf, sl), F.struct(pf, pl),
-                     _names_present(s), _names_present(p), "_names_eq"),
-    ]
-    if parent_mode == "and":
-        parts += [
-            _equal_pairs(s_rows, p_rows, s, sf, pf, _names_present(s), _names_present(p), "_first_eq"),
-            _equal_pairs(s_rows, p_rows, s, sl, pl, _names_present(s), _names_present(p), "_last_eq"),
-        ]
-    elif parent_mode != "or":
-        raise ValueError("parent_mode must be 'or' or 'and'")
-
-    t = s_key.join(p_key, "join_key")
-    for part in parts:
-        t = t.join(part, ["join_key", sa], "left")
+    sc = _value_counts(s_rows, s, ["join_key", sa], parent_mode, "_ns")
+    pc = _value_counts(p_rows, p, ["join_key"], parent_mode, "_np")
+
+    compared = ("code", "case", "names", "first", "last")
+    eq = (sc.filter(F.col("kind").isin(*compared))
+          .join(pc.filter(F.col("kind").isin(*compared)), ["join_key", "kind", "value"])
+          .groupBy("join_key", sa)
+          .agg(*[F.sum(F.when(F.col("kind") == k, F.col("_ns") * F.col("_np"))).alias(f"_{k}_eq")
+                 for k in compared]))
+
+    t = (_marginals(sc, ["join_key", sa], "_ns", "ns")
+         .join(_marginals(pc, ["join_key"], "_np", "np"), "join_key")
+         .join(eq, ["join_key", sa], "left"))
 
     def z(c: str) -> Column:
         return F.coalesce(F.col(c), F.lit(0))
