@@ -154,7 +154,10 @@ def _value_records(side: Side, parent_mode: str) -> list[Column]:
 
 def _value_counts(rows: DataFrame, side: Side, keys: list[str], parent_mode: str, out: str) -> DataFrame:
     r = F.explode(F.array(*_value_records(side, parent_mode))).alias("_r")
-    return (rows.select(*keys, r).filter(F.col("_r").isNotNull())
+    # kind/value are never NULL here; saying so keeps the join's inferred NOT NULL filters
+    # from forking this subtree, so both consumers share one exchange.
+    present = F.col("_r").isNotNull() & F.col("_r.kind").isNotNull() & F.col("_r.value").isNotNull()
+    return (rows.select(*keys, r).filter(present)
             .groupBy(*keys, F.col("_r.kind").alias("kind"), F.col("_r.value").alias("value"))
             .agg(F.count(F.lit(1)).alias(out)))
 
@@ -184,9 +187,11 @@ def pair_measure_table(s_rows: DataFrame, p_rows: DataFrame, s: Side, p: Side,
     sc = _value_counts(s_rows, s, ["join_key", sa], parent_mode, "_ns")
     pc = _value_counts(p_rows, p, ["join_key"], parent_mode, "_np")
 
+    # No filter on ``kind`` before the join: both uses of each side's counts then share one
+    # exchange (a filter would be pushed below the aggregation and fork the plan); the extra
+    # "row"/"elig" matches are one per (key, value) group and are simply not summed.
     compared = ("code", "case", "names", "first", "last")
-    eq = (sc.filter(F.col("kind").isin(*compared))
-          .join(pc.filter(F.col("kind").isin(*compared)), ["join_key", "kind", "value"])
+    eq = (sc.join(pc, ["join_key", "kind", "value"])
           .groupBy("join_key", sa)
           .agg(*[F.sum(F.when(F.col("kind") == k, F.col("_ns") * F.col("_np"))).alias(f"_{k}_eq")
                  for k in compared]))
