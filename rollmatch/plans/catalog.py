@@ -311,12 +311,12 @@ def first_last_districts(spark, sf_dir):
 
 
 def csv_intake_roster(spark, sf_dir):
-    """The student roster written as a folder of CSV files (one per district, NULL as ``NA``),
+    """The student roster written as a folder of CSV files (NULL written as ``NA``),
     then read back by the strict positional reader and cleaned: the 25 cleaned fields."""
     def build():
         s_raw = raw_rosters(spark, sf_dir)[0]
         folder = snapshot_path(spark, sf_dir, "s_csv")
-        (s_raw.select(*INTAKE_NAMES).repartition("sfa_name")
+        (s_raw.select(*INTAKE_NAMES).repartition(spark.sparkContext.defaultParallelism)
          .write.mode("overwrite").option("header", True).option("nullValue", "NA").csv(folder))
         return folder
     folder = _memo(spark, ("csv", sf_dir), build)
