@@ -32,7 +32,7 @@ from rollmatch.operators.matching import (
     unmatched_ids,
 )
 from rollmatch.plans.consolidate import consolidate_rosters
-from rollmatch.plans.reconcile import Reconciliation, reconcile
+from rollmatch.plans.reconcile import Reconciliation, keyed_side, reconcile
 from rollmatch.schema import INTAKE_NAMES, MEAL, STUDENT
 from rollmatch.sources import fixtures
 from rollmatch.sources.csv import scan_rosters
@@ -74,10 +74,23 @@ def raw_rosters(spark: SparkSession, sf_dir: str):
     return _memo(spark, ("raw", sf_dir), build)
 
 
+def keyed_rosters(spark: SparkSession, sf_dir: str, policy: str = "name_dob"):
+    """Cleaned, keyed rows of both sides with their missing counts, snapshotted once per
+    key policy: reports then read only the columns they use."""
+    def build():
+        s_raw, p_raw, _ = raw_rosters(spark, sf_dir)
+        files = spark.sparkContext.defaultParallelism
+        return tuple(
+            write_snapshot(keyed_side(raw, side, policy), snapshot_path(spark, sf_dir, side.prefix + policy), files)
+            for raw, side in ((s_raw, S), (p_raw, P)))
+    return _memo(spark, ("keyed", sf_dir, policy), build)
+
+
 def rec(spark: SparkSession, sf_dir: str, policy: str = "name_dob", **options) -> Reconciliation:
     def build():
-        s_raw, p_raw, dim = raw_rosters(spark, sf_dir)
-        return reconcile(s_raw, p_raw, dim, policy, **options)
+        s_rows, p_rows = keyed_rosters(spark, sf_dir, policy)
+        dim = raw_rosters(spark, sf_dir)[2]
+        return reconcile(s_rows, p_rows, dim, policy, keyed=True, **options)
     return _memo(spark, ("rec", sf_dir, policy, tuple(sorted(options.items()))), build)
 
 

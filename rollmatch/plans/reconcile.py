@@ -15,7 +15,8 @@ from functools import cached_property
 from pyspark.sql import DataFrame
 
 from rollmatch.operators.cleaning import prepare_side
-from rollmatch.operators.keys import dedup_by_key, keyed
+from rollmatch.operators.keys import dedup_by_key
+from rollmatch.operators.keys import keyed as keyed_rows
 from rollmatch.operators.matching import match_one_to_one
 from rollmatch.operators.measures import match_measure_table, pair_measure_table
 from rollmatch.operators.summary import district_summary
@@ -74,17 +75,31 @@ class Reconciliation:
         return self
 
 
+def keyed_side(raw: DataFrame, side: Side, policy: str = "name_dob", prepared: bool = False,
+               normalize_aun: bool = False) -> DataFrame:
+    """Raw (or intake-cleaned) roster -> cleaned rows with ``join_key`` and missing count.
+
+    Snapshot this once (``sources.snapshot.write_snapshot``) and pass it to
+    ``reconcile(..., keyed=True)``: reports then read only the columns they use, since
+    the missing count, which needs every field, is already stored.
+    """
+    rows = raw if prepared else prepare_side(raw, side, normalize_aun)
+    return keyed_rows(rows, side, policy)
+
+
 def reconcile(s_raw: DataFrame, p_raw: DataFrame, dim: DataFrame, policy: str = "name_dob",
               s: Side = STUDENT, p: Side = MEAL, prepared: bool = False, normalize_aun: bool = False,
-              **options) -> Reconciliation:
+              keyed: bool = False, **options) -> Reconciliation:
     """Rosters -> a ``Reconciliation``.
 
     ``prepared=False``: raw rosters (unprefixed 25 fields + order columns) are prefixed,
     cleaned and filtered here. ``prepared=True``: intake snapshots, already prefixed and
     cleaned (``plans.intake``); pass ``order=("src_file", "src_row")`` for CSV intake.
     ``normalize_aun=True`` folds the dashed and undashed forms of a district id.
+    ``keyed=True``: rosters already carry keys and missing counts (``keyed_side`` snapshots).
     """
-    if not prepared:
-        s_raw, p_raw = prepare_side(s_raw, s, normalize_aun), prepare_side(p_raw, p, normalize_aun)
-    return Reconciliation(s_rows=keyed(s_raw, s, policy), p_rows=keyed(p_raw, p, policy),
+    if keyed:
+        return Reconciliation(s_rows=s_raw, p_rows=p_raw, dim=dim, s=s, p=p, **options)
+    return Reconciliation(s_rows=keyed_side(s_raw, s, policy, prepared, normalize_aun),
+                          p_rows=keyed_side(p_raw, p, policy, prepared, normalize_aun),
                           dim=dim, s=s, p=p, **options)
