@@ -45,12 +45,19 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the configured checkpoint folder; only when none is set (tests), make one."""
-    d = checkpoint_dir(spark)
-    if d is None:
-        d = tempfile.mkdtemp(prefix="rollmatch-ckpt-", dir=os.environ.get("ROLLMATCH_TMP", "/tmp"))
-    spark.sparkContext.setCheckpointDir(d)
-    return spark.sparkContext.getCheckpointDir() or d
+    """The session's checkpoint folder; set once, from ``spark.checkpoint.dir`` when given.
+
+    Only when the session names none (tests, local runs) is a temporary folder made.
+    """
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
+    if current:
+        return current
+    target = sc.getConf().get("spark.checkpoint.dir", None)
+    if target is None:
+        target = tempfile.mkdtemp(prefix="rollmatch-ckpt-", dir=os.environ.get("ROLLMATCH_TMP", "/tmp"))
+    sc.setCheckpointDir(target)
+    return sc.getCheckpointDir() or target
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
