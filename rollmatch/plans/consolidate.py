@@ -56,3 +56,15 @@ def consolidate_rosters(s_raw: DataFrame, p_raw: DataFrame) -> DataFrame:
         F.concat(F.lit("x"), plain_aun("aun9_3"), F.lit("_meals.csv")).alias("source_file"),
     )
     return consolidate(dc_only(files, MEAL_FILE_AUN), full_user(s_raw.select(*INTAKE_NAMES, "seq")))
+
+
+def consolidate_folder(spark, dc_folder: str, pattern: str, full_user_rows: DataFrame,
+                       encoding: str = "UTF-8") -> DataFrame:
+    """The whole consolidation for one roster kind: a folder of DC-only CSV files (read
+    leniently under the consolidated names; widths reported, not raised) stacked with
+    the Full User intake snapshot rows."""
+    from rollmatch.sources.csv import BAD_WIDTH, SOURCE_FILE, SOURCE_ROW, scan_rosters
+
+    files = scan_rosters(spark, dc_folder, names=CONSOLIDATED_NAMES, mode="lenient", encoding=encoding)
+    files = files.drop(SOURCE_ROW, BAD_WIDTH).withColumnRenamed(SOURCE_FILE, "source_file")
+    return consolidate(dc_only(files, pattern), full_user(full_user_rows))

@@ -14,7 +14,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame
 
-from rollmatch.operators.cleaning import prepare_side
+from rollmatch.operators.cleaning import normalize_district_ids, prepare_side
 from rollmatch.operators.keys import dedup_by_key
 from rollmatch.operators.keys import keyed as keyed_rows
 from rollmatch.operators.matching import match_one_to_one
@@ -83,7 +83,9 @@ def keyed_side(raw: DataFrame, side: Side, policy: str = "name_dob", prepared: b
     ``reconcile(..., keyed=True)``: reports then read only the columns they use, since
     the missing count, which needs every field, is already stored.
     """
-    rows = raw if prepared else prepare_side(raw, side, normalize_aun)
+    rows = raw if prepared else prepare_side(raw, side)
+    if normalize_aun:
+        rows = normalize_district_ids(rows, side)
     return keyed_rows(rows, side, policy)
 
 
