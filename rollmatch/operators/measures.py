@@ -358,7 +358,7 @@ def invalid_district_ids(rows: DataFrame, side: Side) -> DataFrame:
 
 
 def invalid_district_count(rows: DataFrame, side: Side) -> DataFrame:
-    a = side.col("aun9_3")
+    """How many distinct district ids are not well-formed."""
     return invalid_district_ids(rows, side).agg(F.count(F.lit(1)).alias("n_invalid"))
 
 

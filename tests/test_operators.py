@@ -9,7 +9,6 @@ from rollmatch.operators.dimension import enrich, prepare_dimension
 from rollmatch.operators.keys import dedup_by_key, duplicate_flags, keyed
 from rollmatch.operators.matching import (
     keys_duplicated_both_sides,
-    match_one_to_one,
     matched_rows,
     pair_counts,
     unmatched,
