@@ -224,22 +224,18 @@ def pair_measure_table(s_rows: DataFrame, p_rows: DataFrame, s: Side, p: Side,
 
 # ---------------------------------------------------------------- reports from a measure table
 
-def _sorted(df: DataFrame, col: str = "AUN") -> DataFrame:
-    return df.orderBy(F.col(col).asc_nulls_last())
-
-
 def mismatch_report(table: DataFrame, measure: str, s: Side, dim: DataFrame) -> DataFrame:
     """Districts with at least one mismatch: ``AUN`` (number), count, district name, type."""
     out = (table.filter(F.col(measure) > 0)
            .select(plain_aun(s.col("aun9_3")).alias("AUN"), F.col(measure)))
-    return _sorted(enrich(out, dim, numeric=True))
+    return enrich(out, dim, numeric=True)
 
 
 def matched_students(table: DataFrame, s: Side, dim: DataFrame) -> DataFrame:
     """Matched students per district (``n``)."""
     a = s.col("aun9_3")
     out = table.select(F.col(a), F.col("matched").alias("n"), plain_aun(a).alias("AUN"))
-    return _sorted(enrich(out, dim, numeric=True))
+    return enrich(out, dim, numeric=True)
 
 
 def eligibility_comparison(table: DataFrame, s: Side, p: Side, dim: DataFrame) -> DataFrame:
@@ -255,7 +251,7 @@ def eligibility_comparison(table: DataFrame, s: Side, p: Side, dim: DataFrame) -
     cols += [F.when(p_any > 0, F.col(p.col(v))).alias(p.col(v)) for v in ELIGIBILITY_VALUES]
     out = table.filter((s_any > 0) | (p_any > 0)).select(*cols)
     out = out.select("*", *[(F.col(s.col(v)) - F.col(p.col(v))).alias("diff_" + v) for v in ELIGIBILITY_VALUES])
-    return _sorted(enrich(out, dim, numeric=True))
+    return enrich(out, dim, numeric=True)
 
 
 # ---------------------------------------------------------------- per-side measures
@@ -284,7 +280,7 @@ def student_count_comparison(p_rows: DataFrame, s_rows: DataFrame, p: Side, s: S
         st.alias(s.col("total")), pt.alias(p.col("total")), (pt - st).alias("difference"),
     )
     out = enrich(out, dim, numeric=True).drop("schl_type")
-    return _sorted(out)
+    return out
 
 
 def ids_len10(rows: DataFrame, side: Side) -> DataFrame:
@@ -299,7 +295,7 @@ def id_length_counts(s_rows: DataFrame, p_rows: DataFrame, s: Side, p: Side, dim
     sc, pc = ids_len10(s_rows, s), ids_len10(p_rows, p)
     j = sc.join(pc, sc[s.col("aun9_3")].eqNullSafe(pc[p.col("aun9_3")]), "left")
     out = j.select(plain_aun(F.col(s.col("aun9_3"))).alias("AUN"), s.col("ids_len10"), p.col("ids_len10"))
-    return _sorted(enrich(out, dim, numeric=True))
+    return enrich(out, dim, numeric=True)
 
 
 def repeated_students(rows: DataFrame, side: Side, order: Sequence[str] = ("seq",)) -> DataFrame:
@@ -311,7 +307,7 @@ def repeated_students(rows: DataFrame, side: Side, order: Sequence[str] = ("seq"
     out = (per_key.groupBy(plain_aun("_aun").alias("AUN"))
            .agg(count_where(F.col("n") > 1).alias("num_duplicated_join_keys"),
                 F.count(F.lit(1)).alias("numsts")))
-    return _sorted(out)
+    return out
 
 
 def districts_per_key(rows: DataFrame, side: Side, order: Sequence[str] = ("seq",)) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def export_csv(df: DataFrame, path: str) -> None:
@@ -10,11 +11,15 @@ def export_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
 
-def export_measures(measures: dict[str, DataFrame], path: str, fmt: str = "parquet") -> dict[str, str]:
-    """One folder per measure under ``path``; returns name -> folder."""
+def export_measures(measures: dict[str, DataFrame], path: str, fmt: str = "parquet",
+                    sort_by: str | None = "AUN") -> dict[str, str]:
+    """One folder per measure under ``path``, rows sorted by district id (NULL last) where
+    the report has one; returns name -> folder. Reports are one row per district."""
     out = {}
     for name, df in measures.items():
         target = f"{path.rstrip('/')}/{name}"
+        if sort_by and sort_by in df.columns:
+            df = df.orderBy(F.col(sort_by).asc_nulls_last())
         w = df.write.mode("overwrite").format(fmt)
         if fmt == "csv":
             w = w.option("header", True)

@@ -16,7 +16,9 @@ S, P = STUDENT, MEAL
 
 
 def plan(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()
+    """The planner's physical plan on a fresh query execution (before AQE re-planning at
+    run time, which may e.g. turn a small join into a broadcast)."""
+    return df.select("*")._jdf.queryExecution().executedPlan().toString()
 
 
 def test_dedup_limits_each_map_task_before_the_shuffle(spark):
