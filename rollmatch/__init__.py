@@ -9,7 +9,15 @@ The library is a set of ``DataFrame -> DataFrame`` functions:
 * ``streaming``  the intake pipeline run incrementally over arriving batch files
 """
 
-from rollmatch.schema import (  # noqa: F401
+import sys as _sys
+
+from pyspark import cloudpickle as _cloudpickle
+
+# Functions of this package that run on executors (the Jaro UDF, per-partition
+# running sums) are shipped with each task by value: executors need no installed copy.
+_cloudpickle.register_pickle_by_value(_sys.modules[__name__])
+
+from rollmatch.schema import (  # noqa: F401,E402
     CONSOLIDATED_NAMES,
     INTAKE_NAMES,
     KEY_FIELDS,

@@ -19,21 +19,15 @@ every pair whose length ratio is too small. Decided rows are sent as NULLs.
 
 from __future__ import annotations
 
-import sys
 from fractions import Fraction
 
 import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 VARIANTS = ("half", "floor")
 
-# Ship this module's scoring code with each task (by value), so executors need no
-# installed copy of the library: only pandas, which PySpark already requires.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
 
 def jaro(a: str, b: str, transpositions: str = "half", prefix_weight: float = 0.0) -> float:
     """Plain-Python Jaro similarity for one pair (used inside the vectorized UDF).

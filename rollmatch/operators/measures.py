@@ -358,19 +358,72 @@ def invalid_district_count(rows: DataFrame, side: Side) -> DataFrame:
     return invalid_district_ids(rows, side).agg(F.count(F.lit(1)).alias("n_invalid"))
 
 
-def frequency_table(df: DataFrame, col: str) -> DataFrame:
+# A window without partitioning runs in one task; it is used only below this many rows.
+SINGLE_TASK_ROWS = 100_000
+
+
+def _running_total_ranged(counts: DataFrame, col: str, parts: int) -> DataFrame:
+    """``col``, ``n``, running total ``_cum`` and grand total ``_total`` without a one-task window.
+
+    Rows are range-partitioned and sorted; each range computes its local running sum
+    (``mapInPandas``) and tags its rows with the range's first value. The ranges are
+    checkpointed, so both uses below see the same rows; the per-range totals (one row
+    per range, at most ``parts``) give each range its offset and the grand total.
+    """
+    import pandas as pd
+
+    from rollmatch.session import cut_lineage
+
+    ordered = (counts.repartitionByRange(parts, F.col(col).asc_nulls_last())
+               .sortWithinPartitions(F.col(col).asc_nulls_last()))
+    schema = counts.schema.add("_first", counts.schema[col].dataType).add("_local", "long")
+
+    def local_sums(batches):
+        first, started, total = None, False, 0
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            if not started:
+                first, started = pdf[col].iloc[0], True
+            cum = pdf["n"].cumsum() + total
+            total = int(cum.iloc[-1])
+            yield pdf.assign(_first=first, _local=cum.astype("int64"))
+        if not started:
+            yield pd.DataFrame({c: pd.Series(dtype="object") for c in schema.fieldNames()})
+
+    local = cut_lineage(ordered.mapInPandas(local_sums, schema))
+    first = F.col("_first")
+    totals = local.groupBy("_first").agg(F.max("_local").alias("_range_total"))
+    before = Window.orderBy(first.asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(
+        first.alias("_f"),
+        F.coalesce(F.sum("_range_total").over(before), F.lit(0)).alias("_off"),
+        F.sum("_range_total").over(Window.partitionBy()).alias("_total"),
+    )
+    joined = local.join(F.broadcast(offsets), local["_first"].eqNullSafe(offsets["_f"]))
+    return joined.select(col, "n", (F.col("_local") + F.col("_off")).alias("_cum"), "_total")
+
+
+def frequency_table(df: DataFrame, col: str, single_task_rows: int = SINGLE_TASK_ROWS) -> DataFrame:
     """Count, share and cumulative share per value (values ascending, NULL last).
 
-    The cumulative window runs over the *aggregated* table, one row per distinct value.
+    Works on the aggregated table (one row per distinct value). Up to
+    ``single_task_rows`` distinct values (checked) the cumulative share is one window;
+    above that it is computed range-partitioned (``_running_total_ranged``).
     """
     counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
-    w_all = Window.partitionBy()
-    w_cum = Window.orderBy(F.col(col).asc_nulls_last()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    total = F.sum("n").over(w_all)
-    return counts.select(
+    if counts.limit(single_task_rows + 1).count() <= single_task_rows:
+        cum_w = Window.orderBy(F.col(col).asc_nulls_last()).rowsBetween(Window.unboundedPreceding,
+                                                                        Window.currentRow)
+        cum = counts.select(col, "n", F.sum("n").over(cum_w).alias("_cum"),
+                            F.sum("n").over(Window.partitionBy()).alias("_total"))
+    else:
+        parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        cum = _running_total_ranged(counts, col, parts)
+    return cum.select(
         F.col(col).alias("value"), "n",
-        (F.col("n") / total).alias("percent"),
-        (F.sum("n").over(w_cum) / total).alias("cum_percent"),
+        (F.col("n") / F.col("_total")).alias("percent"),
+        (F.col("_cum") / F.col("_total")).alias("cum_percent"),
     )
 
 

@@ -225,3 +225,13 @@ def test_relabel_prefix_require(spark):
     assert relabel(df, ["p", "q"]).columns == ["p", "q", "z"]
     assert prefix_columns(df, "s_", keep=["z"]).columns == ["s_x", "s_y", "z"]
     assert require(df.withColumn("y", F.lit("")), ["y"]).count() == 0
+
+
+def test_frequency_table_ranged_equals_single_window(spark):
+    df = spark.range(0, 3000).select(((F.col("id") * 7919) % 997).alias("v")).union(
+        spark.createDataFrame([(None,)], "v long"))
+    one = sorted(tuple(x) for x in M.frequency_table(df, "v").collect() if x[0] is not None)
+    ranged = M.frequency_table(df, "v", single_task_rows=10)
+    got = ranged.collect()
+    assert sorted(tuple(x) for x in got if x[0] is not None) == one
+    assert [x["cum_percent"] for x in got if x[0] is None] == [1.0]
