@@ -79,9 +79,9 @@ def keyed_rosters(spark: SparkSession, sf_dir: str, policy: str = "name_dob"):
     key policy: reports then read only the columns they use."""
     def build():
         s_raw, p_raw, _ = raw_rosters(spark, sf_dir)
-        files = spark.sparkContext.defaultParallelism
+        # map-only from the raw snapshot, which is already evenly split: no repartition
         return tuple(
-            write_snapshot(keyed_side(raw, side, policy), snapshot_path(spark, sf_dir, side.prefix + policy), files)
+            write_snapshot(keyed_side(raw, side, policy), snapshot_path(spark, sf_dir, side.prefix + policy))
             for raw, side in ((s_raw, S), (p_raw, P)))
     return _memo(spark, ("keyed", sf_dir, policy), build)
 
