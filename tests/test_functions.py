@@ -63,7 +63,7 @@ def test_format_then_plain_returns_digits(spark):
 
 
 @pytest.mark.parametrize("name,pattern,expected", [
-    ("June_roster_1_113361303_2025.csv", UPLOAD_FILE_AUN, "113361303"),
+    ("upload_roster_1_113361303_2025.csv", UPLOAD_FILE_AUN, "113361303"),
     ("a_1_999_1_123456789_x.csv", UPLOAD_FILE_AUN, "123456789"),
     ("no_id_here.csv", UPLOAD_FILE_AUN, "no_id_here.csv"),
     ("x123456789 meals.csv", MEAL_FILE_AUN, "123456789"),
