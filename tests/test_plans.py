@@ -67,3 +67,10 @@ def test_hot_key_third_of_rows(spark):
     assert t["matched"] == 960
     # S codes 0/1 (15 each) x P codes 0/1/2 (10 each): 300 equal pairs of 900
     assert t["school_code_mismatch_count"] == 900 - 300
+
+
+def test_no_query_plans_a_cross_or_nested_loop_join(spark):
+    for name, q in QUERIES.items():
+        p = plan(q(spark, SF_SMALL))
+        assert "CartesianProduct" not in p, name
+        assert "NestedLoopJoin" not in p, name
