@@ -144,3 +144,35 @@ def test_streaming_intake_is_incremental(spark, tmp_path):
     out = spark.read.parquet(sink)
     assert out.count() == 2
     assert sorted(r["s_src_file"] for r in out.collect()) == ["b1.csv", "b2.csv"]
+
+
+def test_scan_batches_labels_rows(spark, tmp_path):
+    from rollmatch.sources.csv import scan_batches
+
+    write(str(tmp_path / "b1"), "a.csv", HEADER + "\n" + line(row25()) + "\n")
+    write(str(tmp_path / "b2"), "b.csv", HEADER + "\n" + line(row25()) + "\n" + line(row25()) + "\n")
+    df = scan_batches(spark, {"one": str(tmp_path / "b1"), "two": str(tmp_path / "b2")})
+    assert sorted((r["batch"], r["src_file"]) for r in df.collect()) == [("one", "a.csv"), ("two", "b.csv"),
+                                                                         ("two", "b.csv")]
+
+
+def test_intake_batch_strict_raises_after_snapshot(spark, tmp_path):
+    d = str(tmp_path / "bad")
+    write(d, "wide.csv", HEADER + ",x\n" + line(row25() + ["x"]) + "\n")
+    with pytest.raises(ValueError, match="wide.csv"):
+        intake_batch(spark, d, STUDENT, str(tmp_path / "snap"))
+    ok = intake_batch(spark, d, STUDENT, str(tmp_path / "snap2"), mode="lenient")
+    assert ok.count() == 1 and ok.first()["s_bad_width"]
+
+
+def test_load_districts_parquet_and_sorted_export(spark, tmp_path):
+    from rollmatch.sources.export import export_measures
+
+    src = spark.createDataFrame([("x", 222222222, "B", "Charter"), ("y", 111111111, "A", "Public")],
+                                "AUN string, `AUN ` long, `SFA Name` string, `Schl Type` string")
+    src.write.parquet(str(tmp_path / "mds"))
+    got = load_districts(spark, str(tmp_path / "mds"), fmt="parquet")
+    assert sorted(tuple(r) for r in got.collect()) == [("111111111", "A", "Public"), ("222222222", "B", "Charter")]
+    out = export_measures({"m": got.withColumnRenamed("aun_2", "AUN")}, str(tmp_path / "out"), fmt="csv")
+    back = [r["AUN"] for r in spark.read.option("header", True).csv(out["m"]).collect()]
+    assert back == ["111111111", "222222222"]
