@@ -36,6 +36,7 @@ from rollmatch.plans.reconcile import Reconciliation, keyed_side, reconcile
 from rollmatch.schema import INTAKE_NAMES, MEAL, STUDENT
 from rollmatch.sources import fixtures
 from rollmatch.sources.csv import scan_rosters
+from rollmatch.sources.districts import load_districts
 from rollmatch.sources.snapshot import snapshot_path, write_snapshot
 
 S, P = STUDENT, MEAL
@@ -337,6 +338,31 @@ def csv_intake_roster(spark, sf_dir):
     return rows.select(*S.cols(INTAKE_NAMES))
 
 
+# The sheet layout the dimension loader expects (three leading rows, then a
+# header whose second "AUN" column holds the plain id).
+SHEET_LEADING_ROWS = ("District sheet", "", "exported for matching")
+SHEET_HEADER = "AUN,SFA Name,AUN,Schl Type"
+
+
+def district_dimension_load(spark, sf_dir):
+    """The district dimension written as a sheet-style CSV (leading rows, raw header names,
+    a dashed and a plain id column), then read back by ``load_districts``."""
+    def build():
+        dim = fixtures.district_dimension(spark, sf_dir)
+        body = dim.select(
+            F.lit(1).alias("_part"), F.col("aun_2").alias("_k"),
+            F.concat_ws(",", format_aun("aun_2"), "sfa_name", "aun_2", "schl_type").alias("value"))
+        head = spark.createDataFrame(
+            [(0, f"{i:02d}", line) for i, line in enumerate(SHEET_LEADING_ROWS + (SHEET_HEADER,))],
+            "_part int, _k string, value string")
+        folder = snapshot_path(spark, sf_dir, "districts_csv")
+        # one file (the dimension is one row per district): line order is the sheet's row order
+        (head.unionByName(body).repartition(1).sortWithinPartitions("_part", "_k")
+         .select("value").write.mode("overwrite").text(folder))
+        return folder
+    return load_districts(spark, _memo(spark, ("districts_csv", sf_dir), build))
+
+
 def consolidated_roster(spark, sf_dir):
     s_raw, p_raw, _ = raw_rosters(spark, sf_dir)
     return consolidate_rosters(s_raw, p_raw)
@@ -413,6 +439,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "district_summary": district_summary_q,
     "consolidated_roster": consolidated_roster,
     "csv_intake_roster": csv_intake_roster,
+    "district_dimension_load": district_dimension_load,
     "first_last_districts": first_last_districts,
     "eligibility_comparison_raw": _raw("eligibility"),
     "site_code_mismatches_raw": _raw("school_code_mismatch_count"),

@@ -421,6 +421,7 @@ def oracle_sql() -> dict[str, str]:
                                     "WHERE AUN IN (101010071.0, 102020142.0, 103030213.0)"),
         "district_summary": _sel("SELECT * FROM summ", extra=summary()),
         "consolidated_roster": _sel(_consolidated()),
+        "district_dimension_load": _sel("SELECT * FROM mds"),
         "csv_intake_roster": _sel("SELECT " + ", ".join(f"s_{n}" for n in INTAKE_NAMES) + " FROM s_clean"),
         "first_last_districts": _sel(
             f"(SELECT *, 'head' AS position FROM ({ilc}) ORDER BY AUN ASC NULLS LAST LIMIT 6) UNION ALL "
