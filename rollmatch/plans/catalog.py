@@ -32,6 +32,7 @@ from rollmatch.operators.matching import (
     unmatched_ids,
 )
 from rollmatch.plans.consolidate import consolidate_rosters
+from rollmatch.plans.intake import combine_batches, intake_batch
 from rollmatch.plans.reconcile import Reconciliation, keyed_side, reconcile
 from rollmatch.schema import INTAKE_NAMES, MEAL, STUDENT
 from rollmatch.sources import fixtures
@@ -338,6 +339,26 @@ def csv_intake_roster(spark, sf_dir):
     return rows.select(*S.cols(INTAKE_NAMES))
 
 
+def combined_batches(spark, sf_dir):
+    """Batch intake end to end: the student roster written as two CSV batch folders
+    (rows with validation output "valid" in batch b1, the rest in b2), each taken in by
+    the strict intake, then stacked with batch labels keeping well-formed district ids."""
+    def build():
+        s_raw = raw_rosters(spark, sf_dir)[0].select(*INTAKE_NAMES)
+        root = snapshot_path(spark, sf_dir, "s_batches")
+        files = spark.sparkContext.defaultParallelism
+        in_b1 = F.coalesce(F.col("validation_output") == "valid", F.lit(False))
+        snaps = {}
+        for name, cond in (("b1", in_b1), ("b2", ~in_b1)):
+            (s_raw.filter(cond).repartition(files).write.mode("overwrite")
+             .option("header", True).option("nullValue", "NA").csv(f"{root}/{name}_csv"))
+            intake_batch(spark, f"{root}/{name}_csv", S, f"{root}/{name}_snap")
+            snaps[name] = f"{root}/{name}_snap"
+        return combine_batches(spark, snaps, S, f"{root}/all")
+    rows = _memo(spark, ("batches", sf_dir), build)
+    return rows.select("batch", *S.cols(INTAKE_NAMES))
+
+
 # The sheet layout the dimension loader expects (three leading rows, then a
 # header whose second "AUN" column holds the plain id).
 SHEET_LEADING_ROWS = ("District sheet", "", "exported for matching")
@@ -440,6 +461,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "consolidated_roster": consolidated_roster,
     "csv_intake_roster": csv_intake_roster,
     "district_dimension_load": district_dimension_load,
+    "combined_batches": combined_batches,
     "first_last_districts": first_last_districts,
     "eligibility_comparison_raw": _raw("eligibility"),
     "site_code_mismatches_raw": _raw("school_code_mismatch_count"),

@@ -422,6 +422,10 @@ def oracle_sql() -> dict[str, str]:
         "district_summary": _sel("SELECT * FROM summ", extra=summary()),
         "consolidated_roster": _sel(_consolidated()),
         "district_dimension_load": _sel("SELECT * FROM mds"),
+        "combined_batches": _sel(
+            "SELECT CASE WHEN coalesce(s_validation_output = 'valid', false) THEN 'b1' ELSE 'b2' END AS batch, "
+            + ", ".join(f"s_{n}" for n in INTAKE_NAMES)
+            + f" FROM s_clean WHERE coalesce(regexp_matches(s_aun9_3, {AUN_OK}), false)"),
         "csv_intake_roster": _sel("SELECT " + ", ".join(f"s_{n}" for n in INTAKE_NAMES) + " FROM s_clean"),
         "first_last_districts": _sel(
             f"(SELECT *, 'head' AS position FROM ({ilc}) ORDER BY AUN ASC NULLS LAST LIMIT 6) UNION ALL "
