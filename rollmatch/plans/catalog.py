@@ -39,6 +39,7 @@ from rollmatch.sources import fixtures
 from rollmatch.sources.csv import scan_rosters
 from rollmatch.sources.districts import load_districts
 from rollmatch.sources.snapshot import snapshot_path, write_snapshot
+from rollmatch.streaming.intake import start_intake_stream
 
 S, P = STUDENT, MEAL
 
@@ -325,20 +326,37 @@ def first_last_districts(spark, sf_dir):
     return M.head_tail(id_length_counts(spark, sf_dir), "AUN", HEAD_TAIL_ROWS)
 
 
-def csv_intake_roster(spark, sf_dir):
-    """The student roster written as a folder of CSV files (NULL written as ``NA``),
-    then read back by the strict positional reader and cleaned: the 25 cleaned fields."""
+def _roster_csv_folder(spark, sf_dir) -> str:
+    """The student roster written once as a folder of CSV files (NULL written as ``NA``)."""
     def build():
         s_raw = raw_rosters(spark, sf_dir)[0]
         folder = snapshot_path(spark, sf_dir, "s_csv")
         (s_raw.select(*INTAKE_NAMES).repartition(spark.sparkContext.defaultParallelism)
          .write.mode("overwrite").option("header", True).option("nullValue", "NA").csv(folder))
         return folder
-    folder = _memo(spark, ("csv", sf_dir), build)
-    rows = prepare_side(scan_rosters(spark, folder, mode="strict", check=True), S)
+    return _memo(spark, ("csv", sf_dir), build)
+
+
+def csv_intake_roster(spark, sf_dir):
+    """The student roster's CSV folder read back by the strict positional reader and
+    cleaned: the 25 cleaned fields."""
+    rows = prepare_side(scan_rosters(spark, _roster_csv_folder(spark, sf_dir), mode="strict", check=True), S)
     return rows.select(*S.cols(INTAKE_NAMES))
 
 
+def streamed_intake_roster(spark, sf_dir):
+    """The same CSV folder taken in by the streaming intake (availableNow: every file once,
+    appended to a snapshot), then the snapshot's 25 cleaned fields."""
+    def build():
+        folder = _roster_csv_folder(spark, sf_dir)
+        sink = snapshot_path(spark, sf_dir, "s_stream")
+        query = start_intake_stream(spark, folder, S, sink, sink + "_checkpoint")
+        query.awaitTermination()
+        return sink
+    sink = _memo(spark, ("stream", sf_dir), build)
+    return spark.read.parquet(sink).select(*S.cols(INTAKE_NAMES))
+
+
 def combined_batches(spark, sf_dir):
     """Batch intake end to end: the student roster written as two CSV batch folders
     (rows with validation output "valid" in batch b1, the rest in b2), each taken in by
@@ -460,6 +478,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "district_summary": district_summary_q,
     "consolidated_roster": consolidated_roster,
     "csv_intake_roster": csv_intake_roster,
+    "streamed_intake_roster": streamed_intake_roster,
     "district_dimension_load": district_dimension_load,
     "combined_batches": combined_batches,
     "first_last_districts": first_last_districts,

@@ -427,6 +427,7 @@ def oracle_sql() -> dict[str, str]:
             + ", ".join(f"s_{n}" for n in INTAKE_NAMES)
             + f" FROM s_clean WHERE coalesce(regexp_matches(s_aun9_3, {AUN_OK}), false)"),
         "csv_intake_roster": _sel("SELECT " + ", ".join(f"s_{n}" for n in INTAKE_NAMES) + " FROM s_clean"),
+        "streamed_intake_roster": _sel("SELECT " + ", ".join(f"s_{n}" for n in INTAKE_NAMES) + " FROM s_clean"),
         "first_last_districts": _sel(
             f"(SELECT *, 'head' AS position FROM ({ilc}) ORDER BY AUN ASC NULLS LAST LIMIT 6) UNION ALL "
             f"(SELECT *, 'tail' AS position FROM ({ilc}) ORDER BY AUN DESC NULLS FIRST LIMIT 6)"),
