@@ -105,3 +105,41 @@ def district_summary(s_undup: DataFrame, p_undup: DataFrame, s: Side, p: Side, d
         *[z(elig[s.col(v)] - elig[p.col(v)]).alias("diff_" + v) for v in ELIGIBILITY_VALUES],
     )
     return enrich(out, dim)
+
+
+def district_summary_raw(s_rows: DataFrame, p_rows: DataFrame, pair_table: DataFrame, s: Side, p: Side,
+                         dim: DataFrame) -> DataFrame:
+    """The summary over raw rows and the raw many-to-many match (counted from aggregates by
+    ``measures.pair_measure_table``; no address measure). Three per-district tables, each
+    already one row per plain district id, joined on that id."""
+    def side_part(rows: DataFrame, side: Side) -> DataFrame:
+        sid_len, sid_null = _id_flags(side)
+        return rows.groupBy(plain_aun(side.col("aun9_3")).alias("AUN")).agg(
+            F.count(F.lit(1)).alias(side.col("total")),
+            F.sum(sid_len).alias(side.col("ids_len10")),
+            F.max(sid_null).alias(side.col("_id_null")),
+        )
+
+    counted = [s.col(v) for v in ELIGIBILITY_VALUES] + [p.col(v) for v in ELIGIBILITY_VALUES]
+    measures = [m for m in ("matched", *MISMATCH_MEASURES) if m in pair_table.columns]
+    pairs = pair_table.groupBy(plain_aun(s.col("aun9_3")).alias("AUN")).agg(
+        *[F.sum(c).alias(c) for c in counted + measures])
+    joined = side_part(s_rows, s).join(side_part(p_rows, p), "AUN", "full").join(pairs, "AUN", "full")
+
+    def z(c: Column) -> Column:
+        return F.coalesce(c, F.lit(0)).cast("long")
+
+    s_any = sum((F.col(c) for c in counted[:3]), F.lit(0))
+    p_any = sum((F.col(c) for c in counted[3:]), F.lit(0))
+    elig = {c: F.when((s_any if c.startswith(s.prefix) else p_any) > 0, F.col(c)) for c in counted}
+    out = joined.select(
+        "AUN",
+        z(F.col(s.col("total"))).alias(s.col("total")),
+        z(F.when(F.col(s.col("_id_null")) == 0, F.col(s.col("ids_len10")))).alias(s.col("ids_len10")),
+        z(F.col(p.col("total"))).alias(p.col("total")),
+        z(F.when(F.col(p.col("_id_null")) == 0, F.col(p.col("ids_len10")))).alias(p.col("ids_len10")),
+        *[z(elig[c]).alias(c) for c in counted],
+        *[z(F.col(m)).alias(m) for m in measures],
+        *[z(elig[s.col(v)] - elig[p.col(v)]).alias("diff_" + v) for v in ELIGIBILITY_VALUES],
+    )
+    return enrich(out, dim)

@@ -297,6 +297,10 @@ def district_summary_q(spark, sf_dir):
     return _summary(rec(spark, sf_dir, transpositions=ORACLE_TRANSPOSITIONS))
 
 
+def district_summary_raw_q(spark, sf_dir):
+    return rec(spark, sf_dir).summary_raw()
+
+
 def crosstab_row_percent(spark, sf_dir):
     summ = _summary(rec(spark, sf_dir, transpositions=ORACLE_TRANSPOSITIONS))
     flagged = summ.withColumn("missing_address_count", (F.col("address_mismatch_count") == 0).cast("int"))
@@ -476,6 +480,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "district_lookup_name": district_lookup_name,
     "district_lookup_ids": district_lookup_ids,
     "district_summary": district_summary_q,
+    "district_summary_raw": district_summary_raw_q,
     "consolidated_roster": consolidated_roster,
     "csv_intake_roster": csv_intake_roster,
     "streamed_intake_roster": streamed_intake_roster,

@@ -260,30 +260,29 @@ def dup_profile(tab: str, col: str, label: str) -> str:
             f"UNION ALL SELECT '{label}', true, count(*) - {d}, (count(*) - {d}) / count(*) FROM {tab}")
 
 
-def summary() -> str:
+def summary(s_tab: str = "s_undup", p_tab: str = "p_undup", m_tab: str = "mt", address: bool = True,
+            name: str = "summ") -> str:
     vals = ("free", "paid", "reduced")
+    mism = ["school_code_mismatch_count", "parent_name_mismatch_count"] + (
+        ["address_mismatch_count"] if address else []) + ["case_number_mismatch_count"]
     msum = ", ".join(f"CAST(sum({c}) AS BIGINT) AS {c}" for c in
-                     [f"s_{v}" for v in vals] + [f"p_{v}" for v in vals] +
-                     ["matched", "school_code_mismatch_count", "parent_name_mismatch_count",
-                      "address_mismatch_count", "case_number_mismatch_count"])
+                     [f"s_{v}" for v in vals] + [f"p_{v}" for v in vals] + ["matched"] + mism)
     elig = ", ".join([f"CASE WHEN s_any > 0 THEN s_{v} END AS s_{v}" for v in vals] +
                      [f"CASE WHEN p_any > 0 THEN p_{v} END AS p_{v}" for v in vals] +
                      [f"(CASE WHEN s_any > 0 THEN s_{v} END) - (CASE WHEN p_any > 0 THEN p_{v} END) AS diff_{v}"
                       for v in vals])
     measures = (["s_total", "s_ids_len10", "p_total", "p_ids_len10"] + [f"s_{v}" for v in vals] +
-                [f"p_{v}" for v in vals] + ["matched", "school_code_mismatch_count", "parent_name_mismatch_count",
-                                            "address_mismatch_count", "case_number_mismatch_count"] +
-                [f"diff_{v}" for v in vals])
+                [f"p_{v}" for v in vals] + ["matched"] + mism + [f"diff_{v}" for v in vals])
     filled = ", ".join(f"CAST(coalesce({m}, 0) AS BIGINT) AS {m}" for m in measures)
     return f"""
-, sp AS (SELECT {_plain('s_aun9_3')} AS AUN, count(*) AS s_total, {_strict_len10('s_')} AS s_ids_len10 FROM s_undup GROUP BY 1)
-, pp AS (SELECT {_plain('p_aun9_3')} AS AUN, count(*) AS p_total, {_strict_len10('p_')} AS p_ids_len10 FROM p_undup GROUP BY 1)
-, mp AS (SELECT {_plain('s_aun9_3')} AS AUN, {msum} FROM mt GROUP BY 1)
-, mp2 AS (SELECT AUN, {elig}, matched, school_code_mismatch_count, parent_name_mismatch_count,
-          address_mismatch_count, case_number_mismatch_count
-          FROM (SELECT *, s_free + s_paid + s_reduced AS s_any, p_free + p_paid + p_reduced AS p_any FROM mp))
-, j AS (SELECT * FROM sp FULL JOIN pp USING (AUN) FULL JOIN mp2 USING (AUN))
-, summ AS (SELECT j.AUN, {filled}, mds.sfa_name, mds.schl_type FROM j LEFT JOIN mds ON j.AUN IS NOT DISTINCT FROM mds.aun_2)
+, {name}_sp AS (SELECT {_plain('s_aun9_3')} AS AUN, count(*) AS s_total, {_strict_len10('s_')} AS s_ids_len10 FROM {s_tab} GROUP BY 1)
+, {name}_pp AS (SELECT {_plain('p_aun9_3')} AS AUN, count(*) AS p_total, {_strict_len10('p_')} AS p_ids_len10 FROM {p_tab} GROUP BY 1)
+, {name}_mp AS (SELECT {_plain('s_aun9_3')} AS AUN, {msum} FROM {m_tab} GROUP BY 1)
+, {name}_mp2 AS (SELECT AUN, {elig}, matched, {', '.join(mism)}
+          FROM (SELECT *, s_free + s_paid + s_reduced AS s_any, p_free + p_paid + p_reduced AS p_any FROM {name}_mp))
+, {name}_j AS (SELECT * FROM {name}_sp FULL JOIN {name}_pp USING (AUN) FULL JOIN {name}_mp2 USING (AUN))
+, {name} AS (SELECT j.AUN, {filled}, mds.sfa_name, mds.schl_type FROM {name}_j j
+          LEFT JOIN mds ON j.AUN IS NOT DISTINCT FROM mds.aun_2)
 """
 
 
@@ -420,6 +419,8 @@ def oracle_sql() -> dict[str, str]:
         "district_lookup_ids": _sel(f"SELECT * FROM ({student_counts('s_undup', 's_')}) "
                                     "WHERE AUN IN (101010071.0, 102020142.0, 103030213.0)"),
         "district_summary": _sel("SELECT * FROM summ", extra=summary()),
+        "district_summary_raw": _sel("SELECT * FROM summ_raw",
+                                     extra=summary("s_rows", "p_rows", "pt", address=False, name="summ_raw")),
         "consolidated_roster": _sel(_consolidated()),
         "district_dimension_load": _sel("SELECT * FROM mds"),
         "combined_batches": _sel(

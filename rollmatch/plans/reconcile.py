@@ -19,7 +19,7 @@ from rollmatch.operators.keys import dedup_by_key
 from rollmatch.operators.keys import keyed as keyed_rows
 from rollmatch.operators.matching import match_one_to_one
 from rollmatch.operators.measures import match_measure_table, pair_measure_table
-from rollmatch.operators.summary import district_summary
+from rollmatch.operators.summary import district_summary, district_summary_raw
 from rollmatch.schema import MEAL, STUDENT, Side
 from rollmatch.session import cut_lineage
 
@@ -65,6 +65,10 @@ class Reconciliation:
         return district_summary(self.s_undup, self.p_undup, self.s, self.p, self.dim, self.parent_mode,
                                 self.threshold, self.transpositions, self.prefix_weight)
 
+    def summary_raw(self) -> DataFrame:
+        """The summary over raw rows and the raw many-to-many match (no address measure)."""
+        return district_summary_raw(self.s_rows, self.p_rows, self.pair_table, self.s, self.p, self.dim)
+
     def materialize(self) -> "Reconciliation":
         """Checkpoint the de-duplicated sides into the shared checkpoint folder."""
         self.__dict__["s_undup"] = cut_lineage(self.s_undup)

@@ -49,6 +49,5 @@ def write_reports(r: Reconciliation, out_dir: str, fmt: str = "parquet", dedup:
     if dedup:
         r.materialize()
     reports = district_reports(r, dedup)
-    if dedup:
-        reports["summary"] = summary(r)
+    reports["summary"] = summary(r) if dedup else r.summary_raw()
     return export_measures(reports, out_dir, fmt)

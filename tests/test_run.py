@@ -36,3 +36,18 @@ def test_command_line_jobs(spark, tmp_path):
     wide = spark.read.option("header", True).csv(f"{t}/wide").collect()
     assert sorted(r["usertype"] for r in wide) == ["DC only", "Full User", "Full User"]
     assert [r["AUN"] for r in wide if r["usertype"] == "DC only"] == ["111-11-111-1"]
+
+
+def test_raw_reports_include_summary(spark, tmp_path):
+    t = str(tmp_path)
+    write(f"{t}/in/s", "a.csv", HEADER + "\n" + line(row25(school_code4="1")) + "\n" + line(row25(school_code4="3")) + "\n")
+    write(f"{t}/in/p", "p.csv", HEADER + "\n" + line(row25(school_code4="2")) + "\n")
+    write(f"{t}/in/mds", "mds.csv", "a\nb\nc\nAUN,SFA Name,AUN,Schl Type\n,District A,111111111,Public\n")
+    main(["intake", "--side", "s", "--folder", f"{t}/in/s", "--out", f"{t}/snap/s"])
+    main(["intake", "--side", "p", "--folder", f"{t}/in/p", "--out", f"{t}/snap/p"])
+    main(["reports", "--s", f"{t}/snap/s", "--p", f"{t}/snap/p", "--districts", f"{t}/in/mds",
+          "--out", f"{t}/out_raw", "--raw", "--format", "csv"])
+    summ = spark.read.option("header", True).csv(f"{t}/out_raw/summary").collect()
+    assert len(summ) == 1
+    assert (summ[0]["matched"], summ[0]["school_code_mismatch_count"], summ[0]["s_total"]) == ("2", "2", "2")
+    assert "address_mismatch_count" not in summ[0].asDict()
