@@ -31,4 +31,29 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_token_counts)}
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rollmatch.llm.langid import identify_languages
+
+    return identify_languages(table(spark, sf_dir, "documents")).select("doc_id", "held_out", "lang_pred", "score")
+
+
+def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rollmatch.llm.pii import BASE_KINDS, find_personal_data, span_list
+
+    found = find_personal_data(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["base"])
+    kinds = F.transform(base, lambda s: s["kind"])
+    counts = [(F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{k}") for k in BASE_KINDS]
+    return found.select("doc_id", *counts, F.sha2(span_list(base), 256).alias("base_sha256"), span_list(F.col("spans")).alias("spans"))
+
+
+def op8_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rollmatch.llm.bpe import decode_documents, encode_documents
+
+    f = tokenizer_file("byte_bpe_50k.json")
+    both = decode_documents(encode_documents(table(spark, sf_dir, "documents"), f), f)
+    return both.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_quality_rules, op2_token_counts, op4_language_id, op5_personal_data, op8_bpe_round_trip)}
