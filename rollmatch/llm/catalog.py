@@ -31,6 +31,12 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
 
 
+def op3_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rollmatch.llm.neardup import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"), shingle_words=4, threshold=0.8)
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     from rollmatch.llm.langid import identify_languages
 
@@ -56,4 +62,4 @@ def op8_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_quality_rules, op2_token_counts, op4_language_id, op5_personal_data, op8_bpe_round_trip)}
+    op1_quality_rules, op2_token_counts, op3_minhash_neardup, op4_language_id, op5_personal_data, op8_bpe_round_trip)}
