@@ -53,6 +53,13 @@ def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(span_list(base), 256).alias("base_sha256"), span_list(F.col("spans")).alias("spans"))
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rollmatch.llm.linededup import dedup_lines
+
+    cleaned = dedup_lines(table(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", "n_lines", "n_deleted", F.length("text").cast("long").alias("n_chars_left"), F.sha2("text", 256).alias("text_sha256"))
+
+
 def op8_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     from rollmatch.llm.bpe import decode_documents, encode_documents
 
@@ -61,5 +68,12 @@ def op8_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"))
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rollmatch.llm.decontam import leaks
+
+    return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_quality_rules, op2_token_counts, op3_minhash_neardup, op4_language_id, op5_personal_data, op8_bpe_round_trip)}
+    op1_quality_rules, op2_token_counts, op3_minhash_neardup, op4_language_id, op5_personal_data, op7_line_dedup,
+    op8_bpe_round_trip, op9_decontamination)}
