@@ -53,6 +53,12 @@ def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(span_list(base), 256).alias("base_sha256"), span_list(F.col("spans")).alias("spans"))
 
 
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rollmatch.llm.htmltext import extract_pages
+
+    return extract_pages(table(spark, sf_dir, "pages"))
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from rollmatch.llm.linededup import dedup_lines
 
@@ -74,6 +80,12 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op10_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rollmatch.llm.brown import score_texts
+
+    return score_texts(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_quality_rules, op2_token_counts, op3_minhash_neardup, op4_language_id, op5_personal_data, op7_line_dedup,
-    op8_bpe_round_trip, op9_decontamination)}
+    op1_quality_rules, op2_token_counts, op3_minhash_neardup, op4_language_id, op5_personal_data, op6_html_extraction,
+    op7_line_dedup, op8_bpe_round_trip, op9_decontamination, op10_lm_scores)}

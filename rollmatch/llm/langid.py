@@ -151,9 +151,11 @@ def labelled_sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str,
     """Bounded training text per language, from labelled rows outside the held-out fold."""
     labelled = docs.filter(F.col(lang_col).isNotNull() & ~held_out(id_col, folds))
     # ids first (no text in the sort), then the texts of those rows
-    rank = W.partitionBy("_lang").orderBy("_h", "_id")
-    chosen = (labelled.select(F.col(lang_col).alias("_lang"), F.col(id_col).alias("_id"), F.xxhash64(F.col(id_col)).alias("_h"))
-              .distinct().withColumn("_r", F.row_number().over(rank)).filter(F.col("_r") <= sample_rows))
+    chosen = labelled.select(F.col(lang_col).alias("_lang"), F.col(id_col).alias("_id"), F.xxhash64(F.col(id_col)).alias("_h"))
+    # ranked within 64 slices of a language before within the language, so no task sees more than its slice
+    for keys in (("_lang", F.pmod("_h", F.lit(64))), ("_lang",)):
+        rank = F.row_number().over(W.partitionBy(*keys).orderBy("_h", "_id"))
+        chosen = chosen.withColumn("_r", rank).filter(F.col("_r") <= sample_rows).drop("_r")
     ids = [r["_id"] for r in chosen.select("_id").collect()]  # sample_rows for each language at most
     rows = (labelled.filter(F.col(id_col).isin(ids) & (F.length(text_col) <= sample_chars))
             .select(F.col(lang_col).alias("lang"), F.xxhash64(F.col(id_col)).alias("h"), F.col(text_col).alias("text")).collect())
