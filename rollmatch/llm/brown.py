@@ -130,7 +130,7 @@ def exchange_classes(bigrams: np.ndarray, classes: int, sweeps: int = 12) -> np.
             d = np.diagonal(pairs)
             gain = (rows.sum(axis=1) - np.diagonal(rows) + cols.sum(axis=0) - np.diagonal(cols)
                     + _xlogx(d + r + left + self_n) - _xlogx(d))
-            row_n, col_n = pairs.sum(axis=1), pairs.sum(axis=0)
+            row_n, col_n = pairs.sum(axis=1) + left, pairs.sum(axis=0) + r  # of the classes without w
             gain -= _xlogx(row_n + out_n[w]) - _xlogx(row_n) + _xlogx(col_n + in_n[w]) - _xlogx(col_n)
             gain[:2] = -np.inf
             new = int(np.argmax(gain)) if gain.max() > gain[old] + 1e-6 else int(old)
