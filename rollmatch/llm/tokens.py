@@ -66,7 +66,7 @@ class Lengths(dict):
         if len(self) >= self.most:
             self.clear()
             self.update(self.frequent)
-        n = len(self.encode(piece))
+        n = len(self.encode(piece)) if piece else 1  # a single space at the end of a text
         if len(piece) <= 64:
             self[piece] = n
         return n
