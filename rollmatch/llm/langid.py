@@ -182,6 +182,18 @@ def language_column(spark, samples: dict[str, list[str]], text: Column, cache_si
     return per_text(make, "lang string, score double, phrases long, letters long")(text)
 
 
+def in_learned_language(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", folds: int = 5,
+                        max_phrase_rate: float = 0.9, sample_rows: int = 64, sample_chars: int = 100_000) -> DataFrame:
+    """The rows of ``docs`` whose text is in some learned language, unchanged. Rejected are undetermined texts and
+    those that fall into more than ``max_phrase_rate`` phrases per letter even in their best language, that is,
+    share next to nothing with any sample."""
+    samples = labelled_sample(docs, id_col, text_col, lang_col, folds, sample_rows, sample_chars)
+    found = language_column(docs.sparkSession, samples, F.col(text_col))
+    held = docs.select(F.struct("*").alias("row"), found.alias("found"))
+    known = (F.col("found.lang") != UNDETERMINED) & (F.col("found.phrases") <= max_phrase_rate * F.col("found.letters"))
+    return held.filter(known).select("row.*")
+
+
 def identify_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", folds: int = 5,
                        sample_rows: int = 64, sample_chars: int = 100_000) -> DataFrame:
     """Per row: id, ``held_out``, ``lang_pred``, ``score``."""

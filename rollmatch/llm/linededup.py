@@ -109,12 +109,13 @@ def without_lines(text: str, runs: list[tuple[int, int]]) -> tuple[str, int, int
     return "\n".join(line for i, line in enumerate(lines) if i not in gone), len(lines), len(gone)
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", run_words: int = 50, gram_words: int = 20) -> DataFrame:
-    """All input columns with the text cleaned, plus ``n_lines`` and ``n_deleted`` (input columns of these
-    names are replaced)."""
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", run_words: int = 50, gram_words: int = 20,
+                counts: tuple[str, str] = ("n_lines", "n_deleted")) -> DataFrame:
+    """All input columns with the text cleaned, plus the numbers of lines and of deleted lines as the columns
+    ``counts`` (input columns of these names are replaced)."""
     import pandas as pd
 
-    columns = [c for c in docs.columns if c not in ("n_lines", "n_deleted")]
+    columns = [c for c in docs.columns if c not in counts]
     others = F.struct(*[F.col(c) for c in columns if c != text_col] or [F.lit(None).alias("none")])
     keyed = docs.select(others.alias("row"), F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("h"))
     runs = repeated_runs(keyed.select("id", "h", "text"), run_words, gram_words)
@@ -132,4 +133,4 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     clean.__annotations__ = {"texts": pd.Series, "runs": pd.Series, "return": pd.DataFrame}
     cleaned = joined.select("row", F.pandas_udf(clean, "text string, n_lines long, n_deleted long")("text", "runs").alias("r"))
     return cleaned.select(*[F.col("r.text").alias(c) if c == text_col else F.col("row").getField(c).alias(c) for c in columns],
-                          F.col("r.n_lines").alias("n_lines"), F.col("r.n_deleted").alias("n_deleted"))
+                          F.col("r.n_lines").alias(counts[0]), F.col("r.n_deleted").alias(counts[1]))
