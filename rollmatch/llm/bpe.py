@@ -9,7 +9,9 @@ the chains of all positions that a later token can start from agree on it. Stabi
 sets in after ``sufficient_lookahead`` bytes at the latest (a constant of the merge
 list), so memory stays constant however long a pre-token is.
 
-Short pre-tokens repeat a lot; each worker keeps their ids in a cache of bounded size.
+Words repeat a lot; each worker keeps the ids of words in a cache of bounded size (two
+generations: what was used since the last change survives it). A short pre-token is over
+before its lookahead is, so its merges are applied at once.
 Decoding joins the bytes of the ids and feeds them to an incremental UTF-8 state machine
 (malformed bytes become U+FFFD).
 
@@ -53,12 +55,14 @@ class Vocabulary:
         self.n_merges = len(merges)
         self.max_token = max(map(len, self.ids))
         self.byte_ids = [self.ids[bytes([b])] for b in range(256)]
-        # pair of ids as one integer -> rank; rank -> id of the merged token
-        self.rank, self.made = {}, []
+        # left id -> right id -> rank; rank -> id of the merged token
+        self.rank, self.made = [{} for _ in range(max(self.bytes) + 1)], []
         for r, (x, y) in enumerate(merges):
             x, y = as_bytes(x), as_bytes(y)
-            self.rank[self.ids[x] << 20 | self.ids[y]] = r
+            self.rank[self.ids[x]][self.ids[y]] = r
             self.made.append(self.ids[x + y])
+        none = self.n_merges
+        self.byte_rank = [[self.rank[x].get(y, none) for y in self.byte_ids] for x in self.byte_ids]
         self._closed: dict[bytes, bool] = {}
 
     @property
@@ -75,8 +79,8 @@ class Vocabulary:
 
     def merge(self, data: bytes) -> list[int]:
         """Ids of a short byte string: join the best-ranked pair, leftmost first, until none is left."""
-        parts, rank, none = [self.byte_ids[b] for b in data], self.rank.get, self.n_merges
-        ranks = [rank(x << 20 | y, none) for x, y in zip(parts, parts[1:])]
+        table, byte_ids, rank, none = self.byte_rank, self.byte_ids, self.rank, self.n_merges
+        parts, ranks = [byte_ids[b] for b in data], [table[x][y] for x, y in zip(data, data[1:])]
         while ranks:
             best = min(ranks)
             if best == none:
@@ -85,9 +89,9 @@ class Vocabulary:
             parts[i:i + 2] = [new]
             del ranks[i]
             if i:
-                ranks[i - 1] = rank(parts[i - 1] << 20 | new, none)
+                ranks[i - 1] = rank[parts[i - 1]].get(new, none)
             if i < len(ranks):
-                ranks[i] = rank(new << 20 | parts[i + 1], none)
+                ranks[i] = rank[new].get(parts[i + 1], none)
         return parts
 
 
@@ -160,6 +164,10 @@ class Transducer:
 UNEVEN = re.compile(r" (?:\s|(?<=\s.))")
 
 
+#: Below this character, letters are the same in every version of Unicode.
+LATIN_END = "\u0250"
+
+
 class Encoder:
     """Text -> ids as little-endian unsigned 32-bit integers.
 
@@ -167,30 +175,37 @@ class Encoder:
     not white space, so the stretches between such spaces are looked up as wholes.
     """
 
-    def __init__(self, spec: dict, cache_size: int = 400_000, short: int = 64):
+    def __init__(self, vocabulary: Vocabulary, cache_size: int = 500_000, short: int = 64):
         import regex
 
-        self.v = Vocabulary(spec)
+        self.v, self.most, self.short = vocabulary, cache_size, short
         self.find = regex.compile(PATTERN).findall
         special = sorted(self.v.special, key=len, reverse=True)
         self.special = regex.compile("(" + "|".join(map(regex.escape, special)) + ")") if special else None
-        self.pretokens = _Known(self.encode_pretoken, cache_size)
-        self.words = _Known(lambda word: self.encode_plain(" " + word), cache_size)
-        self.short, self.pairs = short, {}
         self.pack = [i.to_bytes(4, "little") for i in range(max(self.v.bytes) + 1)]
+        self.words = _Words(self.encode_word, cache_size)
+        self.pairs: dict = {}
 
     def encode_pretoken(self, piece: str) -> bytes:
-        data, pack = piece.encode("utf-8", "surrogatepass"), self.pack
+        data = piece.encode("utf-8", "surrogatepass")
         if len(data) <= self.short:
-            return b"".join([pack[i] for i in self.v.merge(data)])
+            return b"".join([self.pack[i] for i in self.v.merge(data)])
         stream, out = Transducer(self.v, self.pairs), []
         for i in range(0, len(data), 4096):
-            out.extend(pack[self.v.ids[t]] for t in stream.feed(data[i:i + 4096]))
-        out.extend(pack[self.v.ids[t]] for t in stream.close())
+            out.extend(self.pack[self.v.ids[t]] for t in stream.feed(data[i:i + 4096]))
+        out.extend(self.pack[self.v.ids[t]] for t in stream.close())
         return b"".join(out)
 
     def encode_plain(self, text: str) -> bytes:
-        return b"".join(map(self.pretokens.__getitem__, self.find(text)))
+        return b"".join(map(self.encode_pretoken, self.find(text)))
+
+    def encode_word(self, word: str) -> bytes:
+        """Ids of a word that follows a space."""
+        if word.isalpha() and max(word) < LATIN_END:
+            return self.encode_pretoken(" " + word)
+        if len(word) > 1 and word[-1] in ".," and word[-2].isalpha():
+            return self.words[word[:-1]] + self.pack[self.v.ids[word[-1].encode()]]
+        return self.encode_plain(" " + word)
 
     def encode_words(self, text: str) -> bytes:
         if not text or text[0].isspace() or text[-1].isspace() or UNEVEN.search(text):
@@ -205,27 +220,31 @@ class Encoder:
                         for part in self.special.split(text))
 
 
-class _Known(dict):
-    """Results kept for short keys, ``most`` of them at a time."""
+class _Words(dict):
+    """Ids of words, short ones kept: ``most`` new ones, and the generation before them."""
 
     def __init__(self, encode, most: int):
         super().__init__()
-        self.encode, self.most = encode, most
-
-    def __missing__(self, piece: str) -> bytes:
-        ids = self.encode(piece)
-        if len(piece) <= 64:
-            if len(self) >= self.most:
-                self.clear()
-            self[piece] = ids
+        self.encode, self.most, self.before = encode, most // 2, {}
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.before.get(word)
+        if ids is None:
+            ids = self.encode(word)
+            if len(word) > 64:
+                return ids
+        if len(self) >= self.most:
+            self.before = dict(self)
+            self.clear()
+        self[word] = ids
         return ids
 
 
 class Decoder:
     """Ids -> text: bytes of each id through an incremental UTF-8 state machine."""
 
-    def __init__(self, spec: dict):
-        self.bytes = Vocabulary(spec).bytes
+    def __init__(self, vocabulary: Vocabulary):
+        self.bytes = vocabulary.bytes
 
     def __call__(self, ids: bytes, block: int = 65_536) -> str:
         import numpy as np
@@ -237,45 +256,48 @@ class Decoder:
         return "".join(out)
 
 
-def _load(spark, tokenizer_file: str):
+def _workers(spark, tokenizer_file: str, cache_size: int):
+    """A function that gives a task its worker's encoder and decoder; they last from task to task."""
     with open(tokenizer_file, encoding="utf-8") as f:
-        spec = json.load(f)
-    # bounded by the tokenizer file; workers keep their encoder with the received value from task to task
-    return spark.sparkContext.broadcast({"spec": spec})
-
-
-def encode_column(spark, tokenizer_file: str, text: Column, cache_size: int = 400_000) -> Column:
-    """The ids of a text column as binary (little-endian unsigned 32-bit integers)."""
-    shared = _load(spark, tokenizer_file)
+        shared = spark.sparkContext.broadcast({"file": f.read()})  # bounded by the tokenizer file
 
-    def make():
+    def pair():
         held = shared.value
-        if "encoder" not in held:
-            held["encoder"] = Encoder(held["spec"], cache_size)
-        return lambda t: (held["encoder"](t),)
+        if "pair" not in held:
+            v = Vocabulary(json.loads(held["file"]))
+            held["pair"] = Encoder(v, cache_size), Decoder(v)
+        return held["pair"]
 
-    return per_text(make, "ids binary")(text)["ids"]
+    return pair
 
 
-def decode_column(spark, tokenizer_file: str, ids: Column) -> Column:
-    """The text of a binary column of ids."""
-    shared = _load(spark, tokenizer_file)
+def encode_documents(docs: DataFrame, tokenizer_file: str, id_col: str = "doc_id", text_col: str = "text",
+                     cache_size: int = 500_000, decoded: bool = False) -> DataFrame:
+    """Per row: id, ``ids`` (binary, little-endian unsigned 32-bit), ``n_tokens``; with ``decoded`` also ``text``, the
+    text that the decoder makes of the ids in the same pass."""
+    pair = _workers(docs.sparkSession, tokenizer_file, cache_size)
 
     def make():
-        held = shared.value
-        if "decoder" not in held:
-            held["decoder"] = Decoder(held["spec"])
-        return lambda b: (held["decoder"](bytes(b) if b else b""),)
+        encode, decode = pair()
+        if not decoded:
+            return lambda t: (encode(t),)
+
+        def both(t: str):
+            ids = encode(t)
+            return ids, decode(ids)
 
-    return per_text(make, "text string")(ids)["text"]
+        return both
 
+    coded = docs.select(F.col(id_col), per_text(make, "ids binary, text string" if decoded else "ids binary")(F.col(text_col)).alias("r"))
+    return coded.select(id_col, "r.*").withColumn("n_tokens", (F.octet_length("ids") / 4).cast("long"))
 
-def encode_documents(docs: DataFrame, tokenizer_file: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: id, ``ids`` (binary), ``n_tokens``."""
-    coded = docs.select(F.col(id_col), encode_column(docs.sparkSession, tokenizer_file, F.col(text_col)).alias("ids"))
-    return coded.select(id_col, "ids", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"))
 
+def decode_documents(coded: DataFrame, tokenizer_file: str, ids_col: str = "ids", as_col: str = "text") -> DataFrame:
+    """All columns plus the text of a binary column of ids (NULL and empty: '')."""
+    pair = _workers(coded.sparkSession, tokenizer_file, 0)
+
+    def make():
+        decode = pair()[1]
+        return lambda ids: (decode(bytes(ids) if ids else b""),)
 
-def decode_documents(coded: DataFrame, tokenizer_file: str) -> DataFrame:
-    """Rows of :func:`encode_documents` with the decoded ``text``."""
-    return coded.withColumn("text", decode_column(coded.sparkSession, tokenizer_file, F.col("ids")))
+    return coded.withColumn(as_col, per_text(make, "text string")(F.col(ids_col))["text"])

@@ -67,10 +67,9 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from rollmatch.llm.bpe import decode_documents, encode_documents
+    from rollmatch.llm.bpe import encode_documents
 
-    f = tokenizer_file("byte_bpe_50k.json")
-    both = decode_documents(encode_documents(table(spark, sf_dir, "documents"), f), f)
+    both = encode_documents(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), decoded=True)
     return both.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"))
 
 

@@ -12,19 +12,24 @@ from pyspark.sql import types as T
 from rollmatch.sources.snapshot import snapshot_root
 
 
+#: Result rows of a Python function that leave its worker at a time.
+OUT_ROWS = 1000
+
+
 def per_text(make, schema: str):
     """A struct-valued column function of one text column.
 
     ``make()`` runs once per task and returns a function from a text (never None) to a
-    tuple in the order of ``schema``; rows reach it in Arrow batches, so memory is
-    bounded by a batch.
+    tuple in the order of ``schema``. Rows come in Arrow batches and results leave after
+    every ``OUT_ROWS`` of them, so memory is bounded by a batch.
     """
     names = [f.name for f in T.StructType.fromDDL(schema).fields]
 
     def run(batches):
         f = make()
         for texts in batches:
-            yield pd.DataFrame.from_records([f(t) if t is not None else f("") for t in texts], columns=names)
+            for i in range(0, len(texts), OUT_ROWS):
+                yield pd.DataFrame.from_records([f(t) if t is not None else f("") for t in texts[i:i + OUT_ROWS]], columns=names)
 
     run.__annotations__ = _iterator_hints()
     return F.pandas_udf(run, schema)
