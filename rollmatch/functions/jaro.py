@@ -12,15 +12,17 @@ when ``m = 0``.
 
 Two empty texts score 1 under ``"half"`` and 0 under ``"floor"``.
 
-Only pairs that need it cross to Python: equal texts are decided in the JVM, and
-for the ``< threshold`` flag the length bound ``Jaro <= (2 + min/max) / 3`` decides
-every pair whose length ratio is too small. Decided rows are sent as NULLs.
+Equal texts are decided in the JVM, and for the ``< threshold`` flag the length bound
+``Jaro <= (2 + min/max) / 3`` decides every pair whose length ratio is too small. The
+district measures send only distinct undecided pairs to Python (``operators.measures``);
+the UDF scores a whole batch of pairs at once.
 """
 
 from __future__ import annotations
 
 from fractions import Fraction
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -30,7 +32,7 @@ VARIANTS = ("half", "floor")
 
 
 def jaro(a: str, b: str, transpositions: str = "half", prefix_weight: float = 0.0) -> float:
-    """Plain-Python Jaro similarity for one pair (used inside the vectorized UDF).
+    """Plain-Python Jaro similarity for one pair (the tests hold the vectorized one against it).
 
     ``prefix_weight`` > 0 gives the Winkler variant: ``sim + l * p * (1 - sim)`` with
     ``l`` the common prefix length, at most 4 (``p`` at most 0.25). Default 0: plain Jaro.
@@ -81,13 +83,64 @@ def _jaro(a: str, b: str, transpositions: str) -> float:
     return (m / la + m / lb + (m - t) / m) / 3.0
 
 
-def _series_jaro(transpositions: str, prefix_weight: float):
+def _padded(texts: list[str], width: int, pad: int) -> np.ndarray:
+    out = np.full((len(texts), width), pad, np.int32)
+    for i, t in enumerate(texts):
+        out[i, :len(t)] = np.frombuffer(t.encode("utf-32-le", "surrogatepass"), np.int32)
+    return out
+
+
+def jaro_batch(a: list[str], b: list[str], transpositions: str = "half", prefix_weight: float = 0.0) -> np.ndarray:
+    """Jaro similarity of many pairs at once: one step per character position, over all pairs."""
+    swap = [len(x) > len(y) for x, y in zip(a, b)]
+    a, b = [y if s else x for x, y, s in zip(a, b, swap)], [x if s else y for x, y, s in zip(a, b, swap)]
+    la, lb = np.array([len(x) for x in a]), np.array([len(x) for x in b])
+    wide_a, wide_b = int(la.max(initial=0)), int(lb.max(initial=0))
+    if not wide_a:
+        same = (la == 0) & (lb == 0)
+        return np.where(same & (transpositions == "half"), 1.0, 0.0)
+    x, y = _padded(a, wide_a, -1), _padded(b, wide_b, -2)
+    window = np.maximum(lb // 2 - 1, 0)[:, None]
+    place, rows = np.arange(wide_b)[None, :], np.arange(len(a))
+    free, hit = np.ones(y.shape, bool), np.zeros(x.shape, bool)
+    for i in range(wide_a):
+        fits = (y == x[:, i:i + 1]) & free & (np.abs(place - i) <= window)
+        first = fits.argmax(axis=1)
+        hit[:, i] = fits[rows, first]
+        free[rows, first] &= ~hit[:, i]
+    m = hit.sum(axis=1)
+    # the k-th matched character of one text against the k-th of the other
+    in_a, in_b = np.full(x.shape, -1, np.int32), np.full(x.shape, -1, np.int32)
+    r, c = np.nonzero(hit)
+    in_a[r, hit.cumsum(axis=1)[r, c] - 1] = x[r, c]
+    used = ~free
+    r, c = np.nonzero(used)
+    in_b[r, used.cumsum(axis=1)[r, c] - 1] = y[r, c]
+    k = (in_a != in_b).sum(axis=1)
+    t = k // 2 if transpositions == "floor" else k / 2
+    some = np.maximum(m, 1)
+    sim = np.where(m > 0, (m / np.maximum(la, 1) + m / np.maximum(lb, 1) + (m - t) / some) / 3.0, 0.0)
+    if transpositions == "half":
+        sim = np.where((la == 0) & (lb == 0), 1.0, sim)
+    if prefix_weight:
+        n = min(4, wide_a)
+        prefix = np.cumprod(x[:, :n] == y[:, :n], axis=1).sum(axis=1)
+        sim = sim + prefix * prefix_weight * (1.0 - sim)
+    return sim
+
+
+def _series_jaro(transpositions: str, prefix_weight: float, cells: int = 2_000_000):
     def score(a: pd.Series, b: pd.Series) -> pd.Series:
-        out = [
-            None if (x is None or y is None) else jaro(x, y, transpositions, prefix_weight)
-            for x, y in zip(a.tolist(), b.tolist())
-        ]
-        return pd.Series(out, dtype="float64")
+        out = np.full(len(a), np.nan)
+        known = np.flatnonzero((a.notna() & b.notna()).to_numpy())
+        known = known[np.argsort([max(len(a.iloc[i]), len(b.iloc[i])) for i in known], kind="stable")] if len(known) else known
+        at = len(known)
+        while at:  # longest first, in parts of about ``cells`` characters
+            width = max(1, len(a.iloc[known[at - 1]]), len(b.iloc[known[at - 1]]))
+            part = known[max(0, at - max(1, cells // width)):at]
+            out[part] = jaro_batch([a.iloc[i] for i in part], [b.iloc[i] for i in part], transpositions, prefix_weight)
+            at -= len(part)
+        return pd.Series(out).where(pd.Series(~np.isnan(out)), None).astype("float64")
 
     return score
 
@@ -137,17 +190,11 @@ def _ratio_bound(threshold: float, prefix_weight: float = 0.0) -> tuple[int, int
     return r0.numerator, r0.denominator
 
 
-def jaro_below(a, b, threshold: float = 0.9, transpositions: str = "half",
-               prefix_weight: float = 0.0) -> Column:
-    """TRUE when Jaro(a, b) < ``threshold``; NULL when either side is NULL.
-
-    Decided in the JVM when the texts are equal (1.0) or when the length ratio
-    alone proves the score is below the threshold; the UDF scores the rest.
-    """
-    udf = _udf(transpositions, prefix_weight)
+def decided_below(a, b, threshold: float = 0.9, prefix_weight: float = 0.0) -> Column:
+    """What the JVM alone can say about Jaro(a, b) < ``threshold``: FALSE for equal texts, TRUE where
+    the length ratio proves it, NULL for pairs that must be scored (and where a side is NULL)."""
     a, b = _c(a), _c(b)
     la, lb = F.length(a), F.length(b)
-    same = (a == b) & (la > 0)
     bound = _ratio_bound(threshold, prefix_weight)
     if bound is None:
         short = F.lit(False)
@@ -155,11 +202,22 @@ def jaro_below(a, b, threshold: float = 0.9, transpositions: str = "half",
         num, den = bound
         # min/max < num/den  <=>  den*min < num*max, in exact integer arithmetic
         short = F.lit(den) * F.least(la, lb) < F.lit(num) * F.greatest(la, lb)
-    undecided = a.isNotNull() & b.isNotNull() & ~same & ~short
+    return F.when((a == b) & (la > 0), F.lit(1.0) < F.lit(threshold)).when(short, F.lit(True))
+
+
+def jaro_below(a, b, threshold: float = 0.9, transpositions: str = "half",
+               prefix_weight: float = 0.0) -> Column:
+    """TRUE when Jaro(a, b) < ``threshold``; NULL when either side is NULL.
+
+    ``decided_below`` settles what it can in the JVM; the UDF scores the rest.
+    """
+    udf = _udf(transpositions, prefix_weight)
+    a, b = _c(a), _c(b)
+    decided = decided_below(a, b, threshold, prefix_weight)
+    undecided = a.isNotNull() & b.isNotNull() & decided.isNull()
     scored = udf(F.when(undecided, a), F.when(undecided, b))
     return (
         F.when(a.isNull() | b.isNull(), F.lit(None).cast("boolean"))
-        .when(same, F.lit(1.0) < F.lit(threshold))
-        .when(short, F.lit(True))
+        .when(decided.isNotNull(), decided)
         .otherwise(scored < F.lit(threshold))
     )

@@ -75,11 +75,14 @@ def normalize_district_ids(df: DataFrame, side: Side) -> DataFrame:
     return df.withColumn(a, format_aun(plain_aun(a)))
 
 
-def prepare_side(raw: DataFrame, side: Side, normalize_aun: bool = False) -> DataFrame:
+def prepare_side(raw: DataFrame, side: Side, normalize_aun: bool = False, keep_flagged: str | None = None) -> DataFrame:
     """Intake on a raw roster: prefix, clean the seven key fields, require both ids.
 
     ``normalize_aun=True`` also writes 9-digit district ids dashed before keys are built
     (the original keeps the undashed and dashed forms of one district apart).
+    ``keep_flagged`` names a boolean field whose rows stay even without ids, for a later check.
     """
-    out = require_ids(clean_side_keys(prefix_columns(raw, side.prefix), side), side)
+    out = clean_side_keys(prefix_columns(raw, side.prefix), side)
+    ids = present(side.col("aun9_3")) & present(side.col("pasecureid"))
+    out = out.filter(ids | F.col(side.col(keep_flagged))) if keep_flagged else require_ids(out, side)
     return normalize_district_ids(out, side) if normalize_aun else out

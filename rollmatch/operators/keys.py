@@ -7,9 +7,11 @@ Shuffle notes
   most one row per key. A key built from missing parts (``aun_NA_NA_NA``) that
   holds a third of all rows therefore costs one row per map task, not a third
   of the data in one task.
-* ``duplicate_flags`` needs every row, so it does not window over the whole
-  group: it aggregates the first position per key (map-side combined) and joins
-  it back; a hot key on the row side is split by AQE's skew-join handling.
+* ``key_table`` aggregates a side once per key (map-side combined). Written to the
+  shared checkpoint folder, it is a plain input of the joins that need every row
+  (``duplicate_flags`` here, ``unmatched`` in ``operators.matching``): both sides of
+  such a join then come straight from a shuffle, which is what AQE's skew-join rule
+  splits. An aggregate between the shuffle and the join would rule that out.
 """
 
 from __future__ import annotations
@@ -76,13 +78,22 @@ def first_position(side: Side, order: Sequence[str]) -> Column:
     return F.col(cols[0]) if len(cols) == 1 else F.struct(*cols)
 
 
-def duplicate_flags(df: DataFrame, side: Side, order: Sequence[str] = ("seq",)) -> DataFrame:
-    """Adds ``is_duplicate``: TRUE for every row of a key after its first in row order."""
+def key_table(df: DataFrame, side: Side, order: Sequence[str] = ("seq",)) -> DataFrame:
+    """Per ``join_key``: rows (``key_rows``), first position (``key_first``), district of the first row (``key_aun``)."""
     pos = first_position(side, order)
-    firsts = df.groupBy("join_key").agg(F.min(pos).alias("_first"))
+    return df.groupBy("join_key").agg(
+        F.count(F.lit(1)).alias("key_rows"), F.min(pos).alias("key_first"), F.min_by(side.col("aun9_3"), pos).alias("key_aun"))
+
+
+def duplicate_flags(df: DataFrame, side: Side, order: Sequence[str] = ("seq",), keys: DataFrame | None = None) -> DataFrame:
+    """Adds ``is_duplicate``: TRUE for every row of a key after its first in row order.
+
+    ``keys``: the side's ``key_table``, written once, so that a hot key can be split.
+    """
+    firsts = (key_table(df, side, order) if keys is None else keys).select("join_key", F.col("key_first").alias("_first"))
     return (
         df.join(firsts, "join_key")
-        .withColumn("is_duplicate", pos != F.col("_first"))
+        .withColumn("is_duplicate", first_position(side, order) != F.col("_first"))
         .drop("_first")
     )
 

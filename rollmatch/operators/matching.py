@@ -2,7 +2,8 @@
 
 All joins are equi-joins. Semi/anti joins always run against the *distinct* keys
 of the other side, so a key repeated on the other side never makes the join
-buffer its rows. The many-to-many match of raw rows is never materialized: a
+buffer its rows; given as a written ``key_table`` they also let AQE split a hot key
+of the rows. The many-to-many match of raw rows is never materialized: a
 key that holds a third of the rows on both sides would emit (n/3)^2 pairs.
 Instead ``pair_counts`` gives per-key row counts and their product, and the
 measures on raw rows (``operators.measures.pair_measure_table``) count pairs
@@ -27,14 +28,19 @@ def _keys(df: DataFrame) -> DataFrame:
     return df.select("join_key").distinct()
 
 
-def unmatched(rows: DataFrame, other: DataFrame) -> DataFrame:
-    """Rows (all columns) whose ``join_key`` never occurs on the other side."""
-    return rows.join(_keys(other), "join_key", "left_anti")
+def unmatched(rows: DataFrame, other: DataFrame, other_keys: DataFrame | None = None) -> DataFrame:
+    """Rows (all columns) whose ``join_key`` never occurs on the other side.
 
+    ``other_keys``: the other side's ``key_table``, written once (one row per key).
+    """
+    keys = _keys(other) if other_keys is None else other_keys.select("join_key")
+    return rows.join(keys, "join_key", "left_anti")
 
-def matched_rows(rows: DataFrame, other: DataFrame) -> DataFrame:
+
+def matched_rows(rows: DataFrame, other: DataFrame, other_keys: DataFrame | None = None) -> DataFrame:
     """Rows whose ``join_key`` occurs on the other side (complement of ``unmatched``)."""
-    return rows.join(_keys(other), "join_key", "left_semi")
+    keys = _keys(other) if other_keys is None else other_keys.select("join_key")
+    return rows.join(keys, "join_key", "left_semi")
 
 
 def key_counts(df: DataFrame, out: str = "n") -> DataFrame:

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from rollmatch.functions.address import standardize_address
 from rollmatch.functions.aun import plain_aun, valid_aun
-from rollmatch.functions.jaro import jaro_below
+from rollmatch.functions.jaro import decided_below, jaro_below, jaro_similarity
 from rollmatch.functions.nulls import count_where, distinct_with_null, strict_sum
 from rollmatch.functions.text import decodable_or_null, present, trim_ws
 from rollmatch.operators.dimension import enrich
@@ -88,138 +88,162 @@ def parent_name_differs(s: Side, p: Side, mode: str = "or") -> Column:
     raise ValueError("mode must be 'or' or 'and'")
 
 
-def address_differs(s: Side, p: Side, threshold: float = ADDRESS_THRESHOLD,
-                    transpositions: str = "half", prefix_weight: float = 0.0) -> Column:
-    """Both first address lines decodable, present and not blank; standardized Jaro < threshold."""
-    a = decodable_or_null(F.col(s.col("student_address1")))
-    b = decodable_or_null(F.col(p.col("student_address1")))
-    cond = present(a) & present(b)
-    below = jaro_below(standardize_address(a), standardize_address(b), threshold, transpositions, prefix_weight)
-    return cond & F.coalesce(below, F.lit(False))
+def address_text(side: Side) -> Column:
+    """The side's first address line, standardized; NULL if undecodable, missing or blank."""
+    a = decodable_or_null(F.col(side.col("student_address1")))
+    return F.when(present(a), standardize_address(a))
 
 
-def address_similarity(s: Side, p: Side, transpositions: str = "half") -> Column:
-    from rollmatch.functions.jaro import jaro_similarity
+_A, _B, _N = "_addr_s", "_addr_p", "_n"
+
+
+def with_address_texts(match: DataFrame, s: Side, p: Side) -> DataFrame:
+    """Both standardized address texts as columns, so that no comparison repeats the rewriting."""
+    return match.withColumns({_A: address_text(s), _B: address_text(p)})
+
+
+def address_differs(threshold: float = ADDRESS_THRESHOLD, transpositions: str = "half", prefix_weight: float = 0.0) -> Column:
+    """On rows of ``with_address_texts``: both texts there and Jaro < threshold."""
+    return F.coalesce(jaro_below(_A, _B, threshold, transpositions, prefix_weight), F.lit(False))
 
-    a = decodable_or_null(F.col(s.col("student_address1")))
-    b = decodable_or_null(F.col(p.col("student_address1")))
-    return F.when(present(a) & present(b),
-                  jaro_similarity(standardize_address(a), standardize_address(b), transpositions))
+
+def address_mismatch_counts(match: DataFrame, s: Side, p: Side, district: Column, name: str,
+                            threshold: float = ADDRESS_THRESHOLD, transpositions: str = "half",
+                            prefix_weight: float = 0.0) -> DataFrame:
+    """Per ``district`` (as ``name``): matched rows whose standardized addresses differ (Jaro < threshold).
+
+    Each text is standardized once; equal pairs and pairs too unlike in length are settled in
+    the JVM. The others are counted per distinct pair first, so Python scores a pair once and
+    sees undecided pairs only.
+    """
+    pairs = (match.select(district.alias(name), address_text(s).alias(_A), address_text(p).alias(_B))
+             .filter(F.col(_A).isNotNull() & F.col(_B).isNotNull() & (F.col(_A) != F.col(_B)))
+             .groupBy(name, _A, _B).agg(F.count(F.lit(1)).alias(_N)))
+    decided = decided_below(_A, _B, threshold, prefix_weight)
+    sure = pairs.filter(decided).select(name, _N)
+    open_pairs = pairs.filter(decided.isNull())
+    scored = open_pairs.filter(jaro_similarity(_A, _B, transpositions, prefix_weight) < F.lit(threshold)).select(name, _N)
+    return sure.union(scored).groupBy(name).agg(F.sum(_N).alias("address_mismatch_count"))
+
+
+def address_similarity(s: Side, p: Side, transpositions: str = "half") -> Column:
+    """Similarity of the standardized address texts; NULL where one side has none."""
+    return jaro_similarity(address_text(s), address_text(p), transpositions)
 
 
 # ---------------------------------------------------------------- one pass over the 1:1 match
 
 def match_measure_table(match: DataFrame, s: Side, p: Side, parent_mode: str = "or",
                         threshold: float = ADDRESS_THRESHOLD, transpositions: str = "half",
-                        prefix_weight: float = 0.0) -> DataFrame:
-    """All matched-student measures per S-side district text, in one aggregation."""
+                        prefix_weight: float = 0.0, address: bool = True) -> DataFrame:
+    """All matched-student measures per S-side district text: one aggregation, and with ``address``
+    the address counts (``address_mismatch_counts``) joined to it."""
+    a = s.col("aun9_3")
     aggs = [F.count(F.lit(1)).alias("matched")]
     aggs += [count_where(_elig(s) == v).alias(s.col(v)) for v in ELIGIBILITY_VALUES]
     aggs += [count_where(_elig(p) == v).alias(p.col(v)) for v in ELIGIBILITY_VALUES]
     aggs += [
         count_where(site_code_differs(s, p)).alias("school_code_mismatch_count"),
         count_where(parent_name_differs(s, p, parent_mode)).alias("parent_name_mismatch_count"),
-        count_where(address_differs(s, p, threshold, transpositions, prefix_weight))
-        .alias("address_mismatch_count"),
         count_where(case_number_differs(s, p)).alias("case_number_mismatch_count"),
     ]
-    return match.groupBy(s.col("aun9_3")).agg(*aggs)
+    counted = match.groupBy(a).agg(*aggs)
+    if not address:
+        return counted
+    differ = address_mismatch_counts(match, s, p, F.col(a), "_aun", threshold, transpositions, prefix_weight)
+    out = counted.join(differ, counted[a].eqNullSafe(differ["_aun"]), "left").drop("_aun")
+    return out.withColumn("address_mismatch_count", F.coalesce("address_mismatch_count", F.lit(0)))
 
 
 # ---------------------------------------------------------------- raw pairs, counted not emitted
 
-def _value_records(side: Side, parent_mode: str) -> list[Column]:
-    """Per row, one (kind, value) record for each value the pair measures compare."""
-    elig = _elig(side)
+#: Pair measure -> the kinds of value it compares between the sides.
+PAIR_MEASURES = {
+    "matched": (), "eligibility": (),
+    "school_code_mismatch_count": ("code",), "case_number_mismatch_count": ("case",), "parent_name_mismatch_count": ("names",),
+}
+
+
+def _compared_values(side: Side, kinds: Sequence[str]) -> list[Column]:
+    """Per row, one (kind, value) record for each value the wanted measures compare."""
     code, case = F.col(side.col("school_code4")), F.col(side.col("case_number"))
     first, last = _norm(side.col("parent_first_name")), _norm(side.col("parent_last_name"))
     names_ok = _names_present(side)
 
-    def rec(kind: str, value: Column) -> Column:
-        return F.struct(F.lit(kind).alias("kind"), value.cast("string").alias("value"))
+    def rec(kind: str, here: Column, value: Column) -> Column:
+        return F.when(here, F.struct(F.lit(kind).alias("kind"), value.cast("string").alias("value")))
 
-    recs = [
-        rec("row", F.lit("")),
-        F.when(elig.isin(*ELIGIBILITY_VALUES), rec("elig", elig)),
-        F.when(code.isNotNull(), rec("code", code)),
-        F.when(case.isNotNull(), rec("case", case)),
-        F.when(names_ok, rec("names", F.to_json(F.array(first, last)))),
-    ]
-    if parent_mode == "and":
-        recs += [F.when(names_ok, rec("first", first)), F.when(names_ok, rec("last", last))]
-    elif parent_mode != "or":
-        raise ValueError("parent_mode must be 'or' or 'and'")
-    return recs
+    records = {
+        "code": rec("code", code.isNotNull(), code), "case": rec("case", case.isNotNull(), case),
+        "names": rec("names", names_ok, F.to_json(F.array(first, last))),
+        "first": rec("first", names_ok, first), "last": rec("last", names_ok, last),
+    }
+    return [records[k] for k in kinds]
 
 
-def _value_counts(rows: DataFrame, side: Side, keys: list[str], parent_mode: str, out: str) -> DataFrame:
-    r = F.explode(F.array(*_value_records(side, parent_mode))).alias("_r")
-    # kind/value are never NULL here; saying so keeps the join's inferred NOT NULL filters
-    # from forking this subtree, so both consumers share one exchange.
-    present = F.col("_r").isNotNull() & F.col("_r.kind").isNotNull() & F.col("_r.value").isNotNull()
-    return (rows.select(*keys, r).filter(present)
+def _value_counts(rows: DataFrame, side: Side, keys: list[str], kinds: Sequence[str], out: str) -> DataFrame:
+    r = F.explode(F.array(*_compared_values(side, kinds))).alias("_r")
+    here = F.col("_r").isNotNull() & F.col("_r.kind").isNotNull() & F.col("_r.value").isNotNull()
+    return (rows.select(*keys, r).filter(here)
             .groupBy(*keys, F.col("_r.kind").alias("kind"), F.col("_r.value").alias("value"))
             .agg(F.count(F.lit(1)).alias(out)))
 
 
-def _marginals(counts: DataFrame, keys: list[str], n: str, tag: str) -> DataFrame:
-    kind, value, cnt = F.col("kind"), F.col("value"), F.col(n)
-
-    def total(cond: Column, name: str) -> Column:
-        return F.coalesce(F.sum(F.when(cond, cnt)), F.lit(0)).alias(name)
-
-    return counts.groupBy(*keys).agg(
-        total(kind == "row", f"_{tag}"),
-        *[total((kind == "elig") & (value == v), f"_{tag}_{v}") for v in ELIGIBILITY_VALUES],
-        *[total(kind == k, f"_{tag}_{k}") for k in ("code", "case", "names")],
-    )
-
-
-def pair_measure_table(s_rows: DataFrame, p_rows: DataFrame, s: Side, p: Side,
-                       parent_mode: str = "or") -> DataFrame:
-    """Matched-pair measures of the raw many-to-many match, per S-side district text.
-
-    Same columns as ``match_measure_table`` except the address measure. Each side is
-    read once: every row becomes a few (kind, value) records, counted per key with
-    map-side combine; everything after that works on those counts.
+def _key_totals(rows: DataFrame, side: Side, keys: list[str], wanted: Sequence[str], tag: str) -> DataFrame:
+    """Per key: the row counts that the wanted measures multiply."""
+    elig = _elig(side)
+    counts = {
+        "matched": [F.count(F.lit(1)).alias(f"_{tag}")],
+        "eligibility": [F.count(F.lit(1)).alias(f"_{tag}"), *[count_where(elig == v).alias(f"_{tag}_{v}") for v in ELIGIBILITY_VALUES]],
+        "school_code_mismatch_count": [F.count(side.col("school_code4")).alias(f"_{tag}_code")],
+        "case_number_mismatch_count": [F.count(side.col("case_number")).alias(f"_{tag}_case")],
+        "parent_name_mismatch_count": [count_where(_names_present(side)).alias(f"_{tag}_names")],
+    }
+    aggs = {str(c): c for w in wanted for c in counts[w]}
+    return rows.groupBy(*keys).agg(*aggs.values())
+
+
+def pair_measure_table(s_rows: DataFrame, p_rows: DataFrame, s: Side, p: Side, parent_mode: str = "or",
+                       wanted: Sequence[str] = tuple(PAIR_MEASURES)) -> DataFrame:
+    """``wanted`` matched-pair measures of the raw many-to-many match, per S-side district text.
+
+    Same columns as ``match_measure_table`` except the address measure. Counts of rows per
+    key (one shuffle per side, of aggregates) give pairs as products. Only measures that
+    compare values also count rows per key and value, and only of the kinds they need;
+    everything after that works on those counts. ``matched`` alone reads key and district.
     """
+    if parent_mode not in ("or", "and"):
+        raise ValueError("parent_mode must be 'or' or 'and'")
     sa = s.col("aun9_3")
-    sc = _value_counts(s_rows, s, ["join_key", sa], parent_mode, "_ns")
-    pc = _value_counts(p_rows, p, ["join_key"], parent_mode, "_np")
-
-    # No filter on ``kind`` before the join: both uses of each side's counts then share one
-    # exchange (a filter would be pushed below the aggregation and fork the plan); the extra
-    # "row"/"elig" matches are one per (key, value) group and are simply not summed.
-    compared = ("code", "case", "names", "first", "last")
-    eq = (sc.join(pc, ["join_key", "kind", "value"])
-          .groupBy("join_key", sa)
-          .agg(*[F.sum(F.when(F.col("kind") == k, F.col("_ns") * F.col("_np"))).alias(f"_{k}_eq")
-                 for k in compared]))
-
-    t = (_marginals(sc, ["join_key", sa], "_ns", "ns")
-         .join(_marginals(pc, ["join_key"], "_np", "np"), "join_key")
-         .join(eq, ["join_key", sa], "left"))
-
-    def z(c: str) -> Column:
-        return F.coalesce(F.col(c), F.lit(0))
-
-    name_pairs = F.col("_ns_names") * F.col("_np_names")
-    if parent_mode == "or":
-        names_differ = name_pairs - z("_names_eq")
-    else:
-        names_differ = name_pairs - z("_first_eq") - z("_last_eq") + z("_names_eq")
-    per_key = [
-        (F.col("_ns") * F.col("_np")).alias("matched"),
-        *[(F.col("_ns_" + v) * F.col("_np")).alias(s.col(v)) for v in ELIGIBILITY_VALUES],
-        *[(F.col("_ns") * F.col("_np_" + v)).alias(p.col(v)) for v in ELIGIBILITY_VALUES],
-        (F.col("_ns_code") * F.col("_np_code") - z("_code_eq")).alias("school_code_mismatch_count"),
-        names_differ.alias("parent_name_mismatch_count"),
-        (F.col("_ns_case") * F.col("_np_case") - z("_case_eq")).alias("case_number_mismatch_count"),
-    ]
-    cols = ["matched", *[s.col(v) for v in ELIGIBILITY_VALUES], *[p.col(v) for v in ELIGIBILITY_VALUES],
-            "school_code_mismatch_count", "parent_name_mismatch_count", "case_number_mismatch_count"]
-    return (t.select(sa, *per_key).groupBy(sa)
-            .agg(*[F.sum(c).cast("long").alias(c) for c in cols]))
+    t = (_key_totals(s_rows, s, ["join_key", sa], wanted, "ns")
+         .join(_key_totals(p_rows, p, ["join_key"], wanted, "np"), "join_key"))
+    kinds = [k for w in wanted for k in PAIR_MEASURES[w]]
+    kinds += ["first", "last"] if "names" in kinds and parent_mode == "and" else []
+    if kinds:
+        sc = _value_counts(s_rows, s, ["join_key", sa], kinds, "_sv")
+        pc = _value_counts(p_rows, p, ["join_key"], kinds, "_pv")
+        eq = (sc.join(pc, ["join_key", "kind", "value"]).groupBy("join_key", sa)
+              .agg(*[F.sum(F.when(F.col("kind") == k, F.col("_sv") * F.col("_pv"))).alias(f"_{k}_eq") for k in kinds]))
+        t = t.join(eq, ["join_key", sa], "left")
+
+    def differ(kind: str) -> Column:
+        pairs = F.col(f"_ns_{kind}") * F.col(f"_np_{kind}")
+        equal = lambda k: F.coalesce(F.col(f"_{k}_eq"), F.lit(0))
+        if kind == "names" and parent_mode == "and":
+            return pairs - equal("first") - equal("last") + equal("names")
+        return pairs - equal(kind)
+
+    per_key = {
+        "matched": [(F.col("_ns") * F.col("_np")).alias("matched")] if "matched" in wanted else [],
+        "eligibility": [*[(F.col("_ns_" + v) * F.col("_np")).alias(s.col(v)) for v in ELIGIBILITY_VALUES],
+                        *[(F.col("_ns") * F.col("_np_" + v)).alias(p.col(v)) for v in ELIGIBILITY_VALUES]] if "eligibility" in wanted else [],
+    }
+    for w in wanted:
+        if PAIR_MEASURES[w]:
+            per_key[w] = [differ(PAIR_MEASURES[w][0]).alias(w)]
+    columns = [c for w in PAIR_MEASURES if w in wanted for c in per_key[w]]
+    slim = t.select(sa, *columns)
+    return slim.groupBy(sa).agg(*[F.sum(c).cast("long").alias(c) for c in slim.columns if c != sa])
 
 
 # ---------------------------------------------------------------- reports from a measure table
@@ -333,6 +357,10 @@ def repeated_secure_ids(rows: DataFrame, side: Side, dim: DataFrame, order: Sequ
 def duplicate_profile(df: DataFrame, col: str, label: str) -> DataFrame:
     """How many values repeat an earlier one: rows (FALSE, n, share) and (TRUE, n, share)."""
     stats = df.agg(F.count(F.lit(1)).alias("_total"), distinct_with_null(col).alias("_distinct"))
+    return _profile_rows(stats, label)
+
+
+def _profile_rows(stats: DataFrame, label: str) -> DataFrame:
     dup = F.col("_total") - F.col("_distinct")
     rows = F.explode(F.array(
         F.struct(F.lit(False).alias("is_duplicated"), F.col("_distinct").alias("n")),
@@ -342,6 +370,17 @@ def duplicate_profile(df: DataFrame, col: str, label: str) -> DataFrame:
         "measure", "r.is_duplicated", "r.n", (F.col("r.n") / F.col("_total")).alias("percent"))
 
 
+def matched_id_profile(rows: DataFrame, other: DataFrame, side: Side, label: str) -> DataFrame:
+    """The duplicate profile of this side's secure ids over the raw many-to-many match, from counts:
+    a row stands in as many pairs as its key has rows on the other side."""
+    sid = side.col("pasecureid")
+    per_id = (rows.groupBy("join_key", sid).agg(F.count(F.lit(1)).alias("_n"))
+              .join(other.groupBy("join_key").agg(F.count(F.lit(1)).alias("_m")), "join_key")
+              .groupBy(sid).agg(F.sum(F.col("_n") * F.col("_m")).alias("_pairs")))
+    stats = per_id.agg(F.coalesce(F.sum("_pairs"), F.lit(0)).alias("_total"), F.count(F.lit(1)).alias("_distinct"))
+    return _profile_rows(stats, label)
+
+
 def district_count(rows: DataFrame, side: Side) -> DataFrame:
     """Number of distinct district ids (NULL counted as one)."""
     return rows.agg(distinct_with_null(side.col("aun9_3")).alias("n_districts"))
@@ -358,10 +397,6 @@ def invalid_district_count(rows: DataFrame, side: Side) -> DataFrame:
     return invalid_district_ids(rows, side).agg(F.count(F.lit(1)).alias("n_invalid"))
 
 
-# A window without partitioning runs in one task; it is used only below this many rows.
-SINGLE_TASK_ROWS = 100_000
-
-
 def _running_total_ranged(counts: DataFrame, col: str, parts: int) -> DataFrame:
     """``col``, ``n``, running total ``_cum`` and grand total ``_total`` without a one-task window.
 
@@ -404,22 +439,14 @@ def _running_total_ranged(counts: DataFrame, col: str, parts: int) -> DataFrame:
     return joined.select(col, "n", (F.col("_local") + F.col("_off")).alias("_cum"), "_total")
 
 
-def frequency_table(df: DataFrame, col: str, single_task_rows: int = SINGLE_TASK_ROWS) -> DataFrame:
+def frequency_table(df: DataFrame, col: str) -> DataFrame:
     """Count, share and cumulative share per value (values ascending, NULL last).
 
-    Works on the aggregated table (one row per distinct value). Up to
-    ``single_task_rows`` distinct values (checked) the cumulative share is one window;
-    above that it is computed range-partitioned (``_running_total_ranged``).
+    Works on the aggregated table (one row per distinct value), range-partitioned by value
+    (``_running_total_ranged``), so no task ever holds the whole table.
     """
     counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
-    if counts.limit(single_task_rows + 1).count() <= single_task_rows:
-        cum_w = Window.orderBy(F.col(col).asc_nulls_last()).rowsBetween(Window.unboundedPreceding,
-                                                                        Window.currentRow)
-        cum = counts.select(col, "n", F.sum("n").over(cum_w).alias("_cum"),
-                            F.sum("n").over(Window.partitionBy()).alias("_total"))
-    else:
-        parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        cum = _running_total_ranged(counts, col, parts)
+    cum = _running_total_ranged(counts, col, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     return cum.select(
         F.col(col).alias("value"), "n",
         (F.col("n") / F.col("_total")).alias("percent"),
@@ -437,6 +464,15 @@ def crosstab_row_percent(df: DataFrame, row_col: str, flag_col: str, values: Seq
         *[(F.col(f"n_{v}") / F.col("_row_total")).alias(f"pct_{v}") for v in values])
 
 
+def address_value_missing(table: DataFrame, s: Side, dim: DataFrame, key: str = "aun_2") -> DataFrame:
+    """Every district of the dimension with ``missing_address_count`` = 1 where the address mismatch
+    report has no row for it, else 0."""
+    reported = (table.groupBy(plain_aun(s.col("aun9_3")).alias("_aun")).agg(F.sum("address_mismatch_count").alias("_n"))
+                .filter(F.col("_n") > 0))
+    out = dim.join(reported, dim[key] == reported["_aun"], "left")
+    return out.withColumn("missing_address_count", F.col("_n").isNull().cast("int")).drop("_aun", "_n")
+
+
 def difference_histogram(df: DataFrame, a: str, b: str, width: int) -> DataFrame:
     """Fixed-width bucket counts of ``a - b`` (rows with a NULL difference drop)."""
     d = F.col(a) - F.col(b)

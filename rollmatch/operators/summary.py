@@ -30,6 +30,7 @@ from rollmatch.operators.measures import (
     case_number_differs,
     parent_name_differs,
     site_code_differs,
+    with_address_texts,
 )
 from rollmatch.schema import Side
 
@@ -46,7 +47,7 @@ def _id_flags(side: Side) -> tuple[Column, Column]:
 def district_summary(s_undup: DataFrame, p_undup: DataFrame, s: Side, p: Side, dim: DataFrame,
                      parent_mode: str = "or", threshold: float = ADDRESS_THRESHOLD,
                      transpositions: str = "half", prefix_weight: float = 0.0) -> DataFrame:
-    j = s_undup.join(p_undup, "join_key", "full")
+    j = with_address_texts(s_undup.join(p_undup, "join_key", "full"), s, p)
     s_here = F.col(s.col("aun9_3")).isNotNull()
     p_here = F.col(p.col("aun9_3")).isNotNull()
     matched = s_here & p_here
@@ -64,7 +65,7 @@ def district_summary(s_undup: DataFrame, p_undup: DataFrame, s: Side, p: Side, d
         **{p.col(v): _flag(matched & (_elig(p) == v)) for v in ELIGIBILITY_VALUES},
         "school_code_mismatch_count": _flag(matched & site_code_differs(s, p)),
         "parent_name_mismatch_count": _flag(matched & parent_name_differs(s, p, parent_mode)),
-        "address_mismatch_count": _flag(matched & address_differs(s, p, threshold, transpositions, prefix_weight)),
+        "address_mismatch_count": _flag(matched & address_differs(threshold, transpositions, prefix_weight)),
         "case_number_mismatch_count": _flag(matched & case_number_differs(s, p)),
     }
     s_rec = F.struct(

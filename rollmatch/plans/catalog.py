@@ -24,20 +24,22 @@ from rollmatch.functions.aun import (
 from rollmatch.operators import measures as M
 from rollmatch.operators.cleaning import districts_in, find_district, prepare_side, valid_district_rows
 from rollmatch.operators.dimension import prepare_dimension
-from rollmatch.operators.keys import duplicate_flags, with_match_key
+from rollmatch.operators.keys import dedup_by_key, duplicate_flags, with_match_key
 from rollmatch.operators.matching import (
+    id_list,
     keys_duplicated_both_sides,
     pair_counts,
     unmatched,
     unmatched_ids,
 )
-from rollmatch.plans.consolidate import consolidate_rosters
+from rollmatch.plans.consolidate import consolidate_folder, consolidate_rosters
 from rollmatch.plans.intake import combine_batches, intake_batch
 from rollmatch.plans.reconcile import Reconciliation, keyed_side, reconcile
 from rollmatch.schema import INTAKE_NAMES, MEAL, STUDENT
 from rollmatch.sources import fixtures
-from rollmatch.sources.csv import scan_rosters
+from rollmatch.sources.csv import ORDER, folder_report, scan_rosters
 from rollmatch.sources.districts import load_districts
+from rollmatch.sources.export import write_named_csv
 from rollmatch.sources.snapshot import snapshot_path, write_snapshot
 from rollmatch.streaming.intake import start_intake_stream
 
@@ -68,11 +70,8 @@ def raw_rosters(spark: SparkSession, sf_dir: str):
     """Intake: derive both rosters from the tables once, snapshot them as Parquet in the
     shared checkpoint folder (as the original intake saves its batches), read them back."""
     def build():
-        files = spark.sparkContext.defaultParallelism
-        s_raw = write_snapshot(fixtures.student_roster(spark, sf_dir),
-                               snapshot_path(spark, sf_dir, "s_raw"), files)
-        p_raw = write_snapshot(fixtures.meal_roster(spark, sf_dir),
-                               snapshot_path(spark, sf_dir, "p_raw"), files)
+        s_raw = write_snapshot(fixtures.student_roster(spark, sf_dir), snapshot_path(spark, sf_dir, "s_raw"))
+        p_raw = write_snapshot(fixtures.meal_roster(spark, sf_dir), snapshot_path(spark, sf_dir, "p_raw"))
         return s_raw, p_raw, prepare_dimension(fixtures.district_dimension(spark, sf_dir))
     return _memo(spark, ("raw", sf_dir), build)
 
@@ -82,7 +81,7 @@ def keyed_rosters(spark: SparkSession, sf_dir: str, policy: str = "name_dob"):
     key policy: reports then read only the columns they use."""
     def build():
         s_raw, p_raw, _ = raw_rosters(spark, sf_dir)
-        # map-only from the raw snapshot, which is already evenly split: no repartition
+        # map-only from the raw snapshot
         return tuple(
             write_snapshot(keyed_side(raw, side, policy), snapshot_path(spark, sf_dir, side.prefix + policy))
             for raw, side in ((s_raw, S), (p_raw, P)))
@@ -129,7 +128,9 @@ def dedup_roster_by_id_length(spark, sf_dir):
 
 
 def duplicate_flags_q(spark, sf_dir):
-    return duplicate_flags(rec(spark, sf_dir).s_rows, S).select(S.col("seq"), "join_key", "is_duplicate")
+    r = rec(spark, sf_dir)
+    rows = r.s_rows.select(S.col("seq"), "join_key")
+    return duplicate_flags(rows, S, keys=r.s_keys).select(S.col("seq"), "join_key", "is_duplicate")
 
 
 def duplicate_profile(spark, sf_dir):
@@ -138,7 +139,10 @@ def duplicate_profile(spark, sf_dir):
         M.duplicate_profile(r.s_rows, "join_key", "s_join_key"),
         M.duplicate_profile(r.p_rows, "join_key", "p_join_key"),
         M.duplicate_profile(r.match, "join_key", "match_join_key"),
-        M.duplicate_profile(r.s_rows, S.col("pasecureid"), "s_pasecureid"),
+        M.duplicate_profile(id_list(r.s_rows, S), "PAsecureID", "s_ids"),
+        M.duplicate_profile(id_list(r.p_rows, P), "PAsecureID", "p_ids"),
+        M.matched_id_profile(r.s_rows, r.p_rows, S, "match_s_pasecureid"),
+        M.matched_id_profile(r.p_rows, r.s_rows, P, "match_p_pasecureid"),
     ]
     out = parts[0]
     for p in parts[1:]:
@@ -164,12 +168,12 @@ def match_many_to_many(spark, sf_dir):
 
 def unmatched_left(spark, sf_dir):
     r = rec(spark, sf_dir)
-    return unmatched(r.s_rows, r.p_rows)
+    return unmatched(r.s_rows, r.p_rows, r.p_keys)
 
 
 def unmatched_right(spark, sf_dir):
     r = rec(spark, sf_dir)
-    return unmatched(r.p_rows, r.s_rows)
+    return unmatched(r.p_rows, r.s_rows, r.s_keys)
 
 
 def unmatched_ids_q(spark, sf_dir):
@@ -206,13 +210,14 @@ def student_count_comparison_dedup(spark, sf_dir):
 
 def eligibility_comparison(spark, sf_dir):
     r = rec(spark, sf_dir)
-    return M.eligibility_comparison(r.table, S, P, r.dim)
+    return M.eligibility_comparison(r.slim_table, S, P, r.dim)
 
 
 def _mismatch(measure, **options):
     def q(spark, sf_dir):
         r = rec(spark, sf_dir, **options)
-        return M.mismatch_report(r.table, measure, S, r.dim)
+        table = r.address_table if measure == "address_mismatch_count" else r.slim_table
+        return M.mismatch_report(table, measure, S, r.dim)
     return q
 
 
@@ -240,7 +245,7 @@ def id_length_counts_raw(spark, sf_dir):
 
 def matched_students(spark, sf_dir):
     r = rec(spark, sf_dir)
-    return M.matched_students(r.table, S, r.dim)
+    return M.matched_students(r.slim_table, S, r.dim)
 
 
 def repeated_students_left(spark, sf_dir):
@@ -289,12 +294,8 @@ def frequency_table(spark, sf_dir):
     return M.frequency_table(dups, "num_duplicated_join_keys")
 
 
-def _summary(r: Reconciliation) -> DataFrame:
-    return r.summary()
-
-
 def district_summary_q(spark, sf_dir):
-    return _summary(rec(spark, sf_dir, transpositions=ORACLE_TRANSPOSITIONS))
+    return rec(spark, sf_dir, transpositions=ORACLE_TRANSPOSITIONS).summary()
 
 
 def district_summary_raw_q(spark, sf_dir):
@@ -302,9 +303,8 @@ def district_summary_raw_q(spark, sf_dir):
 
 
 def crosstab_row_percent(spark, sf_dir):
-    summ = _summary(rec(spark, sf_dir, transpositions=ORACLE_TRANSPOSITIONS))
-    flagged = summ.withColumn("missing_address_count", (F.col("address_mismatch_count") == 0).cast("int"))
-    return M.crosstab_row_percent(flagged, "schl_type", "missing_address_count")
+    r = rec(spark, sf_dir, transpositions=ORACLE_TRANSPOSITIONS)
+    return M.crosstab_row_percent(M.address_value_missing(r.address_table, S, r.dim), "schl_type", "missing_address_count")
 
 
 def difference_histogram(spark, sf_dir):
@@ -335,16 +335,17 @@ def _roster_csv_folder(spark, sf_dir) -> str:
     def build():
         s_raw = raw_rosters(spark, sf_dir)[0]
         folder = snapshot_path(spark, sf_dir, "s_csv")
-        (s_raw.select(*INTAKE_NAMES).repartition(spark.sparkContext.defaultParallelism)
+        (s_raw.select(*INTAKE_NAMES)
          .write.mode("overwrite").option("header", True).option("nullValue", "NA").csv(folder))
         return folder
     return _memo(spark, ("csv", sf_dir), build)
 
 
 def csv_intake_roster(spark, sf_dir):
-    """The student roster's CSV folder read back by the strict positional reader and
-    cleaned: the 25 cleaned fields."""
-    rows = prepare_side(scan_rosters(spark, _roster_csv_folder(spark, sf_dir), mode="strict", check=True), S)
+    """The student roster's CSV folder taken in by the strict batch intake: the 25 cleaned fields."""
+    def build():
+        return intake_batch(spark, _roster_csv_folder(spark, sf_dir), S, snapshot_path(spark, sf_dir, "s_intake"))
+    rows = _memo(spark, ("intake", sf_dir), build)
     return rows.select(*S.cols(INTAKE_NAMES))
 
 
@@ -361,24 +362,42 @@ def streamed_intake_roster(spark, sf_dir):
     return spark.read.parquet(sink).select(*S.cols(INTAKE_NAMES))
 
 
+def csv_file_report(spark, sf_dir):
+    """The folder report of the same CSV files, summed by status (file names are not reproducible in SQL)."""
+    folder = _roster_csv_folder(spark, sf_dir)
+    report = folder_report(spark, folder, scan_rosters(spark, folder, mode="lenient"))
+    return report.groupBy("status").agg(
+        F.min("header_fields").alias("header_fields"), F.sum("rows").alias("rows"),
+        F.sum("bad_width_rows").alias("bad_width_rows"), F.sum("blank_first_name_rows").alias("blank_first_name_rows"))
+
+
 def combined_batches(spark, sf_dir):
+    return _combined(spark, sf_dir).select("batch", *S.cols(INTAKE_NAMES))
+
+
+def dedup_combined_batches(spark, sf_dir):
+    """De-duplication over the combined batches: of equally complete rows the one of the earlier
+    batch stays. Key, missing count and batch of the kept rows."""
+    rows = keyed_side(_combined(spark, sf_dir), S, prepared=True)
+    return dedup_by_key(rows, S, ORDER).select("join_key", S.col("missing_count"), "batch")
+
+
+def _combined(spark, sf_dir):
     """Batch intake end to end: the student roster written as two CSV batch folders
     (rows with validation output "valid" in batch b1, the rest in b2), each taken in by
     the strict intake, then stacked with batch labels keeping well-formed district ids."""
     def build():
         s_raw = raw_rosters(spark, sf_dir)[0].select(*INTAKE_NAMES)
         root = snapshot_path(spark, sf_dir, "s_batches")
-        files = spark.sparkContext.defaultParallelism
         in_b1 = F.coalesce(F.col("validation_output") == "valid", F.lit(False))
         snaps = {}
         for name, cond in (("b1", in_b1), ("b2", ~in_b1)):
-            (s_raw.filter(cond).repartition(files).write.mode("overwrite")
+            (s_raw.filter(cond).write.mode("overwrite")
              .option("header", True).option("nullValue", "NA").csv(f"{root}/{name}_csv"))
             intake_batch(spark, f"{root}/{name}_csv", S, f"{root}/{name}_snap")
             snaps[name] = f"{root}/{name}_snap"
         return combine_batches(spark, snaps, S, f"{root}/all")
-    rows = _memo(spark, ("batches", sf_dir), build)
-    return rows.select("batch", *S.cols(INTAKE_NAMES))
+    return _memo(spark, ("batches", sf_dir), build)
 
 
 # The sheet layout the dimension loader expects (three leading rows, then a
@@ -411,12 +430,30 @@ def consolidated_roster(spark, sf_dir):
     return consolidate_rosters(s_raw, p_raw)
 
 
+def _consolidated(side, raw_of, pattern, file_name):
+    """One roster kind through ``consolidate_folder``: half of the rows (with a 9-digit district id)
+    as DC-only CSV files named by district, the other half as the Full User intake snapshot."""
+    def q(spark, sf_dir):
+        def build():
+            raw = raw_of(raw_rosters(spark, sf_dir))
+            folder = snapshot_path(spark, sf_dir, side.prefix + "dc_only")
+            district = plain_aun("aun9_3")
+            dc = raw.filter((F.col("seq") % 4 < 2) & district.rlike(r"^\d{9}$"))
+            write_named_csv(dc.select(*INTAKE_NAMES, district.alias("district")), "district", folder, file_name)
+            full = write_snapshot(prepare_side(raw.filter(F.col("seq") % 4 >= 2).select(*INTAKE_NAMES), side),
+                                  snapshot_path(spark, sf_dir, side.prefix + "full_user"))
+            return folder, full
+        folder, full = _memo(spark, ("consolidate", side.prefix, sf_dir), build)
+        return consolidate_folder(spark, folder, pattern, full)
+    return q
+
+
 # ------------------------------------------------------------------ raw many-to-many measures
 
 def _raw(kind):
     def q(spark, sf_dir):
         r = rec(spark, sf_dir)
-        t = r.pair_table
+        t = r.pair_measures(kind)
         if kind == "eligibility":
             return M.eligibility_comparison(t, S, P, r.dim)
         if kind == "matched":
@@ -427,12 +464,12 @@ def _raw(kind):
 
 def _raw_parent_and(spark, sf_dir):
     r = rec(spark, sf_dir, parent_mode="and")
-    return M.mismatch_report(r.pair_table, "parent_name_mismatch_count", S, r.dim)
+    return M.mismatch_report(r.pair_measures("parent_name_mismatch_count"), "parent_name_mismatch_count", S, r.dim)
 
 
 def _parent_and(spark, sf_dir):
     r = rec(spark, sf_dir, parent_mode="and")
-    return M.mismatch_report(r.table, "parent_name_mismatch_count", S, r.dim)
+    return M.mismatch_report(r.slim_table, "parent_name_mismatch_count", S, r.dim)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -482,10 +519,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "district_summary": district_summary_q,
     "district_summary_raw": district_summary_raw_q,
     "consolidated_roster": consolidated_roster,
+    "consolidated_upload": _consolidated(S, lambda r: r[0], UPLOAD_FILE_AUN, "roster_1_{name}_{k}.csv"),
+    "consolidated_meal": _consolidated(P, lambda r: r[1], MEAL_FILE_AUN, "x{name}_{k}.csv"),
     "csv_intake_roster": csv_intake_roster,
+    "csv_file_report": csv_file_report,
     "streamed_intake_roster": streamed_intake_roster,
     "district_dimension_load": district_dimension_load,
     "combined_batches": combined_batches,
+    "dedup_combined_batches": dedup_combined_batches,
     "first_last_districts": first_last_districts,
     "eligibility_comparison_raw": _raw("eligibility"),
     "site_code_mismatches_raw": _raw("school_code_mismatch_count"),

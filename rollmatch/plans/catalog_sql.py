@@ -29,7 +29,8 @@ def _plain_nation(n: str = "n_nationkey") -> str:
 def roster_sql(side: int) -> str:
     meal = side == 1
     aun = ("CASE WHEN o_orderkey % 97 = 0 THEN '' WHEN o_orderkey % 89 = 0 THEN NULL "
-           + ("WHEN n_nationkey = 24 THEN '124241684' " if meal else "") + f"ELSE {_dashed()} END")
+           + ("WHEN n_nationkey = 24 THEN '124241684' " if meal else f"WHEN o_orderkey % 83 = 0 THEN {_plain_nation()} ")
+           + f"ELSE {_dashed()} END")
     shift = "CASE WHEN c_custkey % 8 = 0 THEN 1 ELSE 0 END" if meal else "0"
     if meal:
         addr = ("CASE WHEN c_custkey % 29 = 0 THEN '' WHEN c_custkey % 37 = 0 THEN NULL "
@@ -46,6 +47,7 @@ def roster_sql(side: int) -> str:
                  "ELSE 'pl' || CAST(c_custkey % 43 AS VARCHAR) END")
     else:
         addr = ("CASE WHEN c_custkey % 29 = 0 THEN '' WHEN c_custkey % 37 = 0 THEN NULL "
+                "WHEN c_custkey % 41 = 0 THEN '1 Caf' || chr(65533) || ' Street' "
                 "ELSE CAST(c_custkey % 50 AS VARCHAR) || ' ' || upper(p_name) || ' Street' END")
         elig_first = ""
         case_no = "CASE WHEN c_custkey % 17 = 0 THEN NULL ELSE 'C' || CAST(c_custkey AS VARCHAR) END"
@@ -85,7 +87,7 @@ def roster_sql(side: int) -> str:
     sel = ",\n  ".join(f"{v} AS {k}" for k, v in cols.items())
     return (f"SELECT o_orderkey AS seq,\n  {sel}\n"
             "FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey\n"
-            f"  JOIN part ON p_partkey = c_custkey % 200\nWHERE o_orderkey % 2 = {side}")
+            f"  JOIN part ON p_partkey = c_custkey\nWHERE o_orderkey % 2 = {side}")
 
 
 DIM_SQL = (f"SELECT {_plain_nation()} AS aun_2, 'District ' || n_name AS sfa_name, "
@@ -306,9 +308,25 @@ def _consolidated() -> str:
         if c == "AUN":
             fu_cols.append(f"{n} AS AUN_original")
         fu_cols.append(f"{n} AS {c}")
-    return (f"SELECT {', '.join(dc_cols)}, seq, 'DC only' AS usertype FROM p_raw "
+    return (f"SELECT {', '.join(dc_cols)}, 'DC only' AS usertype FROM p_raw "
             f"WHERE student_first_name IS NOT NULL AND student_first_name <> '' "
-            f"UNION ALL SELECT {', '.join(fu_cols)}, seq, 'Full User' AS usertype FROM s_raw")
+            f"UNION ALL SELECT {', '.join(fu_cols)}, 'Full User' AS usertype FROM s_raw")
+
+
+def _consolidated_kind(pre: str) -> str:
+    """Half of a side's raw rows as DC-only files named by district, the other half cleaned as Full User."""
+    dashed = rf"regexp_replace({_plain('aun9_3')}, '^(\d{{3}})(\d{{2}})(\d{{3}})(\d{{1}})$', '\1-\2-\3-\4')"
+    dc, full = [], []
+    for n, c in zip(INTAKE_NAMES, CONSOLIDATED_NAMES):
+        if c == "AUN":
+            dc += [f"{n} AS AUN_original", f"{dashed} AS AUN"]
+            full += [f"{pre}{n} AS AUN_original", f"{pre}{n} AS AUN"]
+        else:
+            dc.append(f"{n} AS {c}")
+            full.append(f"{pre}{n} AS {c}")
+    return (f"SELECT {', '.join(dc)}, 'DC only' AS usertype FROM {pre}raw WHERE seq % 4 < 2 "
+            rf"AND regexp_full_match({_plain('aun9_3')}, '\d{{9}}') AND student_first_name IS NOT NULL AND student_first_name <> '' "
+            f"UNION ALL SELECT {', '.join(full)}, 'Full User' AS usertype FROM {pre}clean WHERE {pre}seq % 4 >= 2")
 
 
 def _aun_formatting() -> str:
@@ -337,7 +355,9 @@ def oracle_sql() -> dict[str, str]:
         "duplicate_profile": _sel(" UNION ALL ".join([
             dup_profile("s_rows", "join_key", "s_join_key"), dup_profile("p_rows", "join_key", "p_join_key"),
             dup_profile("match1", "join_key", "match_join_key"),
-            dup_profile("s_rows", "s_pasecureid", "s_pasecureid")])),
+            *[dup_profile(f"(SELECT DISTINCT {x}aun9_3, {x}pasecureid, {x}student_first_name, {x}student_last_name "
+                          f"FROM {x}rows)", f"{x}pasecureid", f"{x}ids") for x in ("s_", "p_")],
+            *[dup_profile("m2m", f"{x}pasecureid", f"match_{x}pasecureid") for x in ("s_", "p_")]])),
         "repeated_secure_ids": _sel(
             f"SELECT r.*, {_plain('r.s_aun9_3')} AS AUN, mds.sfa_name, mds.schl_type FROM "
             "(SELECT s_pasecureid, arg_min(s_aun9_3, s_seq) AS s_aun9_3, "
@@ -407,8 +427,9 @@ def oracle_sql() -> dict[str, str]:
         "crosstab_row_percent": _sel(
             "SELECT schl_type, count(CASE WHEN f = 0 THEN 1 END) AS n_0, count(CASE WHEN f = 1 THEN 1 END) AS n_1, "
             "count(CASE WHEN f = 0 THEN 1 END) / count(*) AS pct_0, count(CASE WHEN f = 1 THEN 1 END) / count(*) "
-            "AS pct_1 FROM (SELECT schl_type, CAST(address_mismatch_count = 0 AS INTEGER) AS f FROM summ) "
-            "GROUP BY schl_type", extra=summary()),
+            "AS pct_1 FROM (SELECT mds.schl_type, CAST(r.aun IS NULL AS INTEGER) AS f FROM mds LEFT JOIN "
+            f"(SELECT {_plain('s_aun9_3')} AS aun FROM mt GROUP BY 1 HAVING sum(address_mismatch_count) > 0) r "
+            "ON mds.aun_2 = r.aun) GROUP BY schl_type"),
         "difference_histogram": _sel(
             f"SELECT CAST(floor((d.num_duplicated_join_keys - t.total_students) / 10) * 10 AS BIGINT) AS bucket_start, "
             f"count(*) AS n, CAST(floor((d.num_duplicated_join_keys - t.total_students) / 10) * 10 AS BIGINT) + 10 "
@@ -422,6 +443,16 @@ def oracle_sql() -> dict[str, str]:
         "district_summary_raw": _sel("SELECT * FROM summ_raw",
                                      extra=summary("s_rows", "p_rows", "pt", address=False, name="summ_raw")),
         "consolidated_roster": _sel(_consolidated()),
+        "consolidated_upload": _sel(_consolidated_kind("s_")),
+        "consolidated_meal": _sel(_consolidated_kind("p_")),
+        "csv_file_report": _sel(
+            "SELECT 'ok' AS status, 25 AS header_fields, count(*) AS rows, CAST(0 AS BIGINT) AS bad_width_rows, "
+            "count(CASE WHEN student_first_name IS NULL OR student_first_name = '' THEN 1 END) AS blank_first_name_rows FROM s_raw"),
+        "dedup_combined_batches": _sel(
+            "SELECT join_key, s_missing_count, batch FROM (SELECT *, CASE WHEN coalesce(s_validation_output = 'valid', false) "
+            "THEN 'b1' ELSE 'b2' END AS batch FROM s_rows "
+            f"WHERE coalesce(regexp_matches(s_aun9_3, {AUN_OK}), false)) "
+            "QUALIFY row_number() OVER (PARTITION BY join_key ORDER BY s_missing_count, batch) = 1"),
         "district_dimension_load": _sel("SELECT * FROM mds"),
         "combined_batches": _sel(
             "SELECT CASE WHEN coalesce(s_validation_output = 'valid', false) THEN 'b1' ELSE 'b2' END AS batch, "

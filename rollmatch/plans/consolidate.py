@@ -6,8 +6,7 @@
 * "Full User" rows come from the intake snapshots: the first 25 columns are
   relabelled to the consolidated names and ``AUN_original`` copies ``AUN``.
 
-Both are stacked by name; a column missing on one part is NULL there. Pure
-projection/union: no shuffle.
+Both are stacked in one layout of 27 columns. Pure projection/union: no shuffle.
 """
 
 from __future__ import annotations
@@ -24,38 +23,35 @@ DC_ONLY = "DC only"
 FULL_USER = "Full User"
 
 
-def _with_original_first(df: DataFrame) -> DataFrame:
-    cols = [c for c in df.columns if c not in ("AUN_original", "AUN")]
-    i = cols.index("LEAname") + 1
-    return df.select(*cols[:i], "AUN_original", "AUN", *cols[i:])
+#: The consolidated columns in order: the 25 fields, the id as written in the file before ``AUN``, the user group.
+LAYOUT = tuple(x for c in CONSOLIDATED_NAMES for x in (("AUN_original", c) if c == "AUN" else (c,))) + ("usertype",)
 
 
 def dc_only(df: DataFrame, pattern: str, file_col: str = "source_file") -> DataFrame:
-    """25 consolidated columns + ``file_col`` -> DC-only rows (file column dropped)."""
+    """25 consolidated columns + ``file_col`` -> DC-only rows in the layout."""
     out = require(df, ["studentfirstname"]).withColumnRenamed("AUN", "AUN_original")
-    out = out.withColumn("AUN", format_aun(aun_from_filename(file_col, pattern))).drop(file_col)
-    return with_label(_with_original_first(out), "usertype", DC_ONLY)
+    out = out.withColumn("AUN", format_aun(aun_from_filename(file_col, pattern)))
+    return with_label(out, "usertype", DC_ONLY).select(*LAYOUT)
 
 
 def full_user(df: DataFrame) -> DataFrame:
-    """Snapshot rows (first 25 columns by position) -> Full User rows."""
-    out = relabel(df, CONSOLIDATED_NAMES)
-    out = with_label(out, "usertype", FULL_USER).withColumn("AUN_original", F.col("AUN"))
-    return _with_original_first(out)
+    """Snapshot rows (first 25 columns by position) -> Full User rows in the layout."""
+    out = relabel(df.select(*df.columns[:len(CONSOLIDATED_NAMES)]), CONSOLIDATED_NAMES)
+    return with_label(out, "usertype", FULL_USER).withColumn("AUN_original", F.col("AUN")).select(*LAYOUT)
 
 
 def consolidate(dc: DataFrame, full: DataFrame) -> DataFrame:
-    return dc.unionByName(full, allowMissingColumns=True)
+    return dc.unionByName(full)
 
 
 def consolidate_rosters(s_raw: DataFrame, p_raw: DataFrame) -> DataFrame:
-    """Consolidation of a roster pair (25 intake fields + ``seq``): P rows as DC-only files
+    """Consolidation of a roster pair (25 intake fields): P rows as DC-only files
     named ``x<district id>...``, S rows as Full User snapshot rows."""
     files = p_raw.select(
-        *[F.col(n).alias(c) for n, c in zip(INTAKE_NAMES, CONSOLIDATED_NAMES)], "seq",
+        *[F.col(n).alias(c) for n, c in zip(INTAKE_NAMES, CONSOLIDATED_NAMES)],
         F.concat(F.lit("x"), plain_aun("aun9_3"), F.lit("_meals.csv")).alias("source_file"),
     )
-    return consolidate(dc_only(files, MEAL_FILE_AUN), full_user(s_raw.select(*INTAKE_NAMES, "seq")))
+    return consolidate(dc_only(files, MEAL_FILE_AUN), full_user(s_raw.select(*INTAKE_NAMES)))
 
 
 def consolidate_folder(spark, dc_folder: str, pattern: str, full_user_rows: DataFrame,
@@ -63,8 +59,7 @@ def consolidate_folder(spark, dc_folder: str, pattern: str, full_user_rows: Data
     """The whole consolidation for one roster kind: a folder of DC-only CSV files (read
     leniently under the consolidated names; widths reported, not raised) stacked with
     the Full User intake snapshot rows."""
-    from rollmatch.sources.csv import BAD_WIDTH, SOURCE_FILE, SOURCE_ROW, scan_rosters
+    from rollmatch.sources.csv import SOURCE_FILE, scan_rosters
 
     files = scan_rosters(spark, dc_folder, names=CONSOLIDATED_NAMES, mode="lenient", encoding=encoding)
-    files = files.drop(SOURCE_ROW, BAD_WIDTH).withColumnRenamed(SOURCE_FILE, "source_file")
-    return consolidate(dc_only(files, pattern), full_user(full_user_rows))
+    return consolidate(dc_only(files, pattern, SOURCE_FILE), full_user(full_user_rows))

@@ -1,8 +1,10 @@
 """Batch intake: CSV folder -> prefixed, cleaned rows with both ids -> Parquet snapshot.
 
-One CSV pass: the scan, cleaning and the id filter run as one map-only job that
-writes the snapshot; the width check then reads a single flag column of the
-snapshot (Parquet pushdown) instead of scanning the CSV a second time.
+One pass over the rows: scan, cleaning and the id filter run as one map-only job that
+writes a staging snapshot, in which rows of the wrong width stay even without ids. Strict
+mode then checks the width flag there (one column) and the files' headers, raises with
+the names of all files at fault, and only after that puts the staging snapshot in the
+place of the published one: a failed intake leaves the earlier snapshot untouched.
 """
 
 from __future__ import annotations
@@ -13,27 +15,28 @@ from pyspark.sql import functions as F
 from rollmatch.functions.aun import valid_aun
 from rollmatch.operators.cleaning import prepare_side
 from rollmatch.schema import Side
-from rollmatch.sources.csv import BAD_WIDTH, SOURCE_FILE, scan_rosters
-from rollmatch.sources.snapshot import read_snapshot, write_snapshot
+from rollmatch.sources.csv import BAD_WIDTH, SOURCE_BATCH, headers, raise_on_widths, scan_rosters
+from rollmatch.sources.snapshot import publish_snapshot, read_snapshot, write_snapshot
 
 
 def intake_batch(spark: SparkSession, folder: str, side: Side, snapshot: str, mode: str = "strict",
                  **scan_options) -> DataFrame:
-    """Scan one batch folder, clean, keep rows with both ids, write ``snapshot``; strict widths raise."""
+    """Scan one batch folder, clean, keep rows with both ids, publish ``snapshot``; strict widths raise before."""
     raw = scan_rosters(spark, folder, mode=mode, **scan_options)
-    rows = write_snapshot(prepare_side(raw, side), snapshot)
-    if mode == "strict":
-        flag, file_col = side.col(BAD_WIDTH), side.col(SOURCE_FILE)
-        bad = [r[0] for r in rows.filter(F.col(flag)).select(file_col).distinct().limit(20).collect()]
-        if bad:
-            raise ValueError(f"Column count mismatch in file(s): {sorted(bad)}")
-    return rows
+    if mode != "strict":
+        return write_snapshot(prepare_side(raw, side), snapshot)
+    staging = snapshot.rstrip("/") + "_staging"
+    rows = write_snapshot(prepare_side(raw, side, keep_flagged=BAD_WIDTH), staging)
+    raise_on_widths(rows, headers(spark, folder, encoding=scan_options.get("encoding", "UTF-8")), side)
+    return publish_snapshot(spark, staging, snapshot)
 
 
 def combine_batches(spark: SparkSession, snapshots: dict[str, str], side: Side, out: str,
                     valid_ids_only: bool = True) -> DataFrame:
-    """Stack batch snapshots (labelled ``batch``), keep well-formed district ids, write ``out``."""
-    parts = [read_snapshot(spark, p).withColumn("batch", F.lit(name)) for name, p in snapshots.items()]
+    """Stack batch snapshots in the given order (labelled ``batch``, position in ``src_batch``), keep
+    well-formed district ids, write ``out``."""
+    parts = [read_snapshot(spark, p).withColumns({"batch": F.lit(name), side.col(SOURCE_BATCH): F.lit(i)})
+             for i, (name, p) in enumerate(snapshots.items())]
     combined = parts[0]
     for p in parts[1:]:
         combined = combined.unionByName(p, allowMissingColumns=True)

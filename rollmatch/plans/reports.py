@@ -22,7 +22,7 @@ def district_reports(r: Reconciliation, dedup: bool = True) -> dict[str, DataFra
     s, p = r.s, r.p
     s_side = r.s_undup if dedup else r.s_rows
     p_side = r.p_undup if dedup else r.p_rows
-    table = r.table if dedup else r.pair_table
+    table = r.slim_table if dedup else r.pair_table
     out = {
         "cg_students_p": M.student_counts(p_side, p, r.dim),
         "ch_students_s": M.student_counts(s_side, s, r.dim),
@@ -36,18 +36,14 @@ def district_reports(r: Reconciliation, dedup: bool = True) -> dict[str, DataFra
         "da_repeated_students_s": M.repeated_students(r.s_rows, s, r.order),
     }
     if dedup:
-        out["cu_address_mismatches"] = M.mismatch_report(table, "address_mismatch_count", s, r.dim)
+        out["cu_address_mismatches"] = M.mismatch_report(r.address_table, "address_mismatch_count", s, r.dim)
     return out
 
 
-def summary(r: Reconciliation) -> DataFrame:
-    return r.summary()
-
-
 def write_reports(r: Reconciliation, out_dir: str, fmt: str = "parquet", dedup: bool = True) -> dict[str, str]:
     """Checkpoint the de-duplicated sides once, then write every report and the summary."""
     if dedup:
         r.materialize()
     reports = district_reports(r, dedup)
-    reports["summary"] = summary(r) if dedup else r.summary_raw()
+    reports["summary"] = r.summary() if dedup else r.summary_raw()
     return export_measures(reports, out_dir, fmt)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -47,7 +48,8 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The session's checkpoint folder; set once, from ``spark.checkpoint.dir`` when given.
 
-    Only when the session names none (tests, local runs) is a temporary folder made.
+    A session on one machine that names none (tests, local runs) gets a temporary folder.
+    Anywhere else that is an error: other machines would not see such a folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -55,6 +57,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     target = sc.getConf().get("spark.checkpoint.dir", None)
     if target is None:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         target = tempfile.mkdtemp(prefix="rollmatch-ckpt-", dir=os.environ.get("ROLLMATCH_TMP", "/tmp"))
     sc.setCheckpointDir(target)
     return sc.getCheckpointDir() or target

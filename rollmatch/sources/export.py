@@ -26,3 +26,26 @@ def export_measures(measures: dict[str, DataFrame], path: str, fmt: str = "parqu
         w.save(target)
         out[name] = target
     return out
+
+
+def write_named_csv(df: DataFrame, name_col: str, folder: str, file_name: str) -> None:
+    """CSV files named after a column: ``file_name`` with ``{name}`` (the value) and ``{k}`` (a running number).
+
+    Rows stay in the tasks that hold them; the driver only renames the part files, one or
+    more for each value. NULL is written as ``NA``, white space as it is.
+    """
+    spark, parts = df.sparkSession, folder.rstrip("/") + "_parts"
+    (df.write.mode("overwrite").partitionBy(name_col).option("header", True).option("nullValue", "NA")
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(parts))
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path
+    fs = path(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.delete(path(folder), True)
+    fs.mkdirs(path(folder))
+    for d in fs.listStatus(path(parts)):
+        if d.isDirectory():
+            name = d.getPath().getName().split("=", 1)[1]
+            files = [f.getPath() for f in fs.listStatus(d.getPath()) if f.getPath().getName().startswith("part-")]
+            for k, f in enumerate(files):
+                fs.rename(f, path(f"{folder}/{file_name.format(name=name, k=k)}"))
+    fs.delete(path(parts), True)

@@ -5,12 +5,13 @@ student upload, odd: meal system), so the whole ``orders`` table is used and the
 rosters grow with it. A customer is one student; their several orders are the
 repeated rows a roster carries. Each field is a function of the customer, the
 order and the side, built so that the traits the reconciliation must handle are
-present: blank and missing district ids, an undashed id on one side, secure ids
+present: blank and missing district ids, undashed ids on both sides, an undecodable
+address, secure ids
 of 7/10/12 characters, padded mixed-case names, missing names, eligibility /
 site / case / guardian / address values that differ between sides, addresses
 equal only after standardization, and districts absent from the dimension.
 
-The DuckDB oracle uses the same definition in SQL (``rollmatch.checks.oracle_sql``).
+The DuckDB oracle uses the same definition in SQL (``rollmatch.plans.catalog_sql``).
 """
 
 from __future__ import annotations
@@ -18,15 +19,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollmatch.operators.dimension import bounded_broadcast
 from rollmatch.schema import INTAKE_NAMES
 
 # Nations whose district is left out of the district dimension.
 ABSENT_DISTRICTS = (5, 17)
 # The nation whose id the meal system writes without dashes.
 UNDASHED_NATION = 24
-# The street-name source is the first 200 parts.
-STREET_PARTS = 200
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,6 +56,8 @@ def _roster_columns(side: int) -> dict[str, Column]:
     aun = F.when(o % 97 == 0, F.lit("")).when(o % 89 == 0, none)
     if meal:
         aun = aun.when(n == UNDASHED_NATION, F.lit("124241684"))
+    else:
+        aun = aun.when(o % 83 == 0, plain_nation_aun(n))
     aun = aun.otherwise(dashed_aun(n))
 
     code_shift = F.when(c % 8 == 0, F.lit(1)).otherwise(F.lit(0)) if meal else F.lit(0)
@@ -71,7 +71,8 @@ def _roster_columns(side: int) -> dict[str, Column]:
             .otherwise(F.concat(_s(c % 50), F.lit(" "), F.col("p_name"), F.lit(" St.")))
         )
     else:
-        address1 = address1.otherwise(F.concat(_s(c % 50), F.lit(" "), F.upper("p_name"), F.lit(" Street")))
+        address1 = (address1.when(c % 41 == 0, F.lit("1 Caf\ufffd Street"))
+                    .otherwise(F.concat(_s(c % 50), F.lit(" "), F.upper("p_name"), F.lit(" Street"))))
 
     seg = F.col("c_mktsegment")
     elig_rules = [(c % 9 == 0, "FREE")] if meal else []
@@ -131,21 +132,15 @@ def _roster_columns(side: int) -> dict[str, Column]:
 def roster(spark: SparkSession, sf_dir: str, side: int) -> DataFrame:
     """Raw roster of one side: ``seq`` (row order) + the 25 intake fields, all text."""
     orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
-    # A small table can arrive as one split; spread it so the derivation is not one task.
-    # (A large table already has many splits and is left as it is.)
-    parallelism = spark.sparkContext.defaultParallelism
-    if orders.rdd.getNumPartitions() < parallelism:
-        orders = orders.repartition(parallelism)
     customer = _table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     nation = _table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    # Broadcast only after checking it holds at most STREET_PARTS rows.
-    parts = bounded_broadcast(_table(spark, sf_dir, "part").select("p_partkey", "p_name")
-                              .filter(F.col("p_partkey") < STREET_PARTS), STREET_PARTS)
+    # every customer has a street of their own: parts and customers share a key range
+    parts = _table(spark, sf_dir, "part").select("p_partkey", "p_name")
     joined = (
         orders.filter(F.col("o_orderkey") % 2 == side)
         .join(customer, F.col("o_custkey") == F.col("c_custkey"))
         .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-        .join(parts, F.col("p_partkey") == F.col("c_custkey") % STREET_PARTS)
+        .join(parts, F.col("p_partkey") == F.col("c_custkey"))
     )
     cols = _roster_columns(side)
     return joined.select(F.col("o_orderkey").alias("seq"), *[v.alias(k) for k, v in cols.items()])

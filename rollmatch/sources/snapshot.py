@@ -25,16 +25,24 @@ def snapshot_path(spark: SparkSession, *parts: str) -> str:
     return f"{snapshot_root(spark)}/{tag}"
 
 
-def write_snapshot(df: DataFrame, path: str, files: int | None = None) -> DataFrame:
-    """Write ``df`` as Parquet at ``path`` and return the frame reading it back.
-
-    ``files`` spreads the rows evenly over that many files (round robin, so a hot
-    key cannot make one file large); leave it unset to keep the input's split.
-    """
-    out = df.repartition(files) if files else df
-    out.write.mode("overwrite").parquet(path)
+def write_snapshot(df: DataFrame, path: str) -> DataFrame:
+    """Write ``df`` as Parquet at ``path`` (in the input's split) and return the frame reading it back."""
+    df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
+def publish_snapshot(spark: SparkSession, staging: str, path: str) -> DataFrame:
+    """Put a complete snapshot written at ``staging`` in the place of ``path`` and read it."""
+    jvm = spark.sparkContext._jvm
+    src, dst = jvm.org.apache.hadoop.fs.Path(staging), jvm.org.apache.hadoop.fs.Path(path)
+    fs = src.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(dst):
+        fs.delete(dst, True)
+    fs.mkdirs(dst.getParent())
+    if not fs.rename(src, dst):
+        raise OSError(f"could not move {staging} to {path}")
+    return read_snapshot(spark, path)
+
+
 def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)

@@ -10,7 +10,7 @@ failed run continues where it stopped.
 ``trigger(availableNow=True)`` processes everything present and stops, which is
 how a batch drop is handled; a long-running trigger keeps watching the folder.
 Width problems are not raised mid-stream: every row carries ``bad_width`` and
-``sources.csv.file_report`` on the snapshot lists affected files.
+``sources.csv.folder_report`` on a scan of the folder lists affected files.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from rollmatch.operators.cleaning import prepare_side
 from rollmatch.schema import INTAKE_NAMES, Side, roster_schema
-from rollmatch.sources.csv import CORRUPT, SOURCE_FILE, normalize, reader_options, reject_hidden_csv
+from rollmatch.sources.csv import CORRUPT, SOURCE_BATCH, SOURCE_FILE, normalize, reader_options, reject_hidden_csv
 
 
 def start_intake_stream(spark: SparkSession, folder: str, side: Side, sink: str, checkpoint: str,
@@ -43,7 +43,8 @@ def start_intake_stream(spark: SparkSession, folder: str, side: Side, sink: str,
            .select("*", F.col("_metadata.file_name").alias(SOURCE_FILE)))
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        rows = prepare_side(normalize(batch, INTAKE_NAMES, blank), side)
+        placed = normalize(batch, INTAKE_NAMES, blank).withColumn(SOURCE_BATCH, F.lit(batch_id).cast("int"))
+        rows = prepare_side(placed, side)
         rows.write.mode("overwrite").parquet(f"{sink.rstrip('/')}/batch_id={batch_id}")
 
     writer = raw.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)

@@ -227,11 +227,13 @@ def test_relabel_prefix_require(spark):
     assert require(df.withColumn("y", F.lit("")), ["y"]).count() == 0
 
 
-def test_frequency_table_ranged_equals_single_window(spark):
-    df = spark.range(0, 3000).select(((F.col("id") * 7919) % 997).alias("v")).union(
-        spark.createDataFrame([(None,)], "v long"))
-    one = sorted(tuple(x) for x in M.frequency_table(df, "v").collect() if x[0] is not None)
-    ranged = M.frequency_table(df, "v", single_task_rows=10)
-    got = ranged.collect()
-    assert sorted(tuple(x) for x in got if x[0] is not None) == one
-    assert [x["cum_percent"] for x in got if x[0] is None] == [1.0]
+def test_frequency_table_of_many_values(spark):
+    # a six-digit number of distinct values, NULLs, and shares that end at 1
+    df = spark.range(0, 300_000).select(F.when(F.col("id") % 7 == 0, F.lit(None)).otherwise(F.col("id") % 130_000).alias("v"))
+    out = M.frequency_table(df, "v")
+    expected = df.groupBy("v").agg(F.count(F.lit(1)).alias("n")).toPandas().sort_values("v", na_position="last")
+    got = out.toPandas().sort_values("cum_percent")
+    assert len(got) == len(expected) > 100_000
+    assert got["n"].tolist() == expected["n"].tolist()
+    assert abs(got["cum_percent"].iloc[-1] - 1) < 1e-12 and (got["cum_percent"].diff().dropna() > 0).all()
+    assert (got["cum_percent"] - expected["n"].cumsum().to_numpy() / 300_000).abs().max() < 1e-9

@@ -69,6 +69,81 @@ def test_hot_key_third_of_rows(spark):
     assert t["school_code_mismatch_count"] == 900 - 300
 
 
+def test_a_hot_key_is_split(spark):
+    """A third of the rows on one key, no broadcasts: the joins that ship every row split that key."""
+    from rollmatch.operators.keys import duplicate_flags, key_table
+    from rollmatch.operators.matching import unmatched
+    from rollmatch.session import cut_lineage
+
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+                "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5", "spark.sql.shuffle.partitions": "16"}
+    old = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        rows = spark.range(0, 300_000, 1, 8).select(
+            F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("join_key"),
+            F.col("id").alias("s_seq"), F.lit("x").alias("s_aun9_3"), F.sha2(F.col("id").cast("string"), 512).alias("pad"))
+        keys = cut_lineage(key_table(rows, S))
+        for df, n in ((duplicate_flags(rows, S, keys=keys), 300_000), (unmatched(rows, None, keys.filter("join_key <> 'hot'")), 100_000)):
+            q = df._jdf.queryExecution()
+            assert df._jdf.collectAsList().size() == n
+            assert re.search(r"SortMergeJoin\(skew=true\)", q.executedPlan().toString())
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_matched_pairs_read_key_and_district_only(spark):
+    p = plan(QUERIES["matched_students_raw"](spark, SF_SMALL))
+    scans = [x for x in re.findall(r"ReadSchema: struct<([^>]*)>", p) if "join_key" in x]
+    assert sorted(scans) == ["join_key:string", "s_aun9_3:string,join_key:string"] or all("code" not in x and "parent" not in x and "elig" not in x for x in scans)
+    assert len(re.findall(r"Exchange hashpartitioning\(join_key", p)) <= 3
+
+
+def test_crosstab_counts_the_whole_dimension(spark):
+    from rollmatch.sources.fixtures import district_dimension
+
+    out = QUERIES["crosstab_row_percent"](spark, SF_SMALL).collect()
+    assert sum(r["n_0"] + r["n_1"] for r in out) == district_dimension(spark, SF_SMALL).count()
+
+
+def test_python_scores_undecided_pairs_only(spark):
+    p = plan(QUERIES["address_mismatches"](spark, SF_SMALL))
+    assert p.count("ArrowEvalPython") == 1
+    below = p[p.index("ArrowEvalPython"):]
+    assert below.index("HashAggregate") < below.index("SortMergeJoin") if "SortMergeJoin" in below else True
+
+
+def test_valid_district_filter_drops_rows(spark):
+    from rollmatch.plans.catalog import rec
+
+    assert QUERIES["valid_district_rows"](spark, SF_SMALL).count() < rec(spark, SF_SMALL).s_rows.count()
+
+
+def test_shared_folder_is_required_off_one_machine(monkeypatch):
+    from rollmatch import session
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return {}
+
+    class Session:
+        sparkContext = Context()
+
+    import pytest
+    for master in ("spark://host:7077", "local-cluster[2,1,1024]", "yarn"):
+        Context.master = master
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            session.ensure_checkpoint_dir(Session())
+
+
 def test_no_query_plans_a_cross_or_nested_loop_join(spark):
     for name, q in QUERIES.items():
         p = plan(q(spark, SF_SMALL))

@@ -2,6 +2,7 @@
 
 import os
 
+from rollmatch.plans.consolidate import LAYOUT
 from rollmatch.plans.run import main
 from tests.test_sources import HEADER, line, row25, write
 
@@ -34,6 +35,7 @@ def test_command_line_jobs(spark, tmp_path):
     main(["consolidate", "--folder", f"{t}/in/dc", "--pattern", "meal", "--full", f"{t}/snap/p",
           "--out", f"{t}/wide"])
     wide = spark.read.option("header", True).csv(f"{t}/wide").collect()
+    assert wide[0].asDict().keys() == dict.fromkeys(LAYOUT).keys()
     assert sorted(r["usertype"] for r in wide) == ["DC only", "Full User", "Full User"]
     assert [r["AUN"] for r in wide if r["usertype"] == "DC only"] == ["111-11-111-1"]
 

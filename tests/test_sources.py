@@ -1,16 +1,17 @@
 """Reader files in a temp folder, district dimension loading, exports, intake, streaming."""
 
 import os
+import time
 
 import pytest
 
 from rollmatch.operators.dimension import prepare_dimension
-from rollmatch.plans.consolidate import consolidate, dc_only, full_user
+from rollmatch.plans.consolidate import LAYOUT, consolidate, dc_only, full_user
 from rollmatch.plans.intake import combine_batches, intake_batch
 from rollmatch.plans.reconcile import reconcile
 from rollmatch.plans.reports import district_reports, write_reports
 from rollmatch.schema import CONSOLIDATED_NAMES, INTAKE_NAMES, MEAL, STUDENT
-from rollmatch.sources.csv import ORDER, file_report, scan_rosters
+from rollmatch.sources.csv import ORDER, folder_report, headers, row_report, scan_rosters
 from rollmatch.sources.districts import clean_names, load_districts
 from rollmatch.sources.export import export_csv
 from rollmatch.streaming.intake import start_intake_stream
@@ -65,7 +66,7 @@ def test_strict_and_lenient_widths(spark, tmp_path):
     assert by_file["narrow.csv"]["enrollment_end"] == "enr"            # present field kept
     assert by_file["wide.csv"]["validation_output"] == "val"           # cut after 25
     rep = {r["src_file"]: (r["rows"], r["bad_width_rows"], r["blank_first_name_rows"])
-           for r in file_report(df).collect()}
+           for r in row_report(df).collect()}
     assert rep == {"narrow.csv": (1, 1, 0), "wide.csv": (1, 1, 0), "good.csv": (1, 0, 0)}
 
 
@@ -125,7 +126,7 @@ def test_consolidation_and_csv_export(spark, tmp_path):
     fu = full_user(spark.createDataFrame([tuple(row25()) + ("extra",)],
                                          ", ".join(f"{c} string" for c in INTAKE_NAMES) + ", more string"))
     both = consolidate(dc, fu)
-    assert both.count() == 2 and "more" in both.columns
+    assert both.count() == 2 and both.columns == [*LAYOUT] and len(LAYOUT) == 27
     path = str(tmp_path / "wide")
     export_csv(both, path)
     back = spark.read.option("header", True).csv(path)
@@ -156,13 +157,65 @@ def test_scan_batches_labels_rows(spark, tmp_path):
                                                                          ("two", "b.csv")]
 
 
-def test_intake_batch_strict_raises_after_snapshot(spark, tmp_path):
-    d = str(tmp_path / "bad")
-    write(d, "wide.csv", HEADER + ",x\n" + line(row25() + ["x"]) + "\n")
-    with pytest.raises(ValueError, match="wide.csv"):
-        intake_batch(spark, d, STUDENT, str(tmp_path / "snap"))
-    ok = intake_batch(spark, d, STUDENT, str(tmp_path / "snap2"), mode="lenient")
-    assert ok.count() == 1 and ok.first()["s_bad_width"]
+def test_strict_intake_names_every_bad_file_and_keeps_the_old_snapshot(spark, tmp_path):
+    d, snap = str(tmp_path / "in"), str(tmp_path / "snap")
+    write(d, "good.csv", HEADER + "\n" + line(row25()) + "\n")
+    assert intake_batch(spark, d, STUDENT, snap).count() == 1
+    bad = {"four.csv": "a,b,c,d\n1,2,3,4\n", "semicolon.csv": (HEADER + "\n" + line(row25()) + "\n").replace(",", ";"),
+           "header_only.csv": "a,b,c\n", "wide.csv": HEADER + ",x\n" + line(row25() + ["x"]) + "\n",
+           "ragged.csv": HEADER + "\n" + line(row25()[:20]) + "\n"}
+    for name, text in bad.items():
+        write(d, name, text)
+    with pytest.raises(ValueError) as e:
+        intake_batch(spark, d, STUDENT, snap)
+    assert all(name in str(e.value) for name in bad) and "good.csv" not in str(e.value)
+    with pytest.raises(ValueError, match="header_only.csv"):
+        scan_rosters(spark, d, check=True)
+    old = spark.read.parquet(snap)
+    assert [r["s_src_file"] for r in old.collect()] == ["good.csv"]
+    lenient = intake_batch(spark, d, STUDENT, str(tmp_path / "lenient"), mode="lenient")
+    assert {r["s_src_file"]: r["s_bad_width"] for r in lenient.collect()} == {"good.csv": False, "wide.csv": True, "ragged.csv": True}
+    report = {r["src_file"]: r["n_rows"] for r in row_report(lenient, STUDENT).withColumnRenamed("rows", "n_rows").collect()}
+    assert report == {"good.csv": 1, "wide.csv": 1, "ragged.csv": 1}
+
+
+def test_folder_report_lists_every_file(spark, tmp_path):
+    d = str(tmp_path / "in")
+    write(d, "good.csv", HEADER + "\n" + line(row25()) + "\n" + line(row25(student_first_name="")) + "\n")
+    write(d, "empty.csv", "")
+    write(d, "header_only.csv", HEADER + "\n")
+    write(d, "narrow.csv", "a,b\n1,2\n")
+    write(d, "quoted.csv", HEADER.replace("col0", '"co,l0"') + "\n" + line(row25()) + "\n")
+    got = {r["src_file"]: (r["header_fields"], r["rows"], r["bad_width_rows"], r["blank_first_name_rows"], r["status"])
+           for r in folder_report(spark, d, scan_rosters(spark, d, mode="lenient")).collect()}
+    assert got == {"good.csv": (25, 2, 0, 1, "ok"), "empty.csv": (None, 0, 0, 0, "unreadable or empty"),
+                   "header_only.csv": (25, 0, 0, 0, "no rows"), "narrow.csv": (2, 1, 1, 1, "wrong width"), "quoted.csv": (25, 1, 0, 0, "ok")}
+    assert headers(spark, d).filter("bad_header").count() == 1
+
+
+def test_unclosed_quote_is_counted_in_linear_time(spark, tmp_path):
+    d = str(tmp_path / "q")
+    body = "\n".join(line(row25()) for _ in range(100_000))
+    write(d, "open.csv", HEADER + "\n" + line(row25(school_name='"never closed')) + "\n" + body + "\n")
+    began = time.perf_counter()
+    with pytest.raises(ValueError, match="open.csv"):
+        scan_rosters(spark, d, check=True)
+    assert time.perf_counter() - began < 60
+
+
+@pytest.mark.parametrize("second", ["a.csv", "z.csv"])
+def test_the_first_batch_wins_ties(spark, tmp_path, second):
+    from rollmatch.operators.keys import dedup_by_key
+    from rollmatch.plans.reconcile import keyed_side
+
+    t = str(tmp_path)
+    write(f"{t}/b1", "z.csv", HEADER + "\n" + line(row25(school_code4="first")) + "\n")
+    write(f"{t}/b2", second, HEADER + "\n" + line(row25(school_code4="second")) + "\n")
+    for b in ("b1", "b2"):
+        intake_batch(spark, f"{t}/{b}", STUDENT, f"{t}/snap_{b}")
+    both = combine_batches(spark, {b: f"{t}/snap_{b}" for b in ("b1", "b2")}, STUDENT, f"{t}/all")
+    kept = dedup_by_key(keyed_side(both, STUDENT, prepared=True), STUDENT, ORDER).collect()
+    assert [(r["s_school_code4"], r["batch"]) for r in kept] == [("first", "b1")]
 
 
 def test_load_districts_parquet_and_sorted_export(spark, tmp_path):
