@@ -178,4 +178,5 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     """One row per document and contained item: id, item_id, start, edits."""
     only = docs.select(F.col(id_col), F.col(text_col))
     found = contained_items(only, benchmark, text_col, as_col="_leaks", **options)
-    return found.select(id_col, F.explode("_leaks").alias("l")).select(id_col, "l.item_id", "l.start", "l.edits")
+    # explode_outer: an inner explode would put a filter on the array before it, and run the finder twice
+    return found.select(id_col, F.explode_outer("_leaks").alias("l")).filter("l IS NOT NULL").select(id_col, "l.item_id", "l.start", "l.edits")
