@@ -1,3 +1,64 @@
-"""DuckDB SQL of the registered text queries that SQL can express."""
+"""DuckDB SQL of the registered text queries that SQL can express.
 
-ORACLE_SQL: dict[str, str] = {}
+The others rest on tokenizer files (op2, op8), on automata, class models or tree scores
+(op4, op10, op6), on scored spans (op5), on runs of lines of any length (op7) or on edit
+distances (op9); the tests hold those against brute force or the libraries.
+"""
+
+from __future__ import annotations
+
+from rollmatch.llm.quality import RULES, STOP_WORDS
+
+WORD = r"[^\x20\x09-\x0D]+"
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def _rules() -> str:
+    """The threshold table as a SQL condition."""
+    ratio = {
+        "symbols_per_word": "n_symbols / n_words", "mean_word_chars": "word_chars / n_words", "stop_word_ratio": "n_stop / n_words",
+        "repeat_ratio": "n_repeat_words / n_words", "capital_ratio": "n_capitals / greatest(word_chars, 1)",
+        "dup_line_ratio": "n_dup_lines / greatest(n_lines, 1)",
+    }
+    parts = []
+    for r in RULES:
+        bounds = [f"{ratio[r.measure]} >= {r.low}"] * (r.low is not None) + [f"{ratio[r.measure]} <= {r.high}"] * (r.high is not None)
+        parts.append(f"(n_words < {r.min_words} OR ({' AND '.join(bounds)}))")
+    return " AND ".join(parts)
+
+
+QUALITY = rf"""
+WITH w AS (
+  SELECT doc_id, t, regexp_extract_all(t, '{WORD}') AS ws,
+         list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '{WORD}')) AS ls
+  FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents)),
+g AS (SELECT doc_id, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] AS g FROM w, unnest(range(1, len(ws) - 1)) u(i)),
+often AS (SELECT doc_id, i FROM g QUALIFY count(*) OVER (PARTITION BY doc_id, g) > 1),
+covered AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM often) GROUP BY doc_id),
+m AS (
+  SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(array_to_string(ws, '')) AS BIGINT) AS word_chars,
+         CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+         CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines, coalesce(covered.n, 0) AS n_repeat_words, len(ls) AS n_lines,
+         length(regexp_replace(t, '[^\p{{Lu}}]', '', 'g')) AS n_capitals,
+         len(list_filter(ws, lambda x: lower(x) IN ({", ".join(f"'{x}'" for x in dict.fromkeys(STOP_WORDS))}))) AS n_stop
+  FROM w LEFT JOIN covered USING (doc_id)),
+f AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND {_rules()} AS kept FROM f"""
+
+NEAR_DUPLICATES = rf"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{WORD}') AS ws FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(ws[i:i + 3], ' ') AS g FROM w, unnest(range(1, greatest(len(ws) - 2, 2))) u(i) WHERE len(ws) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id
+  JOIN n na ON na.doc_id = a.doc_id JOIN n nb ON nb.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id, na.n, nb.n HAVING 100 * count(*) >= 80 * (na.n + nb.n - count(*))),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM w UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b),
+c AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id, w.doc_id = c.component_id AS kept
+FROM w JOIN c USING (doc_id) LEFT JOIN n USING (doc_id)"""
+
+ORACLE_SQL: dict[str, str] = {"op1_quality_rules": QUALITY, "op3_minhash_neardup": NEAR_DUPLICATES}
