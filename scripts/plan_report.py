@@ -12,7 +12,8 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as E  # noqa: E402
+
+from rollmatch.plans.catalog import QUERIES  # noqa: E402
 from rollmatch.session import local_session  # noqa: E402
 
 
@@ -23,7 +24,7 @@ def main() -> None:
     spark = local_session(8)
     print("| query | hash shuffles | range shuffles | broadcasts | partial aggregation / limit | Python |")
     print("| --- | --- | --- | --- | --- | --- |")
-    for name, q in E.queries().items():
+    for name, q in QUERIES.items():
         plan = q(spark, a.sf).select("*")._jdf.queryExecution().executedPlan().toString()
         hashed = len(re.findall(r"Exchange hashpartitioning", plan))
         ranged = len(re.findall(r"Exchange rangepartitioning|Exchange SinglePartition", plan))
