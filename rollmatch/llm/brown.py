@@ -32,7 +32,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rollmatch.llm.common import per_text, written
+from rollmatch.llm.common import most_frequent, per_text, small_batches, written
 
 RARE, END = 0, 1  # numbers of the rare word and of the end, before the clustered words
 
@@ -45,7 +45,7 @@ def words_of(text: str) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").lower().split()
 
 
-def word_counts(texts: DataFrame, text_col: str, most: int = 400_000) -> DataFrame:
+def word_counts(texts: DataFrame, text_col: str, most: int = 250_000) -> DataFrame:
     """(w, c) of every word of all texts; a task's table is passed on whenever it holds ``most`` words."""
 
     def count(batches):
@@ -169,6 +169,7 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 classes: int = 48, table_words: int = 150_000, max_chars: int = 64, alpha: float = 0.1) -> DataFrame:
     """Per row: id, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score``."""
     spark = docs.sparkSession
+    small_batches(spark)
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     train = docs.filter(~held_out("id", folds))
     vocabulary = written(word_counts(train, "text"), "words")
@@ -176,8 +177,8 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ends = train.select("id").count()
     total, kinds = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("c")).first()
     train_tokens, distinct = total + ends, kinds + (1 if ends else 0)
-    frequent = [(r["w"], r["c"]) for r in vocabulary.filter(F.length("w") <= max_chars)
-                .orderBy(F.desc("c"), "w").limit(table_words).collect()]  # table_words entries of max_chars characters
+    # about table_words entries of max_chars characters at most
+    frequent = most_frequent(vocabulary.filter(F.length("w") <= max_chars), "w", "c", table_words)
     clustered = [w for w, _ in frequent[:cluster_words]]
     bigrams = bigram_counts(train, "text", clustered)
     of = exchange_classes(bigrams, classes)

@@ -3,42 +3,49 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from rollmatch.sources.snapshot import snapshot_root
 
 
-#: Result rows of a Python function that leave its worker at a time.
-OUT_ROWS = 1000
+#: Rows that enter or leave a Python worker at a time.
+BATCH_ROWS = 500
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(spark) -> None:
+    """Hands texts to Python workers in batches of BATCH_ROWS rows, unless the application chose a size.
+
+    Spark's default of 10,000 rows suits numbers; with whole documents such a batch takes
+    tens of MB several times over (in the JVM's buffers and in the worker, for each task).
+    """
+    if spark.sparkContext.getConf().get(_BATCH, None) is None and spark.conf.get(_BATCH) == "10000":
+        spark.conf.set(_BATCH, str(BATCH_ROWS))
 
 
 def per_text(make, schema: str):
     """A struct-valued column function of one text column.
 
     ``make()`` runs once per task and returns a function from a text (never None) to a
-    tuple in the order of ``schema``. Rows come in Arrow batches and results leave after
-    every ``OUT_ROWS`` of them, so memory is bounded by a batch.
+    tuple in the order of ``schema``. Rows come in small Arrow batches, which bound memory.
     """
-    names = [f.name for f in T.StructType.fromDDL(schema).fields]
+    small_batches(SparkSession.active())
+    struct = T.StructType.fromDDL(schema)
+    names, kind = [f.name for f in struct.fields], to_arrow_type(struct)
 
     def run(batches):
         f = make()
         for texts in batches:
-            for i in range(0, len(texts), OUT_ROWS):
-                yield pd.DataFrame.from_records([f(t) if t is not None else f("") for t in texts[i:i + OUT_ROWS]], columns=names)
-
-    run.__annotations__ = _iterator_hints()
-    return F.pandas_udf(run, schema)
+            yield pa.array([dict(zip(names, f(t) if t is not None else f(""))) for t in texts.to_pylist()], kind)
 
-
-def _iterator_hints():
-    from collections.abc import Iterator
-
-    return {"batches": Iterator[pd.Series], "return": Iterator[pd.DataFrame]}
+    run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    return F.arrow_udf(run, schema)
 
 
 def written(df: DataFrame, tag: str) -> DataFrame:
@@ -52,6 +59,22 @@ def written(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def document_key(id_col: str, text_col: str) -> Column:
-    """One long per distinct (id, text); NULLs count as values of their own."""
-    return F.xxhash64(F.col(id_col).isNull(), F.col(id_col), F.col(text_col).isNull(), F.col(text_col))
+def most_frequent(counts: DataFrame, word: str, n: str, most: int) -> list[tuple[str, int]]:
+    """About the ``most`` words with the largest counts (never many more), largest first, ties by word.
+
+    A histogram of the counts on a logarithmic scale (a few thousand rows however many words there
+    are) gives the cut; of the bucket it falls into, a share by hash is taken. So only the words
+    that are asked for travel to the driver, not a list from every task.
+    """
+    bucket = F.floor(F.log(F.col(n)) * 32).alias("b")
+    sizes = {r["b"]: r["k"] for r in counts.groupBy(bucket).agg(F.count(F.lit(1)).alias("k")).collect()}
+    taken, cut, share = 0, None, 0.0
+    for b in sorted(sizes, reverse=True):
+        if taken + sizes[b] > most:
+            cut, share = b, (most - taken) / sizes[b]
+            break
+        taken += sizes[b]
+    if cut is not None:
+        part = F.pmod(F.xxhash64(word), F.lit(1 << 20)) < int(share * (1 << 20))
+        counts = counts.filter((bucket > cut) | ((bucket == cut) & part))
+    return sorted(((r[word], r[n]) for r in counts.select(word, n).collect()), key=lambda r: (-r[1], r[0]))

@@ -25,7 +25,7 @@ from collections import Counter
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rollmatch.llm.common import per_text
+from rollmatch.llm.common import most_frequent, per_text, small_batches, written
 
 SPACE_MARK = "▁"
 _PIECE = re.compile(r" *[^ ]+| +$")
@@ -89,17 +89,18 @@ def frequent_pretokens(docs: DataFrame, text_col: str, table_size: int, per_task
         yield pd.DataFrame(top, columns=["piece", "n"])
 
     tables = docs.select(F.col(text_col)).mapInPandas(summarise, "piece string, n long")
-    top = tables.groupBy("piece").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "piece").limit(table_size)
-    return [r["piece"] for r in top.collect()]
+    counts = written(tables.groupBy("piece").agg(F.sum("n").alias("n")), "pretokens")
+    return [w for w, _ in most_frequent(counts, "piece", "n", table_size)]
 
 
 def count_tokens(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col: str = "text", limit: int = 4096,
-                 table_size: int = 20_000, per_task: int = 4_096, max_chars: int = 32, cache_size: int = 400_000) -> DataFrame:
+                 table_size: int = 20_000, per_task: int = 4_096, max_chars: int = 32, cache_size: int = 200_000) -> DataFrame:
     """Per row: id, ``n_bytes`` (UTF-8), ``n_tokens``, ``over_limit`` (more than ``limit`` tokens)."""
     import sentencepiece
 
     with open(model_file, "rb") as f:
         model = f.read()
+    small_batches(docs.sparkSession)
     processor = sentencepiece.SentencePieceProcessor(model_proto=model)
     PreTokens.check(processor)
     docs = docs.select(F.col(id_col), F.col(text_col).cast("string").alias(text_col))
