@@ -64,6 +64,11 @@ class Vocabulary:
         none = self.n_merges
         self.byte_rank = [[self.rank[x].get(y, none) for y in self.byte_ids] for x in self.byte_ids]
         self._closed: dict[bytes, bool] = {}
+        # last byte -> lengths of the tokens that end in it, longest first
+        ends: dict[int, set] = {}
+        for t in self.ids:
+            ends.setdefault(t[-1], set()).add(len(t))
+        self.lengths = [sorted(ends.get(b, ()), reverse=True) for b in range(256)]
 
     @property
     def sufficient_lookahead(self) -> int:
@@ -121,7 +126,10 @@ class Transducer:
         for i in range(len(data)):
             self.window = (self.window + data[i:i + 1])[-v.max_token:]
             self.at += 1
-            for n in range(min(len(self.window), self.at - self.emitted), 0, -1):
+            room = min(len(self.window), self.at - self.emitted)
+            for n in v.lengths[data[i]]:
+                if n > room:
+                    continue
                 token, before = self.window[-n:], self.last.get(self.at - n)
                 if before is not None and token in v.ids and v.merge_closed(token) and self.stands(before, token):
                     self.last[self.at] = token
@@ -175,7 +183,7 @@ class Encoder:
     not white space, so the stretches between such spaces are looked up as wholes.
     """
 
-    def __init__(self, vocabulary: Vocabulary, cache_size: int = 500_000, short: int = 64):
+    def __init__(self, vocabulary: Vocabulary, cache_size: int = 200_000, short: int = 64):
         import regex
 
         self.v, self.most, self.short = vocabulary, cache_size, short
@@ -272,7 +280,7 @@ def _workers(spark, tokenizer_file: str, cache_size: int):
 
 
 def encode_documents(docs: DataFrame, tokenizer_file: str, id_col: str = "doc_id", text_col: str = "text",
-                     cache_size: int = 500_000, decoded: bool = False) -> DataFrame:
+                     cache_size: int = 200_000, decoded: bool = False) -> DataFrame:
     """Per row: id, ``ids`` (binary, little-endian unsigned 32-bit), ``n_tokens``; with ``decoded`` also ``text``, the
     text that the decoder makes of the ids in the same pass."""
     pair = _workers(docs.sparkSession, tokenizer_file, cache_size)

@@ -168,7 +168,7 @@ def labelled_sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str,
     return out
 
 
-def language_column(spark, samples: dict[str, list[str]], text: Column, cache_size: int = 300_000) -> Column:
+def language_column(spark, samples: dict[str, list[str]], text: Column, cache_size: int = 150_000) -> Column:
     """Struct of ``lang``, ``score``, ``phrases`` and ``letters`` for a text column."""
     # bounded by sample_chars for each language; workers keep automata and cache with the received value
     shared = spark.sparkContext.broadcast({"samples": samples})
@@ -183,7 +183,7 @@ def language_column(spark, samples: dict[str, list[str]], text: Column, cache_si
 
 
 def in_learned_language(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", folds: int = 5,
-                        max_phrase_rate: float = 0.9, sample_rows: int = 64, sample_chars: int = 100_000) -> DataFrame:
+                        max_phrase_rate: float = 0.9, sample_rows: int = 64, sample_chars: int = 60_000) -> DataFrame:
     """The rows of ``docs`` whose text is in some learned language, unchanged. Rejected are undetermined texts and
     those that fall into more than ``max_phrase_rate`` phrases per letter even in their best language, that is,
     share next to nothing with any sample."""
@@ -195,7 +195,7 @@ def in_learned_language(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 
 def identify_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", folds: int = 5,
-                       sample_rows: int = 64, sample_chars: int = 100_000) -> DataFrame:
+                       sample_rows: int = 64, sample_chars: int = 60_000) -> DataFrame:
     """Per row: id, ``held_out``, ``lang_pred``, ``score``."""
     samples = labelled_sample(docs, id_col, text_col, lang_col, folds, sample_rows, sample_chars)
     found = docs.select(F.col(id_col), held_out(id_col, folds).alias("held_out"),

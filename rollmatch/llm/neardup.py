@@ -49,7 +49,7 @@ MULTIPLIERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E
 class Shingler:
     """Text -> sorted distinct 64-bit shingle hashes; hashes of words are kept in a bounded cache."""
 
-    def __init__(self, width: int, cache_size: int = 400_000):
+    def __init__(self, width: int, cache_size: int = 200_000):
         import xxhash
 
         self.width, self.most, self.hash, self.known = width, cache_size, xxhash.xxh3_64_intdigest, {}
