@@ -4,18 +4,24 @@ Tokens are words (A-Z in lower case) and one end per text. The model is learnt f
 rows outside the held-out fold:
 
 * exact counts of every word (map-side tables, summed by word);
-* bigram counts among the ``cluster_words`` most frequent words, everything else as one
-  rare word, and the end, from a second pass over all texts (a task adds them up in one
-  matrix of fixed size);
-* exchange clustering of those words into ``classes`` classes: every word in turn moves to
+* bigram counts among the ``cluster_words`` most frequent words (the core), everything else
+  as one rare word, and the end, from a second pass over all texts (a task adds them up in
+  one matrix of fixed size);
+* exchange clustering of the core into ``classes`` classes: every word in turn moves to
   the class that raises the likelihood of the class bigrams most, until none moves. Its
   input is the bigram matrix, whose size is a parameter;
+* a class for every other training word: the core classes before and after it (the rare
+  word where a neighbour is outside the core) are counted in a third pass, summed by word,
+  and the word joins the class that raises the likelihood most, given the core's bigrams;
+* class bigrams of all training text with those classes, from a fourth pass. Only words
+  without a count in the training text stay in the rare class;
 * log10 P(text) = sum of log10 P(class | class before) + log10 P(word | class), with
-  additive smoothing of the transitions and, in the rare class, of the words.
+  additive smoothing of the transitions; in the rare class every word counts as the same one.
 
-Scoring looks frequent words up in a broadcast table of ``table_words`` entries. The other
-words of a text leave it as (row, word, times) and meet their counts in a join, summed
-by row before they come back. Words longer than ``max_chars`` never enter the table.
+Counting and scoring look frequent words up in a broadcast table of ``table_words`` entries.
+The other words meet their counts and classes in joins: in training as distinct neighbours,
+in scoring as the distinct words of a row, whose classes come back to the class pairs they
+are part of. All passes but the first read the texts as numbers, written once. Words longer than ``max_chars`` never enter the table.
 
 NULL and empty texts hold one token, the end. A NULL id falls into the held-out fold
 (its crc32 counts as 0). Repeated rows each get their own score. Without any training
@@ -26,6 +32,8 @@ from __future__ import annotations
 
 import math
 from collections import Counter
+from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -67,29 +75,69 @@ def word_counts(texts: DataFrame, text_col: str, most: int = 250_000) -> DataFra
     return texts.select(text_col).mapInPandas(count, "w string, n long").groupBy("w").agg(F.sum("n").alias("c"))
 
 
-def bigram_counts(texts: DataFrame, text_col: str, words: list[str]) -> np.ndarray:
-    """Counts of number pairs over all texts: RARE, END, then ``words``; a text begins after an END."""
-    size = len(words) + 2
-    shared = texts.sparkSession.sparkContext.broadcast({w.encode(): k + 2 for k, w in enumerate(words)})
+def encoded(docs: DataFrame, words: list[str]) -> DataFrame:
+    """(row, id, ids, words, times): a text's words as 32-bit numbers, the place in ``words`` or, of the row's other
+    word j, -1 - j; these words and how often each occurs."""
+    shared = docs.sparkSession.sparkContext.broadcast({"words": words})
+
+    def make():
+        held = shared.value
+        if "number" not in held:
+            held["number"] = {w.encode(): i for i, w in enumerate(held["words"])}
+        number = held["number"].get
+
+        def encode(text: str):
+            words = words_of(text)
+            at = np.fromiter(map(number, words, repeat(-1)), "<i4", len(words))
+            place = np.flatnonzero(at < 0).tolist()
+            rare = Counter(words[i] for i in place)
+            if rare:
+                j = {w: -1 - x for x, w in enumerate(rare)}
+                at[place] = [j[words[i]] for i in place]
+            return at.tobytes(), [w.decode("utf-8", "replace") for w in rare], list(rare.values())
+
+        return encode
+
+    part = per_text(make, "ids binary, words array<string>, times array<long>")
+    return written(docs.select(F.monotonically_increasing_id().alias("row"), "id", part(F.col("text")).alias("r")).select("row", "id", "r.*"), "encoded")
+
+
+def running_text(batch: pd.DataFrame, end: int) -> tuple[np.ndarray, list[str]]:
+    """All texts of a batch in one row of numbers, ``end`` before, between and after them; and the words of numbers -1, -2, .."""
+    parts, names = [np.array([end])], []
+    for raw, words in zip(batch["ids"], batch["words"]):
+        at = np.frombuffer(raw, "<i4").astype(np.int64)
+        if len(words):
+            at = np.where(at < 0, at - len(names), at)
+            names.extend(words)
+        parts += [at, parts[0]]
+    return np.concatenate(parts), names
+
+
+def bigram_counts(texts: DataFrame, core: int, end: int) -> np.ndarray:
+    """Counts of number pairs over all texts: RARE, END, then the ``core`` first words; a text begins after an END."""
+    size = core + 2
+    number = np.full(end + 1, RARE, np.int64)
+    number[:core], number[end] = np.arange(core) + 2, END
 
     def count(batches):
-        number, total, held, n = shared.value.get, np.zeros(size * size, np.int64), [], 0
+        total, held, n = np.zeros(size * size, np.int64), [], 0
         for batch in batches:
-            for text in batch[text_col]:
-                ids = np.array([END, *[number(w, RARE) for w in words_of(text or "")], END], np.int64)
-                held.append(ids[:-1] * size + ids[1:])
-                n += len(ids)
-                if n > 2_000_000:
-                    total += np.bincount(np.concatenate(held), minlength=size * size)
-                    held, n = [], 0
+            x, _ = running_text(batch, end)
+            ids = np.where(x < 0, RARE, number[np.maximum(x, 0)])
+            held.append(ids[:-1] * size + ids[1:])
+            n += len(ids)
+            if n > 2_000_000:
+                total += np.bincount(np.concatenate(held), minlength=size * size)
+                held, n = [], 0
         if held:
             total += np.bincount(np.concatenate(held), minlength=size * size)
         at = np.flatnonzero(total)
         yield pd.DataFrame({"pair": at, "n": total[at]})
 
-    summed = texts.select(text_col).mapInPandas(count, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
+    summed = texts.select("ids", "words").mapInPandas(count, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
     matrix = np.zeros(size * size, np.int64)
-    for r in summed.toLocalIterator():  # (cluster_words + 2)^2 rows at most
+    for r in summed.toLocalIterator():  # (core + 2)^2 rows at most
         matrix[r["pair"]] = r["n"]
     return matrix.reshape(size, size)
 
@@ -149,20 +197,165 @@ def exchange_classes(bigrams: np.ndarray, classes: int, sweeps: int = 12) -> np.
     return of
 
 
-class Model:
-    """What scoring needs, as plain arrays."""
+def word_contexts(texts: DataFrame, shared, core: int, of: np.ndarray, n: int, most: int = 250_000) -> DataFrame:
+    """(w, k, contexts): how often each word outside the core follows class ``slot`` or precedes class ``slot - n``, packed as
+    count * 2 n + slot; one row for each word and time a task passes its counts on.
+
+    Neighbours outside the core are of the class RARE. ``k`` is the word's number in the table, or -1.
+    """
+    end = len(shared.value)
+    class_of = np.full(end + 1, RARE, np.int64)
+    class_of[:core], class_of[end] = of[2:], END
+
+    def count(batches):
+        keys, size, others = [], 0, Counter()
+
+        def rows():
+            found, times = np.unique(np.concatenate(keys), return_counts=True)
+            number, packed = found // (2 * n), (times * (2 * n) + found % (2 * n)).astype("<u4")
+            at = np.flatnonzero(np.diff(number, prepend=-1))
+            out = [(shared.value[k], k, packed[i:j].tobytes()) for k, i, j in zip(number[at].tolist(), at.tolist(), [*at[1:].tolist(), len(packed)])]
+            by_word: dict[str, list] = {}
+            for (w, slot), m in others.items():
+                by_word.setdefault(w, []).append(m * 2 * n + slot)
+            out += [(w, -1, np.array(x, "<u4").tobytes()) for w, x in by_word.items()]
+            return pd.DataFrame(out, columns=["w", "k", "contexts"])
+
+        for batch in batches:
+            x, names = running_text(batch, end)
+            path = np.where(x < 0, RARE, class_of[np.maximum(x, 0)])
+            known = np.flatnonzero((x >= core) & (x != end))
+            keys += [x[known] * (2 * n) + path[known - 1], x[known] * (2 * n) + n + path[known + 1]]
+            size += 2 * len(known)
+            for i in np.flatnonzero(x < 0).tolist():
+                w = names[-1 - x[i]]
+                others[w, int(path[i - 1])] += 1
+                others[w, n + int(path[i + 1])] += 1
+            if size > 4_000_000 or len(others) > most:
+                yield rows()
+                keys, size = [], 0
+                others.clear()
+        if size or others:
+            yield rows()
+
+    return texts.select("ids", "words").mapInPandas(count, "w string, k long, contexts binary")
+
+
+def likeliest_classes(pairs: np.ndarray, contexts: np.ndarray) -> np.ndarray:
+    """Of each word (a row of counts by slot), the class whose growth by the word's contexts raises the likelihood of the
+    class bigrams ``pairs`` most; only classes that hold core words are asked (the first one if none does)."""
+    n = len(pairs)
+    rows = np.concatenate([pairs, pairs.T])  # slot -> counts with every class
+    word, slot = np.nonzero(contexts)
+    grown = _xlogx(rows[slot] + contexts[word, slot][:, None]) - _xlogx(rows)[slot]
+    gain = np.add.reduceat(grown, np.flatnonzero(np.diff(word, prepend=-1)))
+    c = contexts[:, :n].sum(axis=1, keepdims=True)  # a word follows and precedes as often as it occurs
+    for margin in (pairs.sum(axis=1), pairs.sum(axis=0)):
+        gain -= _xlogx(margin + c) - _xlogx(margin)
+    held = pairs.sum(axis=0) > 0
+    held[:2] = False
+    if not held.any():
+        held[2] = True
+    gain[:, ~held] = -np.inf
+    return gain.argmax(axis=1)
+
 
-    def __init__(self, bigrams: np.ndarray, classes: np.ndarray, n_classes: int, rare_total: int, rare_kinds: int, alpha: float):
-        n = n_classes + 2
-        pairs = np.zeros((n, n))
-        np.add.at(pairs, (classes[:, None], classes[None, :]), bigrams)
-        self.transition = np.log10((pairs + alpha) / (pairs.sum(axis=1, keepdims=True) + alpha * n))
-        counts = bigrams.sum(axis=0).astype(float)
-        total = np.bincount(classes, counts, n)
-        # P(word | class) of the clustered words and the end; words of the rare class by their own count
-        with np.errstate(divide="ignore"):
-            self.emission = np.log10(np.where(counts > 0, counts, 1) / np.maximum(total[classes], 1))
-        self.rare_log = math.log10(rare_total + 0.1 * (rare_kinds + 1))
+def assigned_classes(contexts: DataFrame, pairs: np.ndarray, at_once: int = 1000) -> DataFrame:
+    """(w, k, class) of every word of ``contexts``; a word's rows meet in order, so a task holds ``at_once`` words."""
+    slots = 2 * len(pairs)
+
+    def assign(batches):
+        words, numbers, where, packed, size = [], [], [], [], 0
+        counts = np.zeros(at_once * slots)
+
+        def fold():
+            x = np.concatenate(packed).astype(np.int64)
+            counts[:] += np.bincount(np.repeat(where, list(map(len, packed))) * slots + x % slots, x // slots, len(counts))
+
+        def result():
+            return pd.DataFrame({"w": words, "k": numbers, "class": likeliest_classes(pairs, counts.reshape(-1, slots)[:len(words)])})
+
+        for batch in batches:
+            for w, k, raw in zip(batch["w"], batch["k"], batch["contexts"]):
+                if not words or w != words[-1]:
+                    if len(words) == at_once:
+                        fold()
+                        yield result()
+                        words, numbers, where, packed, size = [], [], [], [], 0
+                        counts[:] = 0
+                    words.append(w)
+                    numbers.append(k)
+                elif size > 500_000:
+                    fold()
+                    where, packed, size = [], [], 0
+                where.append(len(words) - 1)
+                packed.append(np.frombuffer(raw, "<u4"))
+                size += len(packed[-1])
+        if words:
+            fold()
+            yield result()
+
+    return contexts.repartition("w").sortWithinPartitions("w").mapInPandas(assign, "w string, k long, class int")
+
+
+def class_pairs(texts: DataFrame, class_of: np.ndarray, n: int, classes: DataFrame, most: int = 250_000) -> np.ndarray:
+    """Class bigrams of all training texts: a task adds up those of table words; the others meet their classes in joins."""
+    end = len(class_of) - 1
+
+    def count(batches):
+        total, others = np.zeros(n * n, np.int64), Counter()
+
+        def rows():
+            at = np.flatnonzero(total)
+            return pd.DataFrame([*((a // n, a % n, "", "", m) for a, m in zip(at.tolist(), total[at].tolist())), *((*x, m) for x, m in others.items())],
+                                columns=list("abvwn"))
+
+        for batch in batches:
+            x, names = running_text(batch, end)
+            path = np.where(x < 0, -1, class_of[np.maximum(x, 0)])
+            left, right = path[:-1], path[1:]
+            both = (left >= 0) & (right >= 0)
+            total += np.bincount(left[both] * n + right[both], minlength=n * n)
+            for i in np.flatnonzero(~both).tolist():
+                a, b = int(left[i]), int(right[i])
+                others[a, b, names[-1 - x[i]] if a < 0 else "", names[-1 - x[i + 1]] if b < 0 else ""] += 1
+            if len(others) > most:
+                yield rows()
+                others.clear()
+                total[:] = 0
+        if others or total.any():
+            yield rows()
+
+    summed = written(texts.select("ids", "words").mapInPandas(count, "a int, b int, v string, w string, n long")
+                     .groupBy("a", "b", "v", "w").agg(F.sum("n").alias("n")), "pairs")
+    of = classes.select(F.col("w").alias("_w"), F.col("class").alias("_c"))
+    known = summed.filter("v = ''").select("a", "b", "w", "n").unionByName(
+        summed.filter("v != ''").join(of, F.col("v") == F.col("_w")).select(F.col("_c").alias("a"), "b", "w", "n")
+        .groupBy("a", "b", "w").agg(F.sum("n").alias("n")))
+    known = known.filter("w = ''").select("a", "b", "n").unionByName(
+        known.filter("w != ''").join(of, F.col("w") == F.col("_w")).select("a", F.col("_c").alias("b"), "n"))
+    out = np.zeros((n, n))
+    for r in known.groupBy("a", "b").agg(F.sum("n").alias("n")).collect():  # n^2 rows at most
+        out[r["a"], r["b"]] = r["n"]
+    return out
+
+
+def folded(bigrams: np.ndarray, of: np.ndarray, n: int) -> np.ndarray:
+    """Bigrams of numbers as bigrams of their ``n`` classes."""
+    pairs = np.zeros((n, n))
+    np.add.at(pairs, (of[:, None], of[None, :]), bigrams)
+    return pairs
+
+
+def path_score(transition: np.ndarray, left, right, found_at, found_class) -> float:
+    """Sum of the transitions of class pairs; -1 - j stands for the row's rare word j, whose class is RARE unless found."""
+    left, right = np.array(left, np.int64), np.array(right, np.int64)
+    if not len(left):
+        return 0.0
+    of = np.full(1 + max(0, -int(min(left.min(), right.min()))), RARE, np.int64)
+    of[np.array(found_at, np.int64)] = found_class
+    left, right = (np.where(x < 0, of[np.maximum(-1 - x, 0)], x) for x in (left, right))
+    return float(transition[left, right].sum())
 
 
 def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 10, cluster_words: int = 800,
@@ -179,50 +372,68 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     train_tokens, distinct = total + ends, kinds + (1 if ends else 0)
     # about table_words entries of max_chars characters at most
     frequent = most_frequent(vocabulary.filter(F.length("w") <= max_chars), "w", "c", table_words)
-    clustered = [w for w, _ in frequent[:cluster_words]]
-    bigrams = bigram_counts(train, "text", clustered)
+    words = [w for w, _ in frequent]
+    local = encoded(docs, words)
+    train, end = local.filter(~held_out("id", folds)), len(words)
+    k, n = min(cluster_words, end), classes + 2
+    bigrams = bigram_counts(train, k, end)
     of = exchange_classes(bigrams, classes)
-    in_classes = sum(c for _, c in frequent[:cluster_words])
-    model = Model(bigrams, of, classes, total - in_classes, kinds - len(clustered), alpha)
+    contexts = word_contexts(train, spark.sparkContext.broadcast(words), k, of, n)
+    others = written(assigned_classes(contexts, folded(bigrams, of, n)), "classes")
+    number_class = np.full(end + 1, END, np.int64)  # the last place: the end
+    number_class[:k] = of[2:]
+    for r in others.filter("k >= 0").select("k", "class").collect():  # table_words rows at most
+        number_class[r["k"]] = r["class"]
+    rare_classes = others.filter("k < 0").select("w", "class")
+    pairs = class_pairs(train, number_class, n, rare_classes)
+    transition = np.log10((pairs + alpha) / (pairs.sum(axis=1, keepdims=True) + alpha * n))
+    # tokens of each class; every training token is once the second of a pair
+    class_log = np.log10(np.maximum(pairs.sum(axis=0), 1))
     floor = math.log10(train_tokens + 0.1 * (distinct + 1))
 
-    c = np.array([n for _, n in frequent], np.float64)
-    k = len(clustered)
-    number_class = np.concatenate([of[2:], np.full(len(frequent) - k, RARE, np.int64)])
-    emission = np.concatenate([model.emission[2:], np.log10(c[k:] + 0.1) - model.rare_log])
+    c = np.array([m for _, m in frequent], np.float64)
     shared = spark.sparkContext.broadcast({
-        "words": [w for w, _ in frequent], "base": np.append(np.log10(c + 0.1) - floor, 0.0), "emission": np.append(emission, 0.0),
-        "class": np.append(number_class, RARE), "transition": model.transition})
-    end_base, end_emission = math.log10(ends + 0.1) - floor, float(model.emission[END])
+        "base": np.append(np.log10(c + 0.1) - floor, 0.0), "emission": np.append(np.log10(c) - class_log[number_class[:-1]], 0.0),
+        "class": number_class, "transition": transition})
+    end_base, end_emission = math.log10(ends + 0.1) - floor, float(math.log10(max(ends, 1)) - class_log[END])
 
     def make():
-        held = shared.value
-        if "number" not in held:
-            held["number"] = {w.encode(): i for i, w in enumerate(held["words"])}
-        number, base, emission, class_of, transition = (held[x] for x in ("number", "base", "emission", "class", "transition"))
+        base, emission, class_of, transition = (shared.value[x] for x in ("base", "emission", "class", "transition"))
 
-        def score(text: str):
-            words = words_of(text)
-            at = np.fromiter((number.get(w, -1) for w in words), np.int64, len(words))
-            path = np.concatenate([[END], class_of[at], [END]])
-            rare = Counter(words[i] for i in np.flatnonzero(at < 0).tolist())
-            return (len(words) + 1, int((at >= 0).sum()) + (ends > 0), float(base[at].sum()) + end_base,
-                    float(emission[at].sum() + transition[path[:-1], path[1:]].sum()) + end_emission,
-                    [w.decode("utf-8", "replace") for w in rare], list(rare.values()))
+        def score(raw: bytes):
+            x = np.frombuffer(raw, "<i4")
+            at = np.where(x < 0, end, x)  # the last place adds nothing
+            path = np.concatenate([[END], np.where(x < 0, x, class_of[at]), [END]])
+            left, right = path[:-1], path[1:]
+            both = (left >= 0) & (right >= 0)
+            return (len(x) + 1, int((x >= 0).sum()) + (ends > 0), float(base[at].sum()) + end_base,
+                    float(emission[at].sum() + transition[left[both], right[both]].sum()) + end_emission, left[~both].tolist(), right[~both].tolist())
 
         return score
 
-    part = per_text(make, "n_tokens long, known long, base double, score double, words array<string>, times array<long>")
-    local = written(docs.select(F.monotonically_increasing_id().alias("row"), "id", part(F.col("text")).alias("r")).select("row", "id", "r.*"), "scored")
-    rare = local.select("row", F.explode(F.arrays_zip("words", "times")).alias("x")).select("row", F.col("x.words").alias("w"), F.col("x.times").alias("m"))
-    counted = rare.join(vocabulary, "w", "left").select("row", "m", F.coalesce("c", F.lit(0)).alias("c"))
+    def run(batches):
+        transition = shared.value["transition"]
+        for columns in batches:
+            yield pd.Series([path_score(transition, *x) for x in zip(*columns)], dtype="float64")
+
+    run.__annotations__ = {"batches": Iterator[tuple[pd.Series, ...]], "return": Iterator[pd.Series]}
+    path_sum = F.pandas_udf(run, "double")
+    part = per_text(make, "n_tokens long, known long, base double, score double, left array<int>, right array<int>")
+    rare = local.select("row", F.posexplode(F.arrays_zip("words", "times")).alias("j", "x")).select(
+        "row", "j", F.col("x.words").alias("w"), F.col("x.times").alias("m"))
+    counts = vocabulary.join(rare_classes, "w").withColumn("total", F.element_at(F.array(*[F.lit(float(x)) for x in class_log]), F.col("class") + 1))
     log_c = F.log10(F.col("c") + 0.1)
-    sums = counted.groupBy("row").agg(
-        F.sum(F.when(F.col("c") > 0, F.col("m")).otherwise(0)).alias("rare_known"),
-        F.sum(F.col("m") * (log_c - floor)).alias("rare_base"),
-        F.sum(F.col("m") * (log_c - model.rare_log)).alias("rare_score"))
+    # words without a count: the one word of the rare class, with probability 1 in it
+    sums = rare.join(counts, "w", "left").groupBy("row").agg(
+        F.sum(F.when(F.col("c").isNotNull(), F.col("m")).otherwise(0)).alias("rare_known"),
+        F.sum(F.col("m") * (F.coalesce(log_c, F.lit(-1.0)) - floor)).alias("rare_base"),
+        F.sum(F.col("m") * F.coalesce(F.log10("c") - F.col("total"), F.lit(0.0))).alias("rare_score"),
+        F.collect_list(F.when(F.col("c").isNotNull(), F.struct("j", "class"))).alias("found"))
     zero = lambda x: F.coalesce(F.col(x), F.lit(0))
-    return local.drop("words", "times").join(sums, "row", "left").select(
+    some = lambda x: F.coalesce(F.col(x), F.array().cast("array<int>"))
+    path = path_sum("left", "right", some("found.j"), some("found.class"))
+    scored = local.select("row", "id", part(F.col("ids")).alias("r")).select("row", "id", "r.*")
+    return scored.join(sums, "row", "left").select(
         F.col("id").alias(id_col), held_out("id", folds).alias("held_out"), "n_tokens",
         (F.col("known") + zero("rare_known")).cast("long").alias("n_known"), F.lit(train_tokens).cast("long").alias("train_tokens"),
-        (F.col("base") + zero("rare_base")).alias("base_score"), (F.col("score") + zero("rare_score")).alias("score"))
+        (F.col("base") + zero("rare_base")).alias("base_score"), (F.col("score") + zero("rare_score") + path).alias("score"))

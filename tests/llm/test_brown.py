@@ -68,3 +68,21 @@ def test_model_is_a_distribution(docs, spark):
     rows = [(i, "a b a b") for i in range(1, 30)]
     out = score_texts(docs(rows), cluster_words=2, classes=2).collect()
     assert all(r["score"] <= 0 for r in out)
+
+
+def test_words_outside_the_core_have_classes(docs):
+    # the core (the, of, a0, b0) holds a quarter of the words; a-words follow "the", b-words follow "of"
+    held = [i for i in range(1, 500) if zlib.crc32(str(i).encode()) % 10 == 0]
+    rng = np.random.default_rng(1)
+    pick = lambda x: f"{x}{0 if rng.random() < 0.3 else rng.integers(1, 40)}"
+    rows = [(i, " ".join(f"the {pick('a')} of {pick('b')}" for _ in range(20))) for i in range(1, 200) if i not in held]
+    tests = [(held[0], "the a7 of b7 the a9 of b9"), (held[1], "the b7 of a7 the b9 of a9"), (held[2], "the a7 of unseen words the a9")]
+    kinds = len({w for _, t in rows for w in t.split()})
+    assert kinds > 70
+    scores = []
+    for table in (4, 20, 1000):  # the table only saves lookups
+        out = {r["doc_id"]: r["score"] for r in score_texts(docs(rows + tests), cluster_words=4, classes=4, table_words=table).collect()}
+        assert out[held[0]] > out[held[1]] + 4
+        scores.append(out)
+    for out in scores[1:]:
+        assert out == pytest.approx(scores[0], rel=1e-9)
