@@ -1,8 +1,10 @@
 """Language identification by cross-parsing entropy.
 
-From a bounded sample of labelled text per language (``sample_rows`` rows chosen by the
-hash of their id, of which whole texts up to ``sample_chars`` characters are used) a
-suffix automaton is built. A text is parsed against each automaton from left to right
+From a bounded sample of labelled text per language (``sample_rows`` different texts with
+a letter, chosen by their hash; whole if they have ``sample_chars`` characters together,
+else the longest ones cut to an equal length that fits, from their first letter on) a
+suffix automaton is built. So every language with one labelled text that has a letter is
+learned, however long that text is. A text is parsed against each automaton from left to right
 into phrases, each the longest match with anything in the sample (a character unknown
 to the sample is a phrase of its own); phrases end at word ends. The fewer phrases per
 letter, the closer the text is to the language: c phrases over n letters estimate a
@@ -30,6 +32,9 @@ from rollmatch.llm.common import per_text
 
 UNDETERMINED = "und"
 _WORD = re.compile(r"[^\W\d_]+")
+_LAST = re.compile(r"(?<![^\W\d_])[^\W\d_]+\Z")
+#: The same characters as in _WORD, for Spark.
+_LETTER = r"[\p{L}\p{Nl}\p{No}]"
 _BITS = 32
 
 
@@ -146,25 +151,45 @@ def held_out(id_col: str, folds: int = 5) -> Column:
     return F.pmod(F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))), F.lit(folds)) == 0
 
 
+def shares(lengths: list[int], total: int) -> int:
+    """The largest length to which texts of these lengths can be cut so that they add up to ``total`` at most (1 at least)."""
+    left = total
+    for k, n in enumerate(sorted(lengths)):
+        if n * (len(lengths) - k) > left:
+            return max(1, left // (len(lengths) - k))
+        left -= n
+    return max(1, total)
+
+
 def labelled_sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, folds: int, sample_rows: int,
                     sample_chars: int) -> dict[str, list[str]]:
     """Bounded training text per language, from labelled rows outside the held-out fold."""
-    labelled = docs.filter(F.col(lang_col).isNotNull() & ~held_out(id_col, folds))
-    # ids first (no text in the sort), then the texts of those rows
-    chosen = labelled.select(F.col(lang_col).alias("_lang"), F.col(id_col).alias("_id"), F.xxhash64(F.col(id_col)).alias("_h"))
+    labelled = (docs.filter(F.col(lang_col).isNotNull() & ~held_out(id_col, folds) & F.col(text_col).rlike(_LETTER))
+                .select(F.col(lang_col).alias("lang"), F.xxhash64(text_col).alias("h"), F.col(text_col).alias("text")))
+    # hashes first (no text in the sort), then the texts of those rows
+    chosen = labelled.groupBy("lang", "h").agg(F.max(F.length("text")).alias("n"))
     # ranked within 64 slices of a language before within the language, so no task sees more than its slice
-    for keys in (("_lang", F.pmod("_h", F.lit(64))), ("_lang",)):
-        rank = F.row_number().over(W.partitionBy(*keys).orderBy("_h", "_id"))
+    for keys in (("lang", F.pmod("h", F.lit(64))), ("lang",)):
+        rank = F.row_number().over(W.partitionBy(*keys).orderBy("h"))
         chosen = chosen.withColumn("_r", rank).filter(F.col("_r") <= sample_rows).drop("_r")
-    ids = [r["_id"] for r in chosen.select("_id").collect()]  # sample_rows for each language at most
-    rows = (labelled.filter(F.col(id_col).isin(ids) & (F.length(text_col) <= sample_chars))
-            .select(F.col(lang_col).alias("lang"), F.xxhash64(F.col(id_col)).alias("h"), F.col(text_col).alias("text")).collect())
+    ranked: dict[str, dict[int, int]] = {}
+    for r in chosen.collect():  # sample_rows for each language at most
+        ranked.setdefault(r["lang"], {})[r["h"]] = r["n"]
+    if not ranked:
+        return {}
+    cut = {lang: shares(list(of.values()), sample_chars) for lang, of in ranked.items()}
+    wanted = docs.sparkSession.createDataFrame([(lang, h, cut[lang]) for lang, of in ranked.items() for h in of], "lang string, h long, most int")
+    # equal texts give equal excerpts: one comes out of each task
+    excerpt = F.regexp_replace("text", f"^[^{_LETTER[1:-1]}]++", "").substr(F.lit(1), F.col("most"))
+    rows = labelled.join(F.broadcast(wanted), ["lang", "h"]).groupBy("lang", "h").agg(F.max(excerpt).alias("text")).collect()
     out: dict[str, list[str]] = {}
-    used: dict[str, int] = {}
-    for r in sorted(rows, key=lambda r: (r["lang"], r["h"], r["text"])):
-        if used.get(r["lang"], 0) + len(r["text"]) <= sample_chars and _WORD.search(r["text"]):
-            used[r["lang"]] = used.get(r["lang"], 0) + len(r["text"])
-            out.setdefault(r["lang"], []).append(r["text"])
+    for r in sorted(rows, key=lambda r: (r["lang"], r["h"])):
+        text = r["text"]
+        if ranked[r["lang"]][r["h"]] > len(text) == cut[r["lang"]]:  # the last word may be cut
+            whole = _LAST.sub("", text)
+            text = whole if _WORD.search(whole) else text
+        if _WORD.search(text):
+            out.setdefault(r["lang"], []).append(text)
     return out
 
 

@@ -1,7 +1,7 @@
 import random
 from collections import Counter
 
-from rollmatch.llm.langid import SuffixAutomaton, identify_languages, in_learned_language
+from rollmatch.llm.langid import SuffixAutomaton, identify_languages, in_learned_language, labelled_sample, shares
 from tests.conftest import SF_SMALL
 from tests.llm.conftest import ODD
 
@@ -52,3 +52,25 @@ def test_rows_in_learned_languages_pass_unchanged(docs):
     df = docs(rows).withColumnRenamed("source", "found")
     kept = in_learned_language(df)
     assert kept.columns == df.columns and sorted(r["doc_id"] for r in kept.collect()) == list(range(20))
+
+
+def test_every_language_with_a_usable_row_is_learned(docs):
+    english = [(i, f"the house and the garden number {i}", "en") for i in range(1, 120)]
+    # a language of books only; one whose labelled rows are mostly NULL or letterless; one whose rows share an id
+    greek = "το σπίτι και ο κήπος είναι εδώ σήμερα "
+    books = [(i, "12. " + greek * 2000 + str(i), "el") for i in range(200, 300)]
+    russian = [(i, None if i % 2 else f"{i} -- ..", "ru") for i in range(300, 700)] + [(701, "дом и большой сад стоят у реки", "ru"), (702, "дом и сад у реки", "ru")]
+    hebrew = [(801, "12 34", "he")] * 100 + [(801, "הבית והגן הגדול ליד הנהר", "he")]
+    rows = english + books + russian + hebrew
+    out = {(r["doc_id"], r["lang_pred"]) for r in identify_languages(docs(rows)).collect()}
+    assert {(200, "el"), (299, "el"), (701, "ru"), (801, "he"), (5, "en")} <= out
+    kept = {r["doc_id"] for r in in_learned_language(docs(rows)).collect()}
+    assert {200, 299, 701, 801, 5} <= kept
+    sample = labelled_sample(docs(rows), "doc_id", "text", "lang", 5, 64, 60_000)
+    assert set(sample) == {"en", "el", "ru", "he"} and all(sum(map(len, x)) <= 60_000 and len(x) <= 64 for x in sample.values())
+    words = set(greek.split())
+    assert len(sample["el"]) == 64 and {w for t in sample["el"] for w in t.split() if not w.isdigit()} == words
+
+
+def test_shares():
+    assert shares([5, 5, 100], 40) == 30 and shares([100], 60) == 60 and shares([1, 2], 60) == 60 and shares([100, 100], 60) == 30
