@@ -6,8 +6,10 @@ footers, page headers, hidden elements, and elements whose class, id or role nam
 as menu, advert, notice, sidebar, comments and the like. Then every paragraph (a block
 with text of its own) gives points for its length and commas to its parent, half of them
 to the grandparent and ever less further up; an element's points are discounted by the
-share of its text that stands in links. The best container is kept whole, with those of
-its siblings that score well or read like prose.
+share of its text that stands in links. The best element names the article: the nearest
+<article> or <main> around it is kept whole, however long the page is and wherever in it
+the best element lies; of a <main> or <article> further out, and without any of them of the
+page, all parts beside it are kept of which no more than half the text stands in links.
 
 The text is made of blocks in page order, joined by a blank line; character references
 are decoded and white space inside a block becomes one space. NULL and empty pages give
@@ -201,26 +203,39 @@ def best_container(root: Node):
         value = node.points * (1 - node.link_chars / max(1, node.chars))
         if value > most:
             best, most = node, value
-    return best, most, found
+    return best, found
+
+
+def _prose(node) -> bool:
+    return isinstance(node, Node) and not node.dropped and node.chars > 0 and node.link_chars * 2 <= node.chars
+
+
+def content(best: Node) -> tuple[set, set]:
+    """Ids of the elements to keep whole, and of those whose own text blocks are kept, around the best element."""
+    trail = [best]
+    while trail[-1].parent is not None:
+        trail.append(trail[-1].parent)
+    marked = [k for k, n in enumerate(trail) if n.tag in ("article", "main")]
+    first = marked[0] if marked else 0  # kept whole, with all between it and the best element
+    last = marked[-1] if marked else len(trail) - 1
+    kept, own = {id(trail[first])}, set()
+    for node, parent in zip(trail[first:last], trail[first + 1:last + 1]):
+        own.add(id(parent))
+        kept.update(id(x) for x in parent.children if x is not node and _prose(x))
+    if marked and trail[last].parent is not None:  # an article in several parts
+        kept.update(id(x) for x in trail[last].parent.children if x is not trail[last] and x.tag in ("article", "main") and _prose(x))
+    return kept, own
 
 
 def main_text(html: str) -> str:
     tree = Tree()
     tree.feed(html)
     tree.close()
-    best, most, found = best_container(tree.root)
-    if best is None:
-        best = _first(tree.root, ("article", "main")) or tree.root
-    kept = {id(best)}
-    if best.parent is not None and most:
-        for node in best.parent.children:
-            if isinstance(node, Node) and node is not best and not node.dropped and node.chars:
-                density = node.link_chars / node.chars
-                if node.points * (1 - density) >= max(10.0, 0.2 * most) or (node.tag == "p" and node.chars > 80 and density < 0.25):
-                    kept.add(id(node))
+    best, found = best_container(tree.root)
+    kept, own = ({id(_first(tree.root, ("article", "main")) or tree.root)}, set()) if best is None else content(best)
     inside: dict[int, bool] = {}
     out = []
-    for text, owner, _ in found:
+    for text, owner, links in found:
         trail, node = [], owner
         while node is not None and id(node) not in inside:
             if id(node) in kept:
@@ -231,7 +246,7 @@ def main_text(html: str) -> str:
         verdict = node is not None and inside[id(node)]
         for n in trail:
             inside[id(n)] = verdict
-        if verdict:
+        if verdict or (id(owner) in own and links * 2 <= len(text)):
             out.append(text)
     return "\n\n".join(out)
 

@@ -42,3 +42,19 @@ def test_odd_pages(spark):
     assert by[(3, True)] == "plain words only" and (1, False) in by and (2, False) in by and by[(None, True)] == "x" and (7, False) in by
     assert len(by[(7, True)].split()) == 50_000
     assert extract_pages(df.limit(0)).count() == 0
+
+
+def test_long_nested_articles_stay_whole():
+    for n in (1, 3, 8, 40, 400):
+        body = [f"Paragraph {i} of the body, long enough to score, with commas, and more words to fill a line or so." for i in range(n)]
+        ps = "".join(f"<p>{p}</p>" for p in body)
+        parts = (f"<h1>Headline</h1><p>A short lead.</p><div class='content'>{ps}</div><ul><li>one</li><li>two</li></ul><blockquote>Quoted.</blockquote>"
+                 "<table><tr><td>cell</td></tr></table><section><h2>Note</h2><p>Small.</p></section>")
+        whole = "\n\n".join(["Headline", "A short lead.", *body, "one", "two", "Quoted.", "cell", "Note", "Small."])
+        links = "<ul>" + "".join(f"<li><a href='/{i}'>Some linked headline, number {i}, of the day</a></li>" for i in range(9)) + "</ul>"
+        assert main_text(page(f"<nav>Menu</nav><article>{parts}</article><footer>end</footer>")) == whole
+        assert main_text(page(f"<main><div><div>{parts}</div></div></main>")) == whole
+        assert main_text(page(f"<main><article>{parts}</article>{links}<p>Correction.</p></main>")) == whole + "\n\nCorrection."
+        # no article element: links beside the text go, all else stays
+        assert main_text(page(f"<div id='page'>{links}<div>{parts}</div></div>")) == whole
+        assert main_text(page(f"<div>Loose text.{parts}</div>{links}")) == "Loose text.\n\n" + whole
