@@ -9,9 +9,10 @@ in the shared checkpoint folder and read back as the next stage's ``docs``:
 4. ``decontamination``  documents that contain a benchmark item go
 5. ``bpe``              the texts as token ids, with a digest of what the ids decode to
 
-All but the last return the columns of ``documents``. Rows with a NULL id pass stage 3
-unlinked; NULL and empty texts go in stage 1. Rows that share an id count as one
-document: one of them passes stage 3. Empty tables give empty results.
+All but the last return the columns of ``documents``. NULL and empty texts go in stage 1.
+Rows with the same id (NULL too) and the same text count as one document: one of them
+passes stage 3, which deletes others only as near-duplicates of a document that stays (the
+one with the smallest id; NULL ids come last). Empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from rollmatch.llm.linededup import dedup_lines
 from rollmatch.llm.neardup import near_duplicates
 
 #: Names that no input column is expected to have.
-_LINES, _GONE, _LEAKS = "__lines", "__deleted", "__leaks"
+_LINES, _GONE, _LEAKS, _KEY, _TEXT = "__lines", "__deleted", "__leaks", "__key", "__text"
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,9 +45,14 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    kept = near_duplicates(docs, shingle_words=5, threshold=0.8).filter("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("__kept"))
-    one = docs.join(kept, docs["doc_id"] == kept["__kept"], "left_semi").dropDuplicates(["doc_id"])
-    return one.union(docs.filter("doc_id IS NULL"))
+    once = written(docs.withColumn(_TEXT, F.xxhash64("text")).dropDuplicates(["doc_id", _TEXT]), "once")
+    # one number for each document (id and text), in the order of the ids, NULL ids last
+    order = once.select(F.col("doc_id").alias("__id"), F.col(_TEXT).alias("__hash")).orderBy(F.col("__id").asc_nulls_last(), "__hash")
+    keys = written(order.withColumn(_KEY, F.monotonically_increasing_id()), "keys")
+    numbered = once.join(keys, once["doc_id"].eqNullSafe(keys["__id"]) & (once[_TEXT] == keys["__hash"]))
+    numbered = written(numbered.select(*docs.columns, _KEY), "numbered")
+    kept = near_duplicates(numbered, id_col=_KEY, shingle_words=5, threshold=0.8).filter("kept").select(_KEY)
+    return numbered.join(kept, _KEY, "left_semi").select(docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -62,3 +62,14 @@ def test_all_operators_are_registered():
     assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in names if n.startswith("op")) == list(range(1, 11))
     assert "pipeline" in names and set(QUERIES) <= set(names)
     assert len(P.STAGES) == 5 and Vocabulary and Encoder and Decoder
+
+
+def test_near_dedup_drops_only_copies_of_what_stays(spark, docs):
+    words = [f"word{i}" for i in range(400)]
+    text = lambda k: " ".join(words[k * 50:k * 50 + 50])
+    near = text(0) + " more"
+    rows = [(1, text(0)), (2, near), (2, text(1)), (2, text(2)), (2, text(2)), (None, near), (None, text(3)), (None, text(3)), (None, text(3) + " more"), (3, text(4))]
+    out = P.near_dedup(spark, docs(rows), SF_SMALL).collect()
+    got = sorted(((r["doc_id"] or 0, r["text"].replace(" more", "")) for r in out))
+    # different texts of id 2 both stay, one of the three texts without an id, and no copy of document 1
+    assert got == sorted([(1, text(0)), (2, text(1)), (2, text(2)), (0, text(3)), (3, text(4))])
