@@ -19,7 +19,8 @@ without a letter or digit match nothing.
 The benchmark is the stated query set. It is handled in blocks of ``block_chars``
 characters, each broadcast for one pass over the documents, so what a worker holds is
 bounded however large the benchmark is. Documents are neither shuffled nor collected.
-NULL and empty texts contain nothing; repeated rows get equal results.
+NULL and empty texts contain nothing; repeated rows get equal results. An item without an
+id is searched for like any other and comes out with a NULL id.
 """
 
 from __future__ import annotations
@@ -82,7 +83,7 @@ def banded_distance(item: str, region: str, most: int, slack: int) -> int:
 class Finder:
     """Occurrences of a block of items in a text."""
 
-    def __init__(self, items: list[tuple[int, str]], rate: float, q: int = Q):
+    def __init__(self, items: list[tuple[int | str, str]], rate: float, q: int = Q):
         self.q, self.items = q, [(k, t) for k, t in ((k, normalized(t)) for k, t in items) if any(c.isalnum() for c in t)]
         self.short = [(k, t) for k, t in self.items if len(t) < q]
         self.long = [(k, t) for k, t in self.items if len(t) >= q]
@@ -124,8 +125,9 @@ class Finder:
         met = counts >= self.bound[which]
         return [(int(i), int((k & ((1 << 40) - 1)) - (1 << 20)) * int(self.band[i])) for i, k in zip(which[met], found[met])]
 
-    def __call__(self, raw: str) -> list[tuple[int, int, int]]:
-        """(item id, start in the normalized text, edits) of each contained item, the best place of each."""
+    def __call__(self, raw: str) -> list[tuple[int | None, int, int]]:
+        """(item id, start in the normalized text, edits) of each contained item, the best place of each; the id of an
+        item that goes by its text is None."""
         text, best = normalized(raw), {}
         for k, t in self.short:
             p = f" {text} ".find(f" {t} ")
@@ -143,17 +145,19 @@ class Finder:
             if edits <= budget:
                 place = start + max(p, 0)
                 best[k] = min(best.get(k, (edits, place)), (edits, place))
-        return [(k, p, e) for k, (e, p) in sorted(best.items())]
+        nameless = sorted((p, e) for k, (e, p) in best.items() if isinstance(k, str))
+        return [(None, p, e) for p, e in nameless] + sorted((k, p, e) for k, (e, p) in best.items() if not isinstance(k, str))
 
 
 def item_blocks(benchmark: DataFrame, item_col: str, text_col: str, block_chars: int):
     """The items in blocks of about ``block_chars`` characters; one block is on the driver at a time."""
-    items = benchmark.select(F.col(item_col).cast("long").alias("k"), F.col(text_col).alias("t")).filter("k IS NOT NULL AND t IS NOT NULL")
+    items = benchmark.select(F.col(item_col).cast("long").alias("k"), F.col(text_col).alias("t")).filter("t IS NOT NULL")
     total = items.agg(F.sum(F.length("t"))).first()[0] or 0
     n = -(-total // block_chars)
     for b in range(n):
         part = items if n == 1 else items.filter(F.pmod(F.xxhash64("k", "t"), F.lit(n)) == b)
-        yield [(r["k"], r["t"]) for r in part.collect()]
+        # an item without an id is told from others by its text
+        yield [(r["t"] if r["k"] is None else r["k"], r["t"]) for r in part.collect()]
 
 
 def contained_items(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text: str = "text",

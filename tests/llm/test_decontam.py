@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 
 from rollmatch.llm.decontam import Finder, banded_distance, contained_items, edit_budget, leaks, normalized
 from tests.llm.conftest import ODD
@@ -55,3 +56,13 @@ def test_rows_blocks_and_columns(docs, spark):
     marked = contained_items(docs(rows).withColumnRenamed("lang", "leaks"), bench, as_col="found")
     assert marked.columns == ["doc_id", "text", "leaks", "source", "n_chars", "found"] and marked.count() == len(rows)
     assert leaks(docs(rows), bench.limit(0)).count() == 0 and leaks(docs([]), bench).count() == 0
+
+
+def test_items_without_an_id_are_found(docs, spark):
+    rng = random.Random(3)
+    passages = [prose(rng, 15) for _ in range(4)]
+    bench = spark.createDataFrame([(None, passages[0]), (None, passages[1]), (7, passages[2]), (None, passages[3]), (None, passages[0])], "item_id long, text string")
+    rows = [(1, f"{prose(rng, 30)} {passages[1]} and {passages[0]}"), (2, f"{passages[2]} {passages[3]}"), (3, prose(rng, 40))]
+    for block in (4_000_000, 150):
+        found = Counter((r["doc_id"], r["item_id"]) for r in leaks(docs(rows), bench, block_chars=block).collect())
+        assert found == {(1, None): 2, (2, 7): 1, (2, None): 1}
