@@ -85,6 +85,15 @@ def op10_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_texts(table(spark, sf_dir, "documents"))
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rollmatch.llm.merkle import verified_rows
+
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    text = F.when(F.crc32(F.col("doc_id").cast("string")) % 3 == 0, F.translate("text", upper, lower)).otherwise(F.col("text"))
+    checked = verified_rows(table(spark, sf_dir, "documents"), ["doc_id", "source", "lang", "n_chars", "text"], "lang", "doc_id", {"text": text})
+    return checked.select("doc_id", "leaf", "subroot", "root", F.sha2("proof", 256).alias("proof_sha256"), "folded_root", "verified")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_quality_rules, op2_token_counts, op3_minhash_neardup, op4_language_id, op5_personal_data, op6_html_extraction,
-    op7_line_dedup, op8_bpe_round_trip, op9_decontamination, op10_lm_scores)}
+    op7_line_dedup, op8_bpe_round_trip, op9_decontamination, op10_lm_scores, op12_merkle_manifest)}

@@ -61,4 +61,57 @@ c AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
 SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id, w.doc_id = c.component_id AS kept
 FROM w JOIN c USING (doc_id) LEFT JOIN n USING (doc_id)"""
 
-ORACLE_SQL: dict[str, str] = {"op1_quality_rules": QUALITY, "op3_minhash_neardup": NEAR_DUPLICATES}
+#: CRC-32 of an ASCII string as SQL: its bytes one after the other, eight shifts each.
+CRC32 = """xor(4294967295, list_reduce([4294967295] || flatten(list_transform(range(1, length({x}) + 1), lambda i: [ascii({x}[i]), -1, -1, -1, -1, -1, -1, -1, -1])),
+  lambda a, b: CASE WHEN b >= 0 THEN xor(a, b) ELSE xor(a >> 1, 3988292384 * (a & 1)) END))"""
+
+
+def _field(x: str) -> str:
+    return f"coalesce(CAST(strlen(CAST({x} AS VARCHAR)) AS VARCHAR) || ':' || CAST({x} AS VARCHAR), '-')"
+
+
+def _levels(name: str, start: str) -> str:
+    """A recursive table of all nodes above ``start`` (tree, idx, h) and a table of their runs."""
+    return f"""
+{name} AS (
+  SELECT tree, 0 AS l, idx, h, count(*) OVER (PARTITION BY tree) AS m FROM {start}
+  UNION ALL
+  SELECT tree, l + 1, idx // 8, sha256(string_agg(h, '' ORDER BY idx)), (m + 7) // 8 FROM {name} WHERE m > 1 GROUP BY tree, l, idx // 8, m),
+{name}_runs AS (SELECT tree, l + 1 AS l, idx // 8 AS up, list(h ORDER BY idx) AS kids FROM {name} WHERE m > 1 GROUP BY tree, l, idx // 8)"""
+
+
+def _climb(name: str, runs: str, start: str) -> str:
+    """The ways up from ``start`` (tree, idx, leaf_tree, leaf_idx, cur, proof) over ``runs``; the last row of each is its end."""
+    p = "CAST(c.idx % 8 AS INTEGER)"
+    return f"""
+{name}_all AS (
+  SELECT *, 0 AS l FROM {start}
+  UNION ALL
+  SELECT c.tree, c.idx // 8, leaf_tree, leaf_idx, sha256(array_to_string(kids[1:{p}] || [cur] || kids[{p} + 2:], '')),
+         proof || array_to_string(kids[1:{p}] || kids[{p} + 2:], ''), c.l + 1
+  FROM {name}_all c JOIN {runs} r ON r.tree = c.tree AND r.l = c.l + 1 AND r.up = c.idx // 8),
+{name} AS (SELECT * FROM {name}_all QUALIFY l = max(l) OVER (PARTITION BY leaf_tree, leaf_idx))"""
+
+
+_LEAF = "sha256(" + " || ".join(_field(x) for x in ("doc_id", "source", "lang", "n_chars", "text")) + ")"
+_TAMPERED = _LEAF.replace("(text AS", "(lowered AS")
+MERKLE = f"""
+WITH RECURSIVE
+d AS (SELECT *, CASE WHEN {CRC32.format(x="CAST(doc_id AS VARCHAR)")} % 3 = 0 THEN translate(text, '{_UPPER}', '{_LOWER}') ELSE text END AS lowered FROM documents),
+hashed AS (SELECT doc_id, lang, {_LEAF} AS h, {_TAMPERED} AS claimed FROM d),
+trees AS (SELECT lang, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree FROM (SELECT DISTINCT lang FROM documents)),
+leaf AS (
+  SELECT doc_id, h, claimed, tree, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, h) - 1 AS idx
+  FROM hashed JOIN trees ON hashed.lang IS NOT DISTINCT FROM trees.lang),
+{_levels("low", "leaf")},
+sub AS (SELECT 0 AS tree, tree AS idx, h FROM low WHERE m = 1),
+{_levels("high", "sub")},
+top AS (SELECT h FROM high WHERE m = 1),
+start1 AS (SELECT tree, idx, tree AS leaf_tree, idx AS leaf_idx, claimed AS cur, '' AS proof FROM leaf),
+{_climb("c1", "low_runs", "start1")},
+start2 AS (SELECT 0 AS tree, leaf_tree AS idx, leaf_tree, leaf_idx, cur, proof FROM c1),
+{_climb("c2", "high_runs", "start2")}
+SELECT doc_id, leaf.h AS leaf, sub.h AS subroot, top.h AS root, sha256(proof) AS proof_sha256, cur AS folded_root, cur = top.h AS verified
+FROM leaf JOIN c2 ON leaf.tree = leaf_tree AND leaf.idx = leaf_idx JOIN sub ON sub.idx = leaf.tree, top"""
+
+ORACLE_SQL: dict[str, str] = {"op1_quality_rules": QUALITY, "op3_minhash_neardup": NEAR_DUPLICATES, "op12_merkle_manifest": MERKLE}
