@@ -94,6 +94,12 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checked.select("doc_id", "leaf", "subroot", "root", F.sha2("proof", 256).alias("proof_sha256"), "folded_root", "verified")
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rollmatch.llm.repair import damaged, repair_conversations
+
+    return repair_conversations(damaged(table(spark, sf_dir, "conversations")), there=F.col("there"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_quality_rules, op2_token_counts, op3_minhash_neardup, op4_language_id, op5_personal_data, op6_html_extraction,
-    op7_line_dedup, op8_bpe_round_trip, op9_decontamination, op10_lm_scores, op12_merkle_manifest)}
+    op7_line_dedup, op8_bpe_round_trip, op9_decontamination, op10_lm_scores, op12_merkle_manifest, op13_conversation_repair)}

@@ -114,4 +114,54 @@ start2 AS (SELECT 0 AS tree, leaf_tree AS idx, leaf_tree, leaf_idx, cur, proof F
 SELECT doc_id, leaf.h AS leaf, sub.h AS subroot, top.h AS root, sha256(proof) AS proof_sha256, cur AS folded_root, cur = top.h AS verified
 FROM leaf JOIN c2 ON leaf.tree = leaf_tree AND leaf.idx = leaf_idx JOIN sub ON sub.idx = leaf.tree, top"""
 
-ORACLE_SQL: dict[str, str] = {"op1_quality_rules": QUALITY, "op3_minhash_neardup": NEAR_DUPLICATES, "op12_merkle_manifest": MERKLE}
+#: The states of the grammar ``(s?(ua)+)?`` are the last initial ('' at the start); rows of ``dp`` hold the cheapest,
+#: then ASCII-least edits of a conversation's first i turns for each state, ``ins`` up to two inserts after a turn.
+REPAIR = rf"""
+WITH RECURSIVE
+src AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         {CRC32.format(x="(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '))")} % 20 AS k FROM conversations),
+convs AS (SELECT conv_id, row_number() OVER (ORDER BY conv_id) AS c FROM (SELECT DISTINCT conv_id FROM conversations)),
+damaged AS (
+  SELECT c, turn, CASE WHEN k = 4 THEN 'user' ELSE role END AS role,
+         CASE k WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, unnest(range(CASE k WHEN 3 THEN 2 ELSE 1 END)) AS copy
+  FROM src JOIN convs ON src.conv_id IS NOT DISTINCT FROM convs.conv_id WHERE k <> 0),
+ordered AS (SELECT *, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, role, text) AS i, role[1] AS initial FROM damaged),
+t AS (
+  SELECT *, lag(initial) OVER (PARTITION BY c ORDER BY i) || initial AS pair,
+         CASE WHEN NOT regexp_matches(text, '{WORD}') THEN 'blank' WHEN row_number() OVER (PARTITION BY c, role, text ORDER BY i) > 1 THEN 'duplicate'
+              WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 'truncated' ELSE '' END AS fault
+  FROM ordered),
+counts AS (
+  SELECT c, CAST(coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS BIGINT) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+         count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+         count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n
+  FROM t GROUP BY c),
+grammar(g, symbol, g2) AS (VALUES ('', 's', 's'), ('', 'u', 'u'), ('s', 'u', 'u'), ('u', 'a', 'a'), ('a', 'u', 'u')),
+moves AS (
+  SELECT 'K' AS op, g, symbol, g2, 0 AS cost FROM grammar UNION ALL SELECT 'R', g, symbol, g2, 1 FROM grammar WHERE symbol <> 's'
+  UNION ALL SELECT 'D', g, '', g, 2 FROM (VALUES (''), ('s'), ('u'), ('a')) v(g)),
+ins(g, g2, cost, letters, body) AS (
+  VALUES ('', '', 0, '', CAST([] AS VARCHAR[])), ('s', 's', 0, '', []), ('u', 'u', 0, '', []), ('a', 'a', 0, '', []),
+         ('', 'u', 5, 'I', ['user:']), ('s', 'u', 5, 'I', ['user:']), ('u', 'a', 5, 'I', ['assistant:']), ('a', 'u', 5, 'I', ['user:']),
+         ('', 'a', 10, 'II', ['user:', 'assistant:']), ('s', 'a', 10, 'II', ['user:', 'assistant:']),
+         ('u', 'u', 10, 'II', ['assistant:', 'user:']), ('a', 'a', 10, 'II', ['user:', 'assistant:'])),
+dp AS (
+  SELECT c, CAST(0 AS BIGINT) AS i, ins.g2 AS g, CAST(cost AS BIGINT) AS cost, letters AS audit, body FROM convs, ins WHERE ins.g = ''
+  UNION ALL
+  SELECT c, i, g, cost, audit, body FROM (
+    SELECT dp.c, t.i, ins.g2 AS g, dp.cost + moves.cost + CASE WHEN op <> 'D' AND fault = 'truncated' THEN 5 ELSE 0 END + ins.cost AS cost,
+           audit || op || letters AS audit,
+           dp.body || CASE op WHEN 'D' THEN [] WHEN 'K' THEN [role || ':' || text] ELSE [CASE symbol WHEN 'u' THEN 'user:' ELSE 'assistant:' END || text] END || ins.body AS body
+    FROM dp JOIN t ON t.c = dp.c AND t.i = dp.i + 1
+    JOIN moves ON moves.g = dp.g AND (op = 'D' OR (fault NOT IN ('blank', 'duplicate') AND (op = 'R' OR symbol = initial)))
+    JOIN ins ON ins.g = moves.g2)
+  QUALIFY row_number() OVER (PARTITION BY c, g ORDER BY cost, audit) = 1),
+ends AS (
+  SELECT dp.* FROM dp LEFT JOIN counts USING (c) WHERE i = coalesce(n, 0) AND g IN ('', 'a')
+  QUALIFY row_number() OVER (PARTITION BY c ORDER BY cost, audit) = 1)
+SELECT conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, cost, audit, sha256(array_to_string(body, chr(10))) AS repaired_sha256
+FROM convs JOIN ends USING (c) LEFT JOIN counts USING (c)"""
+
+ORACLE_SQL: dict[str, str] = {"op1_quality_rules": QUALITY, "op3_minhash_neardup": NEAR_DUPLICATES, "op12_merkle_manifest": MERKLE, "op13_conversation_repair": REPAIR}

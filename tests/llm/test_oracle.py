@@ -11,7 +11,8 @@ from tests.conftest import SF_SMALL
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_query_matches_sql(spark, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SF_SMALL}/documents.parquet')")
+    for name_ in ("documents", "conversations"):
+        con.execute(f"CREATE VIEW {name_} AS SELECT * FROM read_parquet('{SF_SMALL}/{name_}.parquet')")
     result = con.execute(ORACLE_SQL[name])
     columns = [d[0] for d in result.description]
     out = QUERIES[name](spark, SF_SMALL)
