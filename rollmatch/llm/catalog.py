@@ -85,6 +85,14 @@ def op10_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_texts(table(spark, sf_dir, "documents"))
 
 
+def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rollmatch.llm.suffixes import remove_repeats
+
+    cut = remove_repeats(table(spark, sf_dir, "documents"), length=100)
+    removed = (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed")
+    return cut.select("doc_id", "n_bytes", removed, F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     from rollmatch.llm.merkle import verified_rows
 
@@ -102,4 +110,4 @@ def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_quality_rules, op2_token_counts, op3_minhash_neardup, op4_language_id, op5_personal_data, op6_html_extraction,
-    op7_line_dedup, op8_bpe_round_trip, op9_decontamination, op10_lm_scores, op12_merkle_manifest, op13_conversation_repair)}
+    op7_line_dedup, op8_bpe_round_trip, op9_decontamination, op10_lm_scores, op11_suffix_dedup, op12_merkle_manifest, op13_conversation_repair)}
