@@ -164,4 +164,22 @@ SELECT conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce
        coalesce(illegal, 0) AS illegal, cost, audit, sha256(array_to_string(body, chr(10))) AS repaired_sha256
 FROM convs JOIN ends USING (c) LEFT JOIN counts USING (c)"""
 
-ORACLE_SQL: dict[str, str] = {"op1_quality_rules": QUALITY, "op3_minhash_neardup": NEAR_DUPLICATES, "op12_merkle_manifest": MERKLE, "op13_conversation_repair": REPAIR}
+#: Windows of 100 bytes as numbers of their hex text; repeated ones make runs, what lies between stays.
+REPEATS = """
+WITH w AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS hx FROM documents),
+s AS (SELECT doc_id, i, md5_number(hx[2 * i + 1:2 * i + 200]) AS g FROM w, unnest(range(len(hx) // 2 - 99)) u(i)),
+later AS (SELECT doc_id, i FROM s QUALIFY row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS LAST, i) > 1),
+marked AS (SELECT doc_id, i, i > coalesce(lag(i) OVER (PARTITION BY doc_id ORDER BY i), -101) + 100 AS opens FROM later),
+runs AS (SELECT doc_id, i, count(*) FILTER (opens) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM marked),
+spans AS (SELECT doc_id, run, min(i) AS a, max(i) + 100 AS b FROM runs GROUP BY doc_id, run),
+before AS (SELECT doc_id, run, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY run), 0) AS a0 FROM spans),
+cut AS (
+  SELECT doc_id, sum(b - a) AS n, count(*) AS n_spans, max(b) AS last, string_agg(hx[2 * a0 + 1:2 * a], '' ORDER BY run) AS hx
+  FROM before JOIN w USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w.hx) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(cut.hx, '') || w.hx[2 * coalesce(last, 0) + 1:])) AS kept_sha256
+FROM w LEFT JOIN cut USING (doc_id)"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op1_quality_rules": QUALITY, "op3_minhash_neardup": NEAR_DUPLICATES, "op11_suffix_dedup": REPEATS, "op12_merkle_manifest": MERKLE,
+    "op13_conversation_repair": REPAIR}
