@@ -1,0 +1,83 @@
+"""Character bags of texts: native bounds on what two texts can have in common.
+
+Jaro matches one character with an equal one of the other text, so its ``m`` is at most the
+size of the common bag (each character as often as in both). From that
+``Jaro <= (c/la + c/lb + 1) / 3`` with ``c`` any upper bound of the common bag.
+
+* ``signature`` packs counts into two numbers: every letter, digit and the space has a few
+  bits, of which as many are set as the text has of that character. The common bits of two
+  signatures, plus the smaller number of characters that had no bit, bound the common bag
+  (``common_bound``). Built from lengths and bit operations, inside generated code.
+* ``tokens`` lists the bag exactly, rarest characters first, for the inverted index of
+  ``operators.similar``.
+"""
+
+from __future__ import annotations
+
+from fractions import Fraction
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+# Characters from rare to common in addresses; the bits of a signature per character.
+RARE_FIRST = "qzxjkvybpwgfmuhcdl9876543210rsnioate "
+COMMON_LETTERS = "tneaoisrld"
+_WORDS = (
+    tuple((c, 4) for c in COMMON_LETTERS) + tuple((c, 2) for c in "0123456789"),
+    tuple((c, 3) for c in "bcfghjkmpquvwxyz") + ((" ", 6),),
+)
+
+
+def _count(text: Column, char: str) -> Column:
+    return F.length(text) - F.length(F.replace(text, F.lit(char), F.lit("")))
+
+
+def signature(text: Column) -> Column:
+    """Struct of the packed counts ``x`` and ``y``, the length ``n`` and the characters without a bit ``rest``."""
+    words = []
+    for fields in _WORDS:
+        word, at = F.lit(0).cast("long"), 0
+        for char, bits in fields:
+            ones = F.expr(f"array({', '.join(f'{(1 << k) - 1}L' for k in range(bits + 1))})")
+            word = word.bitwiseOR(F.shiftleft(F.element_at(ones, F.least(_count(text, char), F.lit(bits)) + 1), at))
+            at += bits
+        words.append(word)
+    with_bits = F.bit_count(words[0]) + F.bit_count(words[1])
+    return F.struct(words[0].alias("x"), words[1].alias("y"), F.length(text).alias("n"), (F.length(text) - with_bits).alias("rest"))
+
+
+def common_bound(a: Column, b: Column) -> Column:
+    """At least the size of the common bag, from two signatures."""
+    shared = F.bit_count(a["x"].bitwiseAND(b["x"])) + F.bit_count(a["y"].bitwiseAND(b["y"]))
+    return shared + F.least(a["rest"], b["rest"])
+
+
+def common_needed(threshold: float, prefix_weight: float = 0.0) -> Fraction | None:
+    """q such that a similarity of ``threshold`` needs ``c/la + c/lb >= q``; None when nothing follows.
+
+    The Winkler boost is at most 4p(1 - sim) and increasing in sim, so the plain Jaro must
+    reach (t - 4p) / (1 - 4p).
+    """
+    t, p4 = Fraction(str(threshold)), 4 * Fraction(str(prefix_weight))
+    if p4 >= 1:
+        return None
+    q = 3 * (t - p4) / (1 - p4) - 1
+    return q if q > 0 else None
+
+
+def can_reach(common: Column, la: Column, lb: Column, threshold: float, prefix_weight: float = 0.0) -> Column:
+    """FALSE proves that the similarity of two texts stays below the threshold (exact integers)."""
+    q = common_needed(threshold, prefix_weight)
+    if q is None:
+        return F.lit(True)
+    wide = [c.cast("long") for c in (common, la, lb)]
+    return F.lit(q.denominator) * wide[0] * (wide[1] + wide[2]) >= F.lit(q.numerator) * wide[1] * wide[2]
+
+
+def tokens(text: Column) -> Column:
+    """The bag as an array of distinct strings in one order for all texts, rarest characters first:
+    place of the character in ``RARE_FIRST``, the character, how many equal ones stand before it."""
+    chars = F.transform(F.sequence(F.lit(1), F.length(text)), lambda i: F.substring(text, i, F.lit(1)))
+    placed = F.array_sort(F.transform(chars, lambda c: F.concat(F.lpad(F.instr(F.lit(RARE_FIRST), c).cast("string"), 2, "0"), c)))
+    numbered = F.transform(placed, lambda c, i: F.concat(c, (i + 1 - F.array_position(placed, c)).cast("string")))
+    return F.when(F.length(text) == 0, F.array().cast("array<string>")).otherwise(numbered)

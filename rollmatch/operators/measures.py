@@ -15,8 +15,9 @@ On raw rows a key repeated on both sides forms every pair of its rows. The
 measures only need *counts* of pairs, so ``pair_measure_table`` counts them
 from per-key aggregates: pairs = rows_S x rows_P, "differs" = non-missing pairs
 minus equal pairs, and equal pairs come from an equi-join of per-(key, value)
-counts. Every shuffle carries aggregates; no pair is ever emitted. The address
-measure needs a similarity per pair and is built on the de-duplicated match only.
+counts. Every shuffle carries aggregates; no pair is ever emitted. Address mismatches
+are address pairs minus similar ones (``operators.similar``): only pairs of texts that can
+reach the threshold are formed and scored.
 
 Per-district reports follow the original layout: the district id without dashes
 (``AUN``), the measure, then the district name and school type from the dimension;
@@ -32,12 +33,15 @@ from pyspark.sql import functions as F
 
 from rollmatch.functions.address import standardize_address
 from rollmatch.functions.aun import plain_aun, valid_aun
+from rollmatch.functions.bags import can_reach, common_bound, signature
 from rollmatch.functions.jaro import decided_below, jaro_below, jaro_similarity
 from rollmatch.functions.nulls import count_where, distinct_with_null, strict_sum
 from rollmatch.functions.text import decodable_or_null, present, trim_ws
 from rollmatch.operators.dimension import enrich
 from rollmatch.operators.keys import SECURE_ID_LENGTH, first_position
+from rollmatch.operators.similar import similar_counts
 from rollmatch.schema import Side
+from rollmatch.session import cut_lineage as written_once
 
 # The eligibility values counted, in output order.
 ELIGIBILITY_VALUES = ("free", "paid", "reduced")
@@ -107,23 +111,41 @@ def address_differs(threshold: float = ADDRESS_THRESHOLD, transpositions: str =
     return F.coalesce(jaro_below(_A, _B, threshold, transpositions, prefix_weight), F.lit(False))
 
 
+def _address_pairs(match: DataFrame, s: Side, p: Side, district: Column, name: str) -> DataFrame:
+    """Distinct pairs of unequal address texts per district with the matched rows ``_n`` that have them."""
+    return (match.select(district.alias(name), address_text(s).alias(_A), address_text(p).alias(_B))
+            .filter(F.col(_A).isNotNull() & F.col(_B).isNotNull() & (F.col(_A) != F.col(_B)))
+            .groupBy(name, _A, _B).agg(F.count(F.lit(1)).alias(_N)))
+
+
+def _too_unlike(threshold: float, prefix_weight: float) -> Column:
+    """TRUE where the character bags of both texts prove that they stay below the threshold."""
+    a, b = signature(F.col(_A)), signature(F.col(_B))
+    return ~can_reach(common_bound(a, b), F.length(_A), F.length(_B), threshold, prefix_weight)
+
+
 def address_mismatch_counts(match: DataFrame, s: Side, p: Side, district: Column, name: str,
                             threshold: float = ADDRESS_THRESHOLD, transpositions: str = "half",
                             prefix_weight: float = 0.0) -> DataFrame:
     """Per ``district`` (as ``name``): matched rows whose standardized addresses differ (Jaro < threshold).
 
-    Each text is standardized once; equal pairs and pairs too unlike in length are settled in
-    the JVM. The others are counted per distinct pair first, so Python scores a pair once and
-    sees undecided pairs only.
+    Each text is standardized once; equal pairs never leave the scan's side of the shuffle. The
+    others are counted per distinct pair first. Pairs whose lengths or character bags are too unlike
+    are settled in the JVM, so Python scores only what is left, once per district and pair.
     """
-    pairs = (match.select(district.alias(name), address_text(s).alias(_A), address_text(p).alias(_B))
-             .filter(F.col(_A).isNotNull() & F.col(_B).isNotNull() & (F.col(_A) != F.col(_B)))
-             .groupBy(name, _A, _B).agg(F.count(F.lit(1)).alias(_N)))
-    decided = decided_below(_A, _B, threshold, prefix_weight)
-    sure = pairs.filter(decided).select(name, _N)
-    open_pairs = pairs.filter(decided.isNull())
-    scored = open_pairs.filter(jaro_similarity(_A, _B, transpositions, prefix_weight) < F.lit(threshold)).select(name, _N)
-    return sure.union(scored).groupBy(name).agg(F.sum(_N).alias("address_mismatch_count"))
+    pairs = _address_pairs(match, s, p, district, name).withColumn("_unlike", _too_unlike(threshold, prefix_weight))
+    scored = jaro_similarity(F.when(~F.col("_unlike"), F.col(_A)), F.when(~F.col("_unlike"), F.col(_B)), transpositions, prefix_weight)
+    return (pairs.filter(F.coalesce(scored < F.lit(threshold), F.col("_unlike")))
+            .groupBy(name).agg(F.sum(_N).alias("address_mismatch_count")))
+
+
+def address_decisions(match: DataFrame, s: Side, p: Side, threshold: float = ADDRESS_THRESHOLD, prefix_weight: float = 0.0) -> DataFrame:
+    """How the distinct unequal address pairs are settled: rows (``decided_by``, distinct pairs, matched rows)
+    for the lengths, the character bags, and what is left for scoring."""
+    pairs = _address_pairs(match, s, p, F.lit(0), "_one")
+    by = (F.when(decided_below(_A, _B, threshold, prefix_weight), "length")
+          .when(_too_unlike(threshold, prefix_weight), "characters").otherwise("score"))
+    return pairs.groupBy(by.alias("decided_by")).agg(F.count(F.lit(1)).alias("pairs"), F.sum(_N).alias("matched_rows"))
 
 
 def address_similarity(s: Side, p: Side, transpositions: str = "half") -> Column:
@@ -203,11 +225,31 @@ def _key_totals(rows: DataFrame, side: Side, keys: list[str], wanted: Sequence[s
     return rows.groupBy(*keys).agg(*aggs.values())
 
 
+def _texts(rows: DataFrame, side: Side, keys: list[str], text: str, out: str) -> DataFrame:
+    return (rows.select(*keys, address_text(side).alias(text)).filter(F.col(text).isNotNull())
+            .groupBy(*keys, text).agg(F.count(F.lit(1)).alias(out)))
+
+
+def pair_address_counts(s_rows: DataFrame, p_rows: DataFrame, s: Side, p: Side, threshold: float = ADDRESS_THRESHOLD,
+                        transpositions: str = "half", prefix_weight: float = 0.0, **index) -> DataFrame:
+    """Address mismatches of the raw many-to-many match per S-side district text: of every key, the
+    product of the rows with an address on both sides, less the pairs that are similar."""
+    sa = s.col("aun9_3")
+    left = written_once(_texts(s_rows, s, ["join_key", sa], _A, "_sn"))
+    right = written_once(_texts(p_rows, p, ["join_key"], _B, "_pn"))
+    total = (left.groupBy("join_key", sa).agg(F.sum("_sn").alias("_sn"))
+             .join(right.groupBy("join_key").agg(F.sum("_pn").alias("_pn")), "join_key")
+             .groupBy(sa).agg(F.sum(F.col("_sn") * F.col("_pn")).alias("_pairs")))
+    similar = similar_counts(left, right, "join_key", sa, _A, _B, "_sn", "_pn", threshold, transpositions, prefix_weight, **index)
+    joined = total.join(similar.withColumnRenamed(sa, "_aun"), F.col(sa).eqNullSafe(F.col("_aun")), "left")
+    return joined.select(sa, (F.col("_pairs") - F.coalesce("_similar", F.lit(0))).cast("long").alias("address_mismatch_count"))
+
+
 def pair_measure_table(s_rows: DataFrame, p_rows: DataFrame, s: Side, p: Side, parent_mode: str = "or",
                        wanted: Sequence[str] = tuple(PAIR_MEASURES)) -> DataFrame:
     """``wanted`` matched-pair measures of the raw many-to-many match, per S-side district text.
 
-    Same columns as ``match_measure_table`` except the address measure. Counts of rows per
+    Same columns as ``match_measure_table`` but the address measure (``pair_address_counts``). Counts of rows per
     key (one shuffle per side, of aggregates) give pairs as products. Only measures that
     compare values also count rows per key and value, and only of the kinds they need;
     everything after that works on those counts. ``matched`` alone reads key and district.

@@ -1,0 +1,108 @@
+"""Weighted similarity join: how many raw pairs of a key have similar texts, without forming the pairs.
+
+Rows of a key are counted per distinct text first. Equal texts meet in an equi-join. Of the
+others only pairs of texts that can reach the threshold are formed:
+
+* A key with at most ``direct_pairs`` pairs of texts joins them directly, under the native
+  bound of ``functions.bags``.
+* Any larger key goes through an inverted index. Texts of similarity ``t`` have a common bag of
+  at least ``(q - 1)`` times either length (``q = 3t - 1``), so of their bags, sorted from rare to
+  common, the ``depth`` rarest common characters stand among the first ``n - ceil((q - 1) n) + depth``
+  of each. All subsets of ``depth`` of these are the index; a pair is formed at the one subset that
+  holds its rarest common characters, so once, and only if the whole bags can reach the threshold.
+  The entries of one key spread over as many join keys as there are subsets.
+
+What remains is scored once per district and pair of texts. Counts of similar pairs are
+subtracted from the product of the rows, which gives the pairs that differ.
+"""
+
+from __future__ import annotations
+
+from math import ceil
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from rollmatch.functions.bags import can_reach, common_bound, common_needed, signature, tokens
+from rollmatch.functions.jaro import jaro_similarity
+
+#: Pairs of texts up to which a key is joined directly.
+DIRECT_PAIRS = 64
+#: Characters that an index entry holds.
+DEPTH = 3
+
+
+def _subsets(items: Column, size: int) -> Column:
+    """All ordered subsets of ``size`` entries of an array, each as one string."""
+    if size == 1:
+        return F.transform(items, lambda x: x)
+    return F.flatten(F.transform(items, lambda x, i: F.transform(
+        _subsets(F.slice(items, i + 2, F.greatest(F.size(items) - i - 1, F.lit(0))), size - 1), lambda rest: F.concat(x, F.lit("\x00"), rest))))
+
+
+def _least_common(n: Column, share) -> Column:
+    """ceil(share * n) in integers."""
+    return F.floor((F.lit(share.numerator) * n + (share.denominator - 1)) / share.denominator).cast("int")
+
+
+def _entries(texts: DataFrame, text: str, share, depth: int) -> DataFrame:
+    """``texts`` once per index ``entry`` (up to ``depth`` characters), with the bag ``{text}_bag``."""
+    bag, n = F.col(f"{text}_bag"), F.length(text)
+    here = texts.withColumn(f"{text}_bag", tokens(F.col(text)))
+    need = _least_common(n, share)
+    # a shorter partner may need fewer common characters than a subset has
+    low = F.greatest(F.least(_least_common(_least_common(n, share), share), F.lit(depth)), F.lit(1))
+    lists = []
+    for size in range(1, depth + 1):
+        head = F.slice(bag, 1, n - need + size)
+        lists.append(F.when((low <= size) & (need >= size), _subsets(head, size)))
+    return here.withColumn("entry", F.explode(F.flatten(F.filter(F.array(*lists), lambda x: x.isNotNull()))))
+
+
+def similar_pairs(left: DataFrame, right: DataFrame, key: str, a: str, b: str, threshold: float, prefix_weight: float = 0.0,
+                  direct_pairs: int = DIRECT_PAIRS, depth: int = DEPTH) -> DataFrame:
+    """Pairs of unequal texts of one key that can reach the threshold, each pair of rows once.
+
+    ``left``: key, text ``a`` and other columns (one row per text and whatever else it is counted by); ``right``: key, text
+    ``b`` and other columns, one row per text. Texts are not empty. Needs a threshold above 2/3 (below it a pair may have
+    nothing but one character in common, and every pair would have to be formed).
+    """
+    q = common_needed(threshold, prefix_weight)
+    if q is None or q <= 1:
+        raise ValueError("similar_pairs needs a threshold above 2/3 (more with a prefix weight)")
+    sizes = (left.groupBy(key).agg(F.count_distinct(a).alias("_na"))
+             .join(right.groupBy(key).agg(F.count(F.lit(1)).alias("_nb")), key)
+             .select(key, (F.col("_na") * F.col("_nb") > direct_pairs).alias("_large")))
+    left, right = (rows.join(sizes, key) for rows in (left, right))
+    differ = F.col(a) != F.col(b)
+
+    few_l = left.filter(~F.col("_large")).withColumn("_sa", signature(F.col(a)))
+    few_r = right.filter(~F.col("_large")).drop("_large").withColumn("_sb", signature(F.col(b)))
+    near = can_reach(common_bound(F.col("_sa"), F.col("_sb")), F.col("_sa.n"), F.col("_sb.n"), threshold, prefix_weight)
+    direct = few_l.join(few_r, key).filter(differ & near).drop("_large", "_sa", "_sb")
+
+    share = q - 1
+    many_l = _entries(left.filter("_large").drop("_large"), a, share, depth)
+    many_r = _entries(right.filter("_large").drop("_large"), b, share, depth)
+    common = F.array_intersect(f"{a}_bag", f"{b}_bag")
+    bags = can_reach(F.size(common), F.size(f"{a}_bag"), F.size(f"{b}_bag"), threshold, prefix_weight)
+    wanted = F.least(F.lit(depth), *(_least_common(F.length(t), share) for t in (a, b)))
+    rarest = F.array_join(F.slice(common, 1, wanted), "\x00")
+    indexed = many_l.join(many_r, [key, "entry"]).filter(differ & bags & (F.col("entry") == rarest))
+    return direct.unionByName(indexed.select(direct.columns))
+
+
+def similar_counts(left: DataFrame, right: DataFrame, key: str, group: str, a: str, b: str, n: str, m: str, threshold: float,
+                   transpositions: str = "half", prefix_weight: float = 0.0, **index) -> DataFrame:
+    """Per ``group``: raw pairs whose texts reach the threshold (``_similar``).
+
+    ``left``: key, group, a and the rows ``n`` with them; ``right``: key, b and the rows ``m`` with them.
+    """
+    even = (F.col(a) == F.col(b)) & ((F.length(a) > 0) | F.lit(transpositions == "half" and threshold <= 1))
+    equal = left.join(right.withColumnRenamed(key, "_k"), (F.col(key) == F.col("_k")) & (F.col(a) == F.col(b))).filter(even & F.lit(threshold <= 1))
+    some_l, some_r = left.filter(F.length(a) > 0), right.filter(F.length(b) > 0)
+    near = (similar_pairs(some_l, some_r, key, a, b, threshold, prefix_weight, **index)
+            .groupBy(group, a, b).agg(F.sum(F.col(n) * F.col(m)).alias("_w"))
+            .filter(jaro_similarity(a, b, transpositions, prefix_weight) >= F.lit(threshold)))
+    both = equal.select(group, (F.col(n) * F.col(m)).alias("_w")).union(near.select(group, "_w"))
+    return both.groupBy(group).agg(F.sum("_w").alias("_similar"))

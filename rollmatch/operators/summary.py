@@ -108,11 +108,11 @@ def district_summary(s_undup: DataFrame, p_undup: DataFrame, s: Side, p: Side, d
     return enrich(out, dim)
 
 
-def district_summary_raw(s_rows: DataFrame, p_rows: DataFrame, pair_table: DataFrame, s: Side, p: Side,
-                         dim: DataFrame) -> DataFrame:
+def district_summary_raw(s_rows: DataFrame, p_rows: DataFrame, pair_table: DataFrame, address_table: DataFrame,
+                         s: Side, p: Side, dim: DataFrame) -> DataFrame:
     """The summary over raw rows and the raw many-to-many match (counted from aggregates by
-    ``measures.pair_measure_table``; no address measure). Three per-district tables, each
-    already one row per plain district id, joined on that id."""
+    ``measures.pair_measure_table`` and ``measures.pair_address_counts``). Four per-district
+    tables, each already one row per plain district id, joined on that id."""
     def side_part(rows: DataFrame, side: Side) -> DataFrame:
         sid_len, sid_null = _id_flags(side)
         return rows.groupBy(plain_aun(side.col("aun9_3")).alias("AUN")).agg(
@@ -122,10 +122,14 @@ def district_summary_raw(s_rows: DataFrame, p_rows: DataFrame, pair_table: DataF
         )
 
     counted = [s.col(v) for v in ELIGIBILITY_VALUES] + [p.col(v) for v in ELIGIBILITY_VALUES]
-    measures = [m for m in ("matched", *MISMATCH_MEASURES) if m in pair_table.columns]
-    pairs = pair_table.groupBy(plain_aun(s.col("aun9_3")).alias("AUN")).agg(
-        *[F.sum(c).alias(c) for c in counted + measures])
-    joined = side_part(s_rows, s).join(side_part(p_rows, p), "AUN", "full").join(pairs, "AUN", "full")
+    measures = ["matched", *MISMATCH_MEASURES]
+
+    def summed(table: DataFrame, columns: list[str]) -> DataFrame:
+        return table.groupBy(plain_aun(s.col("aun9_3")).alias("AUN")).agg(*[F.sum(c).alias(c) for c in columns])
+
+    pairs = summed(pair_table, counted + [m for m in measures if m in pair_table.columns])
+    joined = (side_part(s_rows, s).join(side_part(p_rows, p), "AUN", "full").join(pairs, "AUN", "full")
+              .join(summed(address_table, ["address_mismatch_count"]), "AUN", "full"))
 
     def z(c: Column) -> Column:
         return F.coalesce(c, F.lit(0)).cast("long")

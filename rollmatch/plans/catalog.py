@@ -299,7 +299,7 @@ def district_summary_q(spark, sf_dir):
 
 
 def district_summary_raw_q(spark, sf_dir):
-    return rec(spark, sf_dir).summary_raw()
+    return rec(spark, sf_dir, transpositions=ORACLE_TRANSPOSITIONS).summary_raw()
 
 
 def crosstab_row_percent(spark, sf_dir):
@@ -431,16 +431,17 @@ def consolidated_roster(spark, sf_dir):
 
 
 def _consolidated(side, raw_of, pattern, file_name):
-    """One roster kind through ``consolidate_folder``: half of the rows (with a 9-digit district id)
-    as DC-only CSV files named by district, the other half as the Full User intake snapshot."""
+    """One roster kind through ``consolidate_folder``: half of the rows, those with a 9-digit district id, as
+    DC-only CSV files named by district, all others as the Full User intake snapshot."""
     def q(spark, sf_dir):
         def build():
             raw = raw_of(raw_rosters(spark, sf_dir))
             folder = snapshot_path(spark, sf_dir, side.prefix + "dc_only")
             district = plain_aun("aun9_3")
-            dc = raw.filter((F.col("seq") % 4 < 2) & district.rlike(r"^\d{9}$"))
+            in_file = (F.col("seq") % 4 < 2) & F.coalesce(district.rlike(r"^\d{9}$"), F.lit(False))
+            dc = raw.filter(in_file)
             write_named_csv(dc.select(*INTAKE_NAMES, district.alias("district")), "district", folder, file_name)
-            full = write_snapshot(prepare_side(raw.filter(F.col("seq") % 4 >= 2).select(*INTAKE_NAMES), side),
+            full = write_snapshot(prepare_side(raw.filter(~in_file).select(*INTAKE_NAMES), side),
                                   snapshot_path(spark, sf_dir, side.prefix + "full_user"))
             return folder, full
         folder, full = _memo(spark, ("consolidate", side.prefix, sf_dir), build)
@@ -462,6 +463,11 @@ def _raw(kind):
     return q
 
 
+def address_mismatches_raw(spark, sf_dir):
+    r = rec(spark, sf_dir, transpositions=ORACLE_TRANSPOSITIONS)
+    return M.mismatch_report(r.pair_address_table, "address_mismatch_count", S, r.dim)
+
+
 def _raw_parent_and(spark, sf_dir):
     r = rec(spark, sf_dir, parent_mode="and")
     return M.mismatch_report(r.pair_measures("parent_name_mismatch_count"), "parent_name_mismatch_count", S, r.dim)
@@ -532,6 +538,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "site_code_mismatches_raw": _raw("school_code_mismatch_count"),
     "parent_name_mismatches_raw": _raw("parent_name_mismatch_count"),
     "parent_name_mismatches_raw_and": _raw_parent_and,
+    "address_mismatches_raw": address_mismatches_raw,
     "case_number_mismatches_raw": _raw("case_number_mismatch_count"),
     "matched_students_raw": _raw("matched"),
 }

@@ -184,7 +184,7 @@ p_undup AS ({_undup_sql('p_rows', 'p_')}),
 match1 AS (SELECT * FROM p_undup JOIN s_undup USING (join_key)),
 m2m AS (SELECT * FROM p_rows JOIN s_rows USING (join_key)),
 mt AS (SELECT s_aun9_3, {_measure_cols(mode, True)} FROM match1 GROUP BY s_aun9_3),
-pt AS (SELECT s_aun9_3, {_measure_cols(mode, False)} FROM m2m GROUP BY s_aun9_3)
+pt AS (SELECT s_aun9_3, {_measure_cols(mode, True)} FROM m2m GROUP BY s_aun9_3)
 """
 
 
@@ -314,7 +314,7 @@ def _consolidated() -> str:
 
 
 def _consolidated_kind(pre: str) -> str:
-    """Half of a side's raw rows as DC-only files named by district, the other half cleaned as Full User."""
+    """Half of a side's raw rows, with a 9-digit district id, as DC-only files named by district, all others cleaned as Full User."""
     dashed = rf"regexp_replace({_plain('aun9_3')}, '^(\d{{3}})(\d{{2}})(\d{{3}})(\d{{1}})$', '\1-\2-\3-\4')"
     dc, full = [], []
     for n, c in zip(INTAKE_NAMES, CONSOLIDATED_NAMES):
@@ -324,9 +324,11 @@ def _consolidated_kind(pre: str) -> str:
         else:
             dc.append(f"{n} AS {c}")
             full.append(f"{pre}{n} AS {c}")
-    return (f"SELECT {', '.join(dc)}, 'DC only' AS usertype FROM {pre}raw WHERE seq % 4 < 2 "
-            rf"AND regexp_full_match({_plain('aun9_3')}, '\d{{9}}') AND student_first_name IS NOT NULL AND student_first_name <> '' "
-            f"UNION ALL SELECT {', '.join(full)}, 'Full User' AS usertype FROM {pre}clean WHERE {pre}seq % 4 >= 2")
+    in_file = rf"seq % 4 < 2 AND regexp_full_match(coalesce({_plain('aun9_3')}, ''), '\d{{9}}')"
+    return (f"SELECT {', '.join(dc)}, 'DC only' AS usertype FROM {pre}raw WHERE {in_file} "
+            f"AND student_first_name IS NOT NULL AND student_first_name <> '' "
+            f"UNION ALL SELECT {', '.join(full)}, 'Full User' AS usertype FROM {pre}clean "
+            f"WHERE {pre}seq NOT IN (SELECT seq FROM {pre}raw WHERE {in_file})")
 
 
 def _aun_formatting() -> str:
@@ -441,7 +443,7 @@ def oracle_sql() -> dict[str, str]:
                                     "WHERE AUN IN (101010071.0, 102020142.0, 103030213.0)"),
         "district_summary": _sel("SELECT * FROM summ", extra=summary()),
         "district_summary_raw": _sel("SELECT * FROM summ_raw",
-                                     extra=summary("s_rows", "p_rows", "pt", address=False, name="summ_raw")),
+                                     extra=summary("s_rows", "p_rows", "pt", name="summ_raw")),
         "consolidated_roster": _sel(_consolidated()),
         "consolidated_upload": _sel(_consolidated_kind("s_")),
         "consolidated_meal": _sel(_consolidated_kind("p_")),
@@ -467,6 +469,7 @@ def oracle_sql() -> dict[str, str]:
         "site_code_mismatches_raw": _sel(mismatch("pt", "school_code_mismatch_count")),
         "parent_name_mismatches_raw": _sel(mismatch("pt", "parent_name_mismatch_count")),
         "parent_name_mismatches_raw_and": _sel(mismatch("pt", "parent_name_mismatch_count"), mode="and"),
+        "address_mismatches_raw": _sel(mismatch("pt", "address_mismatch_count")),
         "case_number_mismatches_raw": _sel(mismatch("pt", "case_number_mismatch_count")),
         "matched_students_raw": _sel(matched("pt")),
     }

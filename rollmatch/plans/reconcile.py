@@ -19,7 +19,7 @@ from rollmatch.operators.cleaning import normalize_district_ids, prepare_side
 from rollmatch.operators.keys import dedup_by_key, key_table
 from rollmatch.operators.keys import keyed as keyed_rows
 from rollmatch.operators.matching import match_one_to_one
-from rollmatch.operators.measures import address_mismatch_counts, match_measure_table, pair_measure_table
+from rollmatch.operators.measures import address_mismatch_counts, match_measure_table, pair_address_counts, pair_measure_table
 from rollmatch.operators.summary import district_summary, district_summary_raw
 from rollmatch.schema import MEAL, STUDENT, Side
 from rollmatch.session import cut_lineage
@@ -78,9 +78,14 @@ class Reconciliation:
 
     @cached_property
     def pair_table(self) -> DataFrame:
-        """Same measures over the raw many-to-many match, counted from per-key aggregates."""
+        """Same measures over the raw many-to-many match but the address one, counted from per-key aggregates."""
         return pair_measure_table(self.s_rows, self.p_rows, self.s, self.p, self.parent_mode)
 
+    @cached_property
+    def pair_address_table(self) -> DataFrame:
+        """Address mismatches of the raw many-to-many match per S district."""
+        return pair_address_counts(self.s_rows, self.p_rows, self.s, self.p, self.threshold, self.transpositions, self.prefix_weight)
+
     def pair_measures(self, *wanted: str) -> DataFrame:
         """``pair_table`` with the wanted measures only: nothing else is read or counted."""
         return pair_measure_table(self.s_rows, self.p_rows, self.s, self.p, self.parent_mode, wanted)
@@ -91,8 +96,8 @@ class Reconciliation:
                                 self.threshold, self.transpositions, self.prefix_weight)
 
     def summary_raw(self) -> DataFrame:
-        """The summary over raw rows and the raw many-to-many match (no address measure)."""
-        return district_summary_raw(self.s_rows, self.p_rows, self.pair_table, self.s, self.p, self.dim)
+        """The summary over raw rows and the raw many-to-many match."""
+        return district_summary_raw(self.s_rows, self.p_rows, self.pair_table, self.pair_address_table, self.s, self.p, self.dim)
 
     def materialize(self) -> "Reconciliation":
         """Checkpoint the de-duplicated sides into the shared checkpoint folder."""

@@ -17,26 +17,25 @@ from rollmatch.sources.export import export_measures
 
 def district_reports(r: Reconciliation, dedup: bool = True) -> dict[str, DataFrame]:
     """Every per-district report. ``dedup=False`` computes the match measures over the
-    raw many-to-many match (counted from aggregates; the address measure needs the
-    de-duplicated match and is left out there)."""
+    raw many-to-many match (counted from aggregates)."""
     s, p = r.s, r.p
     s_side = r.s_undup if dedup else r.s_rows
     p_side = r.p_undup if dedup else r.p_rows
     table = r.slim_table if dedup else r.pair_table
+    addresses = r.address_table if dedup else r.pair_address_table
     out = {
         "cg_students_p": M.student_counts(p_side, p, r.dim),
         "ch_students_s": M.student_counts(s_side, s, r.dim),
         "cj_cl_eligibility": M.eligibility_comparison(table, s, p, r.dim),
         "cs_site_code_mismatches": M.mismatch_report(table, "school_code_mismatch_count", s, r.dim),
         "ct_parent_name_mismatches": M.mismatch_report(table, "parent_name_mismatch_count", s, r.dim),
+        "cu_address_mismatches": M.mismatch_report(addresses, "address_mismatch_count", s, r.dim),
         "cv_case_number_mismatches": M.mismatch_report(table, "case_number_mismatch_count", s, r.dim),
         "cw_cx_ids_len10": M.id_length_counts(s_side, p_side, s, p, r.dim),
         "cy_matched_students": M.matched_students(table, s, r.dim),
         "cz_repeated_students_p": M.repeated_students(r.p_rows, p, r.order),
         "da_repeated_students_s": M.repeated_students(r.s_rows, s, r.order),
     }
-    if dedup:
-        out["cu_address_mismatches"] = M.mismatch_report(r.address_table, "address_mismatch_count", s, r.dim)
     return out
 
 

@@ -1,0 +1,116 @@
+"""Address pairs: bounds by character bags, the weighted similarity join, raw address mismatches."""
+
+import random
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from rollmatch.functions.bags import can_reach, common_bound, signature, tokens
+from rollmatch.functions.jaro import jaro
+from rollmatch.operators import measures as M
+from rollmatch.operators.similar import similar_counts, similar_pairs
+from rollmatch.plans.catalog import P, S, rec
+from tests.conftest import SF_SMALL
+
+STREETS = ["old mill rd", "new ring st", "naw ring st", "large gizmo st", "hot rod st", "elm ave", "öl weg", "a", "ab", "a1", "", "zzzz", "main st main st main st"]
+
+
+def texts(seed, n):
+    rng, out = random.Random(seed), set()
+    while len(out) < n:
+        t = f"{rng.randrange(60)} {rng.choice(STREETS)}" if rng.random() < 0.8 else "".join(rng.choice("abe 19é") for _ in range(rng.randrange(0, 9)))
+        if t and rng.random() < 0.3:
+            i = rng.randrange(len(t))
+            t = t[:i] + rng.choice("aeq7 ") + t[i + rng.randrange(2):]
+        out.add(t)
+    return sorted(out)
+
+
+def test_signature_bounds_the_common_bag(spark):
+    some = texts(1, 60)
+    pairs = spark.createDataFrame([(a, b) for a in some for b in some], "a string, b string")
+    sa, sb = signature(F.col("a")), signature(F.col("b"))
+    rows = pairs.select("a", "b", common_bound(sa, sb).alias("bound"), tokens(F.col("a")).alias("ta"), tokens(F.col("b")).alias("tb")).collect()
+    for r in rows:
+        common = sum((Counter(r["a"]) & Counter(r["b"])).values())
+        assert common <= r["bound"] <= min(len(r["a"]), len(r["b"]))
+        assert len(set(r["ta"])) == len(r["a"]) and len(set(r["ta"]) & set(r["tb"])) == common
+
+
+@pytest.mark.parametrize("threshold,weight", [(0.9, 0.0), (0.7, 0.0), (0.95, 0.1), (0.5, 0.25)])
+def test_pairs_ruled_out_are_below(spark, threshold, weight):
+    some = texts(2, 60)
+    pairs = spark.createDataFrame([(a, b) for a in some for b in some if a and b], "a string, b string")
+    sa, sb = signature(F.col("a")), signature(F.col("b"))
+    out = pairs.filter(~can_reach(common_bound(sa, sb), F.length("a"), F.length("b"), threshold, weight)).collect()
+    assert all(jaro(a, b, v, weight) < threshold for a, b in out for v in ("half", "floor"))
+    assert out or weight == 0.25
+
+
+def sides(spark, seed, keys=3, n=40):
+    rng = random.Random(seed)
+    left = [(f"k{k}", f"d{rng.randrange(3)}", t, rng.randrange(1, 4)) for k in range(keys) for t in texts(seed + k, n)]
+    right = [(f"k{k}", t, rng.randrange(1, 4)) for k in range(keys) for t in texts(seed + 50 + k, n)]
+    return left, right, spark.createDataFrame(left, "k string, g string, a string, n long"), spark.createDataFrame(right, "k string, b string, m long")
+
+
+@pytest.mark.parametrize("direct,depth", [(10**9, 3), (0, 1), (0, 3)])
+@pytest.mark.parametrize("threshold,variant,weight", [(0.9, "floor", 0.0), (0.75, "half", 0.0), (0.93, "half", 0.1)])
+def test_similar_counts_against_all_pairs(spark, direct, depth, threshold, variant, weight):
+    left, right, ldf, rdf = sides(spark, 7)
+    want = Counter()
+    for k, g, a, n in left:
+        for k2, b, m in right:
+            if k == k2 and jaro(a, b, variant, weight) >= threshold:
+                want[g] += n * m
+    got = similar_counts(ldf, rdf, "k", "g", "a", "b", "n", "m", threshold, variant, weight, direct_pairs=direct, depth=depth)
+    assert {r["g"]: r["_similar"] for r in got.collect()} == dict(want)
+
+
+def test_a_large_key_forms_few_pairs_each_once(spark):
+    rng = random.Random(3)
+    streets = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(9)) + " st" for _ in range(300)]
+    left = spark.createDataFrame([("hot", "d", f"{i} {s}", 1) for i, s in enumerate(streets)], "k string, g string, a string, n long")
+    right = spark.createDataFrame([("hot", f"{i} {s[:4]}x{s[5:]}", 1) for i, s in enumerate(streets)], "k string, b string, m long")
+    formed = similar_pairs(left, right, "k", "a", "b", 0.9)
+    pairs = [(r["a"], r["b"]) for r in formed.collect()]
+    assert len(pairs) == len(set(pairs)) and sum(x[4] != "x" for x in streets) <= len(pairs) < 300 * 300 / 50
+    plan = formed._jdf.queryExecution().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_low_thresholds_are_refused(spark):
+    _, _, ldf, rdf = sides(spark, 1, 1, 5)
+    with pytest.raises(ValueError):
+        similar_pairs(ldf, rdf, "k", "a", "b", 0.6)
+
+
+@pytest.mark.parametrize("variant", ["half", "floor"])
+def test_raw_address_mismatches_against_the_literal_join(spark, variant):
+    r = rec(spark, SF_SMALL)
+    a, b = (M.address_text(x) for x in (S, P))
+    pairs = (r.s_rows.select("join_key", S.col("aun9_3"), a.alias("a")).join(r.p_rows.select("join_key", b.alias("b")), "join_key")
+             .filter("a IS NOT NULL AND b IS NOT NULL").collect())
+    want = Counter({p[1]: 0 for p in pairs})
+    for _, district, x, y in pairs:
+        want[district] += jaro(x, y, variant) < 0.9
+    for direct in (64, 4):
+        got = M.pair_address_counts(r.s_rows, r.p_rows, S, P, transpositions=variant, direct_pairs=direct)
+        assert {x[0]: x[1] for x in got.collect()} == dict(want)
+
+
+def test_half_rule_on_the_de_duplicated_match(spark):
+    r = rec(spark, SF_SMALL)
+    rows = M.with_address_texts(r.match, S, P).select(S.col("aun9_3"), "_addr_s", "_addr_p").collect()
+    want = Counter()
+    for d, x, y in rows:
+        if x is not None and y is not None and jaro(x, y, "half") < 0.9:
+            want[d] += 1
+    assert {x[0]: x[1] for x in r.address_table.collect()} == dict(want)
+
+
+def test_few_pairs_are_left_to_score(spark):
+    by = {r["decided_by"]: r["pairs"] for r in M.address_decisions(rec(spark, SF_SMALL).match, S, P).collect()}
+    assert by["characters"] > 0 and by["length"] > 0
+    assert by.get("score", 0) < sum(by.values())
