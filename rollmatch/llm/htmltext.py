@@ -43,6 +43,11 @@ UNLIKELY = frozenset("ad ads advert adverts advertisement advertising banner bre
                      "disqus footer gdpr header masthead menu modal nav navbar navigation newsletter notice notices pager pagination popup promo "
                      "related rail search share sharing sidebar social sponsor sponsored subscribe toolbar widget complementary contentinfo".split())
 LIKELY = frozenset("article articlebody body content entry main maincontent post story text".split())
+#: Of these words any one in a class tells, inside an article too; words that only say which part of a page it is.
+ADVERTS = frozenset("ad ads advert adverts advertisement advertising sponsor sponsored promo cookie cookies gdpr newsletter disqus navbar popup modal".split())
+PARTS = frozenset("area article articles bar block bottom box buttons container content entry form inline inner item items left links list main outer "
+                  "panel post posts right section signup slot story thread title top unit wrap wrapper".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 PARAGRAPH_CHARS = 25
 
 
@@ -54,12 +59,33 @@ class Node:
         self.points, self.chars, self.link_chars, self.dropped = 0.0, 0, 0, dropped
 
 
-def _names(attrs) -> frozenset:
-    words = []
-    for k, v in attrs:
-        if k in ("class", "id", "role") and v:
-            words += v.lower().replace("-", " ").replace("_", " ").split()
-    return frozenset(words)
+def _tokens(attrs, *keys) -> list[tuple[str, ...]]:
+    """The words of each token of the given attributes, in order."""
+    return [tuple(w for w in token.replace("_", "-").split("-") if w) for k, v in attrs if k in keys and v for token in v.lower().split()]
+
+
+def _unlikely(tag: str, attrs, in_article: bool) -> bool:
+    """Whether class, id or role name something other than the article.
+
+    Outside an article one such word is enough, unless another token names content. Inside it, where an anchor
+    such as ``related-work`` may start with any word, a token counts as a whole: its last word is such a word, or it
+    says nothing else but a part (``comment-list``); for adverts one word of a class is enough. Headings
+    always stay, an <article> goes only as a comment, and a header of an article stays.
+    """
+    if tag in HEADINGS:
+        return False
+    named = _tokens(attrs, "class", "id", "role")
+    if tag in ("article", "main"):
+        comment = {"comment", "comments"}
+        return any(comment & set(t) and set(t) <= comment | PARTS for t in named) and not any(LIKELY & set(t) and not comment & set(t) for t in named)
+    if any(LIKELY & set(t) and not UNLIKELY & set(t) for t in named):
+        return False
+    if not in_article:
+        return any(UNLIKELY & set(t) and not ("header" in t and LIKELY & set(t)) for t in named)
+    words = UNLIKELY - {"header", "masthead"}
+    if any(ADVERTS & set(t) for t in _tokens(attrs, "class")):
+        return True
+    return any(t and (t[-1] in words or (words & set(t) and set(t) <= words | PARTS)) for t in named)
 
 
 def _hidden(attrs) -> bool:
@@ -106,10 +132,9 @@ class Tree(HTMLParser):
             self._close(("p",), ("td", "th", "table", "button"))
         if tag in CLOSES:
             self._close(*CLOSES[tag])
-        in_article = self.open.get("article") or self.open.get("main")
-        names = _names(attrs)
-        dropped = (tag in DROPPED or (tag == "header" and not in_article) or _hidden(attrs)
-                   or (bool(names & UNLIKELY) and not names & LIKELY and tag not in ("article", "main")))
+        in_article = bool(self.open.get("article") or self.open.get("main"))
+        names = frozenset(w for t in _tokens(attrs, "class", "id", "role") for w in t)
+        dropped = tag in DROPPED or (tag == "header" and not in_article) or _hidden(attrs) or _unlikely(tag, attrs, in_article)
         node = Node(tag, self.here, names, dropped)
         self.here.children.append(node)
         if tag not in VOID:
@@ -183,12 +208,16 @@ def best_container(root: Node):
     found = blocks(root)
     scored: dict[int, Node] = {}
     for text, owner, links in found:
-        node = owner
-        while node is not None:
-            node.chars += len(text)
-            node.link_chars += min(links, len(text))
-            node = node.parent
-        if len(text) < PARAGRAPH_CHARS or links * 2 > len(text) or owner.tag in ("h1", "h2", "h3", "h4", "h5", "h6"):
+        owner.chars += len(text)
+        owner.link_chars += min(links, len(text))
+    order = [root]
+    for node in order:  # parents before children; the list grows as it is read
+        order.extend(c for c in node.children if isinstance(c, Node))
+    for node in reversed(order[1:]):
+        node.parent.chars += node.chars
+        node.parent.link_chars += node.link_chars
+    for text, owner, links in found:
+        if len(text) < PARAGRAPH_CHARS or links * 2 > len(text) or owner.tag in HEADINGS:
             continue
         points = 1 + text.count(",") + min(len(text) / 100, 3)
         node, level = owner if owner.tag not in ("p", "pre", "li", "td", "blockquote", "dd") else owner.parent, 0

@@ -1,3 +1,5 @@
+import time
+
 from rollmatch.llm.htmltext import extract_pages, main_text
 
 PROSE = ["A first paragraph, long enough to count, with commas, and words.", "Second one: more prose follows here, also with some commas, yes.",
@@ -58,3 +60,29 @@ def test_long_nested_articles_stay_whole():
         # no article element: links beside the text go, all else stays
         assert main_text(page(f"<div id='page'>{links}<div>{parts}</div></div>")) == whole
         assert main_text(page(f"<div>Loose text.{parts}</div>{links}")) == "Loose text.\n\n" + whole
+
+
+def test_comments_and_adverts_inside_the_article_go():
+    ps = "".join(f"<p>{p}</p>" for p in PROSE)
+    rude = "<p>I disagree, strongly, and at length, with all of this.</p>"
+    for part in (f"<div class='post-comments'>{rude}</div>", f"<div class='main-sidebar'>{rude}</div>", f"<div class='ad content-ad'>{rude}</div>", f"<div class='ad-inline-3'>{rude}</div>",
+                 f"<div id='comments'>{rude}</div>", f"<ul class='comment-list'><li>{rude}</ul>", f"<article class='comment'>{rude}</article>", f"<div class='related-posts'>{rude}</div>"):
+        assert main_text(page(f"<article>{ps}{part}</article>")) == "\n\n".join(PROSE), part
+        assert main_text(page(f"<main><article class='post has-comments'>{ps}</article>{part}</main>")) == "\n\n".join(PROSE), part
+
+
+def test_headings_and_sections_named_by_anchors_stay():
+    ps = "".join(f"<p>{p}</p>" for p in PROSE)
+    for part in ("<h2 id='related-work'>Head</h2>", "<h2 id='social-impact'>Head</h2>", "<h3 class='comments' id='share'>Head</h3>", "<section id='comments-on-method'>Head</section>",
+                 "<div class='entry-header'><h1>Head</h1></div>", "<header><h1>Head</h1></header>", "<section id='search-space'>Head</section>"):
+        assert main_text(page(f"<article>{part}{ps}</article>")) == "\n\n".join(["Head", *PROSE]), part
+
+
+def test_deep_nesting_is_linear():
+    def seconds(n):
+        html = "<div>x" * n + "</div>" * n
+        start = time.process_time()
+        assert main_text(html).split() == ["x"] * n
+        return time.process_time() - start
+    seconds(1000)
+    assert seconds(48_000) < 8 * max(seconds(12_000), 0.05)
