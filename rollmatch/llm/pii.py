@@ -5,7 +5,9 @@ pattern that pass their check (parts up to 255, Luhn, number of digits); a match
 fails is dropped without a retry. Beyond them the scored kinds (iban with its mod-97
 check, social security numbers, phone numbers in national form) start from a prior and
 gain from a passed checksum and from context words near the span; those that reach
-``threshold`` and touch no span found before are added.
+``threshold`` and touch no span found before are added. An iban has the length of its country
+(any length where the country is not in the table), so what follows it does not count; numbers of
+areas, groups or serials that are never issued are no social security numbers.
 
 All patterns run in time linear in the text. Positions are code points, end exclusive.
 NULL and empty texts have no spans.
@@ -33,6 +35,15 @@ _IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?
 _SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 _NATIONAL = re.compile(r"(?<![0-9+(.-])(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9-])")
 
+#: Characters of an iban by country.
+IBAN_LENGTH = {
+    "AD": 24, "AE": 23, "AL": 28, "AT": 20, "AZ": 28, "BA": 20, "BE": 16, "BG": 22, "BH": 22, "BR": 29, "CH": 21, "CR": 22, "CY": 28, "CZ": 24,
+    "DE": 22, "DK": 18, "DO": 28, "EE": 20, "ES": 24, "FI": 18, "FO": 18, "FR": 27, "GB": 22, "GE": 22, "GI": 23, "GL": 18, "GR": 27, "GT": 28,
+    "HR": 21, "HU": 28, "IE": 22, "IL": 23, "IS": 26, "IT": 27, "KW": 30, "KZ": 20, "LB": 28, "LI": 21, "LT": 20, "LU": 20, "LV": 21, "MC": 27,
+    "MD": 24, "ME": 22, "MK": 19, "MR": 27, "MT": 31, "MU": 30, "NL": 18, "NO": 15, "PK": 24, "PL": 28, "PS": 29, "PT": 25, "QA": 29, "RO": 24,
+    "RS": 22, "SA": 24, "SE": 24, "SI": 19, "SK": 24, "SM": 27, "TN": 24, "TR": 26, "UA": 29, "VG": 24, "XK": 20,
+}
+
 #: Words that raise the score of a span of their kind when they stand nearby.
 CONTEXT = {
     "iban": ("iban", "account", "bank", "konto", "compte", "cuenta"),
@@ -92,21 +103,62 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return out
 
 
+def ibans(text: str):
+    """(start, end) of spans that have their country's length and pass mod-97; a failing one is tried again
+    from its next group. A candidate has at most 40 characters, so time is linear."""
+    m = _IBAN.search(text)
+    while m:
+        end = m.end()
+        most = IBAN_LENGTH.get(text[m.start():m.start() + 2])
+        if most:
+            places = [k for k in range(m.start(), end) if text[k] != " "]
+            end = places[most - 1] + 1 if len(places) >= most else 0
+        if end and not text[end:end + 1].isalnum() and mod97(text[m.start():end].replace(" ", "")):
+            yield m.start(), end
+        else:
+            end = m.start() + 1
+        m = _IBAN.search(text, end)
+
+
+def _issued(ssn: str) -> bool:
+    return ssn[:3] not in ("000", "666") and ssn[0] != "9" and ssn[4:6] != "00" and ssn[7:] != "0000"
+
+
+def _merged(spans) -> list[tuple[int, int]]:
+    """Disjoint intervals, ascending, that cover the same places."""
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(spans):
+        if out and a < out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]))
+        else:
+            out.append((a, b))
+    return out
+
+
 def scored_spans(text: str, taken: list[tuple[str, int, int]]) -> list[tuple[str, int, int, float]]:
+    """Spans of the scored kinds that touch none of ``taken``; candidates and taken spans are swept in order."""
     found = []
-    for kind, pattern, check in (("iban", _IBAN, lambda s: mod97(s.replace(" ", ""))), ("ssn", _SSN, None), ("phone", _NATIONAL, None)):
-        for m in pattern.finditer(text):
-            score = PRIOR[kind]
-            if check:
-                if not check(m.group()):
-                    continue
-                score += CHECKSUM
-            near = text[max(0, m.start() - WINDOW):m.start()] + " " + text[m.end():m.end() + WINDOW]
+    held = _merged((a, b) for _, a, b in taken)
+    candidates = {
+        "iban": ibans(text),
+        "ssn": (m.span() for m in _SSN.finditer(text) if _issued(m.group())),
+        "phone": (m.span() for m in _NATIONAL.finditer(text)),
+    }
+    for kind, spans in candidates.items():
+        new, k = [], 0
+        for a, b in spans:
+            while k < len(held) and held[k][1] <= a:
+                k += 1
+            if k < len(held) and held[k][0] < b:
+                continue
+            score = PRIOR[kind] + (CHECKSUM if kind == "iban" else 0)
+            near = text[max(0, a - WINDOW):a] + " " + text[b:b + WINDOW]
             if any(w in CONTEXT[kind] for w in re.findall(r"\w+", near.lower())):
                 score += NEARBY
-            if score >= THRESHOLD and all(m.end() <= a or b <= m.start() for _, a, b in taken):
-                found.append((kind, *m.span(), score))
-                taken = [*taken, (kind, *m.span())]
+            if score >= THRESHOLD:
+                found.append((kind, a, b, score))
+                new.append((a, b))
+        held = _merged(held + new)
     return found
 
 

@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 
 from rollmatch.llm.pii import base_spans, find_personal_data, find_spans, luhn, mod97, span_list
 from tests.llm.conftest import ODD
@@ -44,6 +45,39 @@ def test_long_texts_are_linear():
         find_spans(t)
 
 
+def test_many_scored_matches_take_linear_time():
+    for unit, n in (("ssn 123-45-6789 ", 1), ("call 212-555-0123 ", 1), ("iban GB82 WEST 1234 5698 7654 32 ", 1), ("AB12 CD34 EF56 ", 0), ("a@b.co ssn 123-45-6789 1.2.3.4 ", 3)):
+        times = 500_000 // len(unit)
+        start = time.process_time()
+        assert len(find_spans(unit * times)) == n * times
+        assert time.process_time() - start < 20  # the quadratic sweep took minutes
+
+
+def test_ibans_have_the_length_of_their_country():
+    kinds = lambda t: [(s["kind"], t[s["start"]:s["end"]]) for s in find_spans(t)]
+    assert kinds("to BE68 5390 0754 7034 CODE today") == [("iban", "BE68 5390 0754 7034")]
+    assert kinds("REF1 AB12 GB82 WEST 1234 5698 7654 32") == [("iban", "GB82 WEST 1234 5698 7654 32")]
+    assert kinds("BE68 5390 0754 7034 GB82 WEST 1234 5698 7654 32") == [("iban", "BE68 5390 0754 7034"), ("iban", "GB82 WEST 1234 5698 7654 32")]
+    assert kinds("BE68 5390 0754 70") == [] and kinds("BE68539007547034X") == []
+    assert kinds("ssn 000-12-3456, 666-12-3456, 912-12-3456, 123-00-4567, 123-45-0000") == []
+
+
+def apart(text):
+    """Scored spans by comparing every candidate with all spans before it."""
+    held = [(a, b) for _, a, b in base_spans(text)]
+    out = [s for s in find_spans(text) if not s["base"]]
+    for s in sorted(out, key=lambda s: ("iban ssn phone".split().index(s["kind"]), s["start"])):
+        assert all(s["end"] <= a or b <= s["start"] for a, b in held)
+        held.append((s["start"], s["end"]))
+    return len(out)
+
+
+def test_scored_spans_touch_no_other():
+    rng = random.Random(4)
+    parts = ["ssn ", "123-45-6789", " call ", "212-555-0123", "(212) 555-0123", " ", "a@b.co", "1.2.3.4", "+1 269 555 3296", "GB82 WEST 1234 5698 7654 32", "-", "4532015112830366"]
+    assert sum(apart("".join(rng.choice(parts) for _ in range(rng.randrange(1, 30)))) for _ in range(1500)) > 500
+
+
 def test_rows(docs):
     out = {r["doc_id"]: r["s"] for r in find_personal_data(docs([*ODD, (50, "a@b.co 1.2.3.4")])).select("doc_id", span_list("spans").alias("s")).collect()}
     assert out[1] == out[2] == "" and out[50] == "email:0:6,ip:7:14"
