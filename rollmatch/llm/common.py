@@ -16,17 +16,24 @@ from rollmatch.sources.snapshot import snapshot_root
 
 #: Rows that enter or leave a Python worker at a time.
 BATCH_ROWS = 500
+#: Bytes at which such a batch is closed, whatever its rows.
+BATCH_BYTES = 16 << 20
 _BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def small_batches(spark) -> None:
-    """Hands texts to Python workers in batches of BATCH_ROWS rows, unless the application chose a size.
+    """Hands texts to Python workers in batches of BATCH_ROWS rows or BATCH_BYTES bytes, unless the application chose a size.
 
-    Spark's default of 10,000 rows suits numbers; with whole documents such a batch takes
-    tens of MB several times over (in the JVM's buffers and in the worker, for each task).
+    Spark's default of 10,000 rows or 64 MB suits numbers; with whole documents such a batch takes
+    tens of MB several times over (in the JVM's buffers and in the worker, for each task). With the
+    bound on bytes a batch holds one very long text at most beyond it.
     """
-    if spark.sparkContext.getConf().get(_BATCH, None) is None and spark.conf.get(_BATCH) == "10000":
+    chosen = spark.sparkContext.getConf()
+    if chosen.get(_BATCH, None) is None and spark.conf.get(_BATCH) == "10000":
         spark.conf.set(_BATCH, str(BATCH_ROWS))
+    if chosen.get(_BYTES, None) is None and spark.conf.get(_BYTES) == "67108864b":
+        spark.conf.set(_BYTES, str(BATCH_BYTES))
 
 
 def per_text(make, schema: str):
@@ -42,7 +49,7 @@ def per_text(make, schema: str):
     def run(batches):
         f = make()
         for texts in batches:
-            yield pa.array([dict(zip(names, f(t) if t is not None else f(""))) for t in texts.to_pylist()], kind)
+            yield pa.array([dict(zip(names, f(t.as_py() or ""))) for t in texts], kind)
 
     run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
     return F.arrow_udf(run, schema)

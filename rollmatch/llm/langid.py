@@ -23,6 +23,7 @@ every text is ``und``.
 from __future__ import annotations
 
 import re
+import sys
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -31,10 +32,13 @@ from pyspark.sql import functions as F
 from rollmatch.llm.common import per_text
 
 UNDETERMINED = "und"
-_WORD = re.compile(r"[^\W\d_]+")
-_LAST = re.compile(r"(?<![^\W\d_])[^\W\d_]+\Z")
+#: Word characters that are numbers but no decimal digits (superscripts, fractions, Roman numerals).
+_NUMBERS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not (c.isalpha() or c.isdecimal()))
+_ALPHA = rf"[^\W\d_{_NUMBERS}]"
+_WORD = re.compile(rf"{_ALPHA}+")
+_LAST = re.compile(rf"(?<!{_ALPHA}){_ALPHA}+\Z")
 #: The same characters as in _WORD, for Spark.
-_LETTER = r"[\p{L}\p{Nl}\p{No}]"
+_LETTER = r"\p{L}"
 _BITS = 32
 
 
@@ -180,7 +184,7 @@ def labelled_sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str,
     cut = {lang: shares(list(of.values()), sample_chars) for lang, of in ranked.items()}
     wanted = docs.sparkSession.createDataFrame([(lang, h, cut[lang]) for lang, of in ranked.items() for h in of], "lang string, h long, most int")
     # equal texts give equal excerpts: one comes out of each task
-    excerpt = F.regexp_replace("text", f"^[^{_LETTER[1:-1]}]++", "").substr(F.lit(1), F.col("most"))
+    excerpt = F.regexp_replace("text", f"^[^{_LETTER}]++", "").substr(F.lit(1), F.col("most"))
     rows = labelled.join(F.broadcast(wanted), ["lang", "h"]).groupBy("lang", "h").agg(F.max(excerpt).alias("text")).collect()
     out: dict[str, list[str]] = {}
     for r in sorted(rows, key=lambda r: (r["lang"], r["h"])):

@@ -74,3 +74,9 @@ def test_every_language_with_a_usable_row_is_learned(docs):
 
 def test_shares():
     assert shares([5, 5, 100], 40) == 30 and shares([100], 60) == 60 and shares([1, 2], 60) == 60 and shares([100, 100], 60) == 30
+
+
+def test_numbers_are_no_letters(docs):
+    learned = [(i, f"the house and the garden number {i}", "en") for i in range(40)]
+    out = {r["doc_id"]: r["lang_pred"] for r in identify_languages(docs([*learned, (100, "²½ Ⅷ ① ٣", None), (101, "²½ the house", None)])).collect()}
+    assert out[100] == "und" and out[101] == "en"
