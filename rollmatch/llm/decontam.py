@@ -85,6 +85,16 @@ def _codes(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
+def _sampled_periods(codes: np.ndarray, step: int, periods: int) -> list[int]:
+    """The periods that short windows ``step`` characters apart have: those of all runs of ``2 step`` and a period's characters."""
+    wide = min(32, step)
+    points = np.arange(0, len(codes) - wide, step)
+    shifted = np.arange(periods + 1)[:, None] + np.arange(wide)[None, :]
+    windows = codes[np.minimum(points[:, None, None] + shifted, len(codes) - 1)]
+    same = (windows[:, 1:] == windows[:, :1]).all(axis=2).any(axis=0)
+    return [int(p) + 1 for p in np.flatnonzero(same)]
+
+
 def shortened(text: str, stretch: int, periods: int = _PERIODS) -> tuple[str, np.ndarray, np.ndarray]:
     """The text without the middles of periodic runs, with the places of the cuts in it and the characters
     cut before or at each. Stretches of up to ``stretch`` characters stay the same ones."""
@@ -94,7 +104,7 @@ def shortened(text: str, stretch: int, periods: int = _PERIODS) -> tuple[str, np
         codes = _codes(text)
         free = 0  # cuts ascend and do not overlap
         runs = []
-        for period in range(1, periods + 1):
+        for period in _sampled_periods(codes, keep // 2, periods):
             edge = np.flatnonzero(codes[period:] != codes[:-period])
             starts = np.concatenate([[0], edge + 1])
             ends = np.concatenate([edge + period, [len(codes)]])
