@@ -454,6 +454,29 @@ def frequency_table(df: DataFrame, col: str) -> DataFrame:
     )
 
 
+def frequency_report(df: DataFrame, col: str) -> DataFrame:
+    """Frequency table with a total and a missing row: (kind, value, n, valid_percent, percent, cum_percent).
+
+    ``kind`` is ``value``, ``total`` (of the values there) or ``missing`` (NULL); both of these rows always stand.
+    Valid and cumulative shares are of the values there, ``percent`` is of all rows; shares of nothing are NULL.
+    Like ``frequency_table`` it counts once and sums ranges; only two totals meet in one task.
+    """
+    spark = df.sparkSession
+    counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
+    valid = F.coalesce(F.sum(F.when(F.col(col).isNotNull(), F.col("n"))), F.lit(0))
+    sums = counts.agg(valid.alias("_valid"), F.coalesce(F.sum("n"), F.lit(0)).alias("_all"))
+    cum = _running_total_ranged(counts.filter(F.col(col).isNotNull()), col, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    rows = sums.select("_all").scalar()
+    values = cum.select(F.lit("value").alias("kind"), F.col(col).alias("value"), "n", F.try_divide("n", "_total").alias("valid_percent"),
+                        F.try_divide(F.col("n"), rows).alias("percent"), F.try_divide("_cum", "_total").alias("cum_percent"))
+    nothing = F.lit(None).cast("double")
+    total = sums.select(F.lit("total"), F.lit(None).cast(df.schema[col].dataType), "_valid", F.try_divide("_valid", "_valid"),
+                        F.try_divide("_valid", "_all"), F.try_divide("_valid", "_valid"))
+    missing = sums.select(F.lit("missing"), F.lit(None).cast(df.schema[col].dataType), F.col("_all") - F.col("_valid"), nothing,
+                          F.try_divide(F.col("_all") - F.col("_valid"), F.col("_all")), nothing)
+    return values.union(total).union(missing)
+
+
 def crosstab_row_percent(df: DataFrame, row_col: str, flag_col: str, values: Sequence = (0, 1)) -> DataFrame:
     """Counts of ``flag_col`` values per ``row_col`` value, with row shares."""
     counts = df.groupBy(row_col).agg(

@@ -294,6 +294,10 @@ def frequency_table(spark, sf_dir):
     return M.frequency_table(dups, "num_duplicated_join_keys")
 
 
+def frequency_report(spark, sf_dir):
+    return M.frequency_report(rec(spark, sf_dir).s_rows, S.col("eligibility"))
+
+
 def district_summary_q(spark, sf_dir):
     return rec(spark, sf_dir, transpositions=ORACLE_TRANSPOSITIONS).summary()
 
@@ -513,6 +517,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "valid_district_rows": valid_district_rows_q,
     "aun_formatting": aun_formatting,
     "frequency_table": frequency_table,
+    "frequency_report": frequency_report,
     "crosstab_row_percent": crosstab_row_percent,
     "difference_histogram": difference_histogram,
     "district_lookup_name": district_lookup_name,

@@ -426,6 +426,13 @@ def oracle_sql() -> dict[str, str]:
             f"SELECT value, n, n / sum(n) OVER () AS percent, sum(n) OVER (ORDER BY value NULLS LAST ROWS BETWEEN "
             f"UNBOUNDED PRECEDING AND CURRENT ROW) / sum(n) OVER () AS cum_percent FROM "
             f"(SELECT num_duplicated_join_keys AS value, count(*) AS n FROM ({freq_src}) GROUP BY 1)"),
+        "frequency_report": _sel(
+            "SELECT * FROM (WITH f AS (SELECT s_eligibility AS value, count(*) AS n FROM s_rows GROUP BY 1), "
+            "t AS (SELECT coalesce(sum(n) FILTER (WHERE value IS NOT NULL), 0) AS v, coalesce(sum(n), 0) AS a FROM f) "
+            "SELECT 'value' AS kind, value, n, n / v AS valid_percent, n / a AS percent, sum(n) OVER (ORDER BY value ROWS BETWEEN "
+            "UNBOUNDED PRECEDING AND CURRENT ROW) / v AS cum_percent FROM f, t WHERE value IS NOT NULL "
+            "UNION ALL SELECT 'total', NULL, CAST(v AS BIGINT), v / nullif(v, 0), v / nullif(a, 0), v / nullif(v, 0) FROM t "
+            "UNION ALL SELECT 'missing', NULL, CAST(a - v AS BIGINT), NULL, (a - v) / nullif(a, 0), NULL FROM t)"),
         "crosstab_row_percent": _sel(
             "SELECT schl_type, count(CASE WHEN f = 0 THEN 1 END) AS n_0, count(CASE WHEN f = 1 THEN 1 END) AS n_1, "
             "count(CASE WHEN f = 0 THEN 1 END) / count(*) AS pct_0, count(CASE WHEN f = 1 THEN 1 END) / count(*) "

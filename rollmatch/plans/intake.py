@@ -16,7 +16,7 @@ from rollmatch.functions.aun import valid_aun
 from rollmatch.operators.cleaning import prepare_side
 from rollmatch.schema import Side
 from rollmatch.sources.csv import BAD_WIDTH, SOURCE_BATCH, headers, raise_on_widths, scan_rosters
-from rollmatch.sources.snapshot import publish_snapshot, read_snapshot, write_snapshot
+from rollmatch.sources.snapshot import publish_snapshot, read_snapshot, replace_snapshot, write_snapshot
 
 
 def intake_batch(spark: SparkSession, folder: str, side: Side, snapshot: str, mode: str = "strict",
@@ -24,7 +24,7 @@ def intake_batch(spark: SparkSession, folder: str, side: Side, snapshot: str, mo
     """Scan one batch folder, clean, keep rows with both ids, publish ``snapshot``; strict widths raise before."""
     raw = scan_rosters(spark, folder, mode=mode, **scan_options)
     if mode != "strict":
-        return write_snapshot(prepare_side(raw, side), snapshot)
+        return replace_snapshot(prepare_side(raw, side), snapshot)
     staging = snapshot.rstrip("/") + "_staging"
     rows = write_snapshot(prepare_side(raw, side, keep_flagged=BAD_WIDTH), staging)
     raise_on_widths(rows, headers(spark, folder, encoding=scan_options.get("encoding", "UTF-8")), side)
@@ -42,4 +42,4 @@ def combine_batches(spark: SparkSession, snapshots: dict[str, str], side: Side,
         combined = combined.unionByName(p, allowMissingColumns=True)
     if valid_ids_only:
         combined = combined.filter(valid_aun(side.col("aun9_3")))
-    return write_snapshot(combined, out)
+    return replace_snapshot(combined, out)

@@ -23,6 +23,7 @@ from rollmatch.plans.reports import write_reports
 from rollmatch.schema import MEAL, STUDENT
 from rollmatch.sources.csv import ORDER
 from rollmatch.sources.districts import load_districts
+from rollmatch.sources.snapshot import read_snapshot
 from rollmatch.sources.export import export_csv
 
 SIDES = {"s": STUDENT, "p": MEAL}
@@ -69,12 +70,12 @@ def main(argv=None) -> None:
         combine_batches(spark, batches, SIDES[args.side], args.out)
     elif args.cmd == "reports":
         dim = prepare_dimension(load_districts(spark, args.districts))
-        s_rows, p_rows = spark.read.parquet(args.s), spark.read.parquet(args.p)
+        s_rows, p_rows = read_snapshot(spark, args.s), read_snapshot(spark, args.p)
         rec = reconcile(s_rows, p_rows, dim, args.policy, prepared=True, normalize_aun=args.normalize_aun,
                         order=ORDER, parent_mode=args.parent_mode)
         write_reports(rec, args.out, args.format, dedup=not args.raw)
     elif args.cmd == "consolidate":
-        export_csv(consolidate_folder(spark, args.folder, PATTERNS[args.pattern], spark.read.parquet(args.full)),
+        export_csv(consolidate_folder(spark, args.folder, PATTERNS[args.pattern], read_snapshot(spark, args.full)),
                    args.out)
 
 

@@ -31,18 +31,48 @@ def write_snapshot(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def publish_snapshot(spark: SparkSession, staging: str, path: str) -> DataFrame:
-    """Put a complete snapshot written at ``staging`` in the place of ``path`` and read it."""
+def _previous(path: str) -> str:
+    return path.rstrip("/") + "_previous"
+
+
+def _file_system(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
-    src, dst = jvm.org.apache.hadoop.fs.Path(staging), jvm.org.apache.hadoop.fs.Path(path)
-    fs = src.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jvm.org.apache.hadoop.fs.Path
+
+
+def publish_snapshot(spark: SparkSession, staging: str, path: str) -> DataFrame:
+    """Put a complete snapshot written at ``staging`` in the place of ``path`` and read it.
+
+    Only renames, and a complete snapshot stands at every moment: the earlier one is renamed to
+    ``<path>_previous``, the new one takes its place, then the earlier one is deleted. A job that
+    stops in between leaves the earlier one where ``read_snapshot`` finds it and the next publication keeps
+    it until the new one stands. One job publishes a path at a time.
+    """
+    fs, at = _file_system(spark, path)
+    src, dst, old = at(staging), at(path), at(_previous(path))
     if fs.exists(dst):
-        fs.delete(dst, True)
-    fs.mkdirs(dst.getParent())
+        if fs.exists(old):
+            fs.delete(old, True)
+        if not fs.rename(dst, old):
+            raise OSError(f"could not move {path} to {_previous(path)}")
+    else:
+        fs.mkdirs(dst.getParent())
     if not fs.rename(src, dst):
         raise OSError(f"could not move {staging} to {path}")
+    fs.delete(old, True)
     return read_snapshot(spark, path)
 
 
+def replace_snapshot(df: DataFrame, path: str) -> DataFrame:
+    """``df`` written beside ``path`` and published there once it is complete; ``df`` may read the earlier snapshot."""
+    staging = path.rstrip("/") + "_staging"
+    write_snapshot(df, staging)
+    return publish_snapshot(df.sparkSession, staging, path)
+
+
 def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    """The snapshot published at ``path``; the earlier one where a publication stopped between its renames."""
+    fs, at = _file_system(spark, path)
+    stopped = not fs.exists(at(path)) and fs.exists(at(_previous(path)))
+    return spark.read.parquet(_previous(path) if stopped else path)

@@ -237,3 +237,16 @@ def test_frequency_table_of_many_values(spark):
     assert got["n"].tolist() == expected["n"].tolist()
     assert abs(got["cum_percent"].iloc[-1] - 1) < 1e-12 and (got["cum_percent"].diff().dropna() > 0).all()
     assert (got["cum_percent"] - expected["n"].cumsum().to_numpy() / 300_000).abs().max() < 1e-9
+
+
+def test_frequency_report_has_valid_shares_total_and_missing(spark):
+    from rollmatch.operators.measures import frequency_report
+
+    df = spark.createDataFrame([("a",), ("b",), ("b",), (None,)], "x string")
+    got = {(r["kind"], r["value"]): tuple(r)[2:] for r in frequency_report(df, "x").collect()}
+    assert got == {("value", "a"): (1, 1 / 3, 0.25, 1 / 3), ("value", "b"): (2, 2 / 3, 0.5, 1.0),
+                   ("total", None): (3, 1.0, 0.75, 1.0), ("missing", None): (1, None, 0.25, None)}
+    empty = sorted(tuple(r) for r in frequency_report(df.limit(0), "x").collect())
+    assert empty == [("missing", None, 0, None, None, None), ("total", None, 0, None, None, None)]
+    nothing = {r["kind"]: tuple(r)[2:] for r in frequency_report(df.filter("x IS NULL"), "x").collect()}
+    assert nothing == {"total": (0, None, 0.0, None), "missing": (1, None, 1.0, None)}

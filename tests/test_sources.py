@@ -229,3 +229,54 @@ def test_load_districts_parquet_and_sorted_export(spark, tmp_path):
     out = export_measures({"m": got.withColumnRenamed("aun_2", "AUN")}, str(tmp_path / "out"), fmt="csv")
     back = [r["AUN"] for r in spark.read.option("header", True).csv(out["m"]).collect()]
     assert back == ["111111111", "222222222"]
+
+
+def test_district_header_cells_with_line_breaks(spark, tmp_path):
+    d = str(tmp_path / "wrapped")
+    write(d, "mds.csv", 'Master list,"as of\nJuly"\n\nnotes\n"AUN\n(dashed)","SFA\nName",AUN,"Schl\nType"\n1-1,District A,111111111,Public\n,"B, C",222222222,\n')
+    got = sorted(tuple(r) for r in load_districts(spark, d, keep=("sfa_name", "aun", "schl_type"), id_col="aun").collect())
+    assert got == [("B, C", "222222222", None), ("District A", "111111111", "Public")]
+    write(str(tmp_path / "open"), "mds.csv", 'a\nb\nc\n"AUN,SFA Name\n1,2\n')
+    with pytest.raises(ValueError, match="not closed"):
+        load_districts(spark, str(tmp_path / "open"))
+
+
+@pytest.mark.parametrize("renames", [0, 1, 2])
+def test_a_publication_that_stops_in_between_loses_nothing(spark, tmp_path, monkeypatch, renames):
+    from rollmatch.sources import snapshot
+
+    path = str(tmp_path / "snap")
+    snapshot.replace_snapshot(spark.range(3), path)
+    real = snapshot._file_system
+
+    class Stopping:
+        """A file system whose job is lost after ``renames`` renames."""
+        def __init__(self, fs):
+            self.fs, self.left = fs, renames
+
+        def rename(self, a, b):
+            if not self.left:
+                raise RuntimeError("lost")
+            self.left -= 1
+            return self.fs.rename(a, b)
+
+        def delete(self, *args):
+            if not self.left:
+                raise RuntimeError("lost")
+            return self.fs.delete(*args)
+
+        def __getattr__(self, name):
+            return getattr(self.fs, name)
+
+    def stopping(spark, path):
+        fs, at = real(spark, path)
+        return Stopping(fs), at
+
+    monkeypatch.setattr(snapshot, "_file_system", stopping)
+    with pytest.raises(RuntimeError, match="lost"):
+        snapshot.replace_snapshot(spark.range(5), path)
+    monkeypatch.setattr(snapshot, "_file_system", real)
+    assert snapshot.read_snapshot(spark, path).count() == (5 if renames == 2 else 3)
+    # the next publication may read what stands and completes
+    again = snapshot.replace_snapshot(snapshot.read_snapshot(spark, path).union(spark.range(1)), path)
+    assert again.count() == (6 if renames == 2 else 4) and snapshot.read_snapshot(spark, path).count() == again.count()
