@@ -49,7 +49,8 @@ def per_text(make, schema: str):
     def run(batches):
         f = make()
         for texts in batches:
-            yield pa.array([dict(zip(names, f(t.as_py() or ""))) for t in texts], kind)
+            values = (t.as_py() if t.is_valid else "" for t in texts)  # an empty binary stays one
+            yield pa.array([dict(zip(names, f(t))) for t in values], kind)
 
     run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
     return F.arrow_udf(run, schema)
@@ -66,6 +67,12 @@ def written(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def parts_for(rows: int, per_part: int = 50_000) -> int:
+    """Partitions that ``rows`` narrow rows need. A table coalesced to them keeps its files and tasks in proportion
+    to its rows; a single partition is grouped and joined without any exchange."""
+    return max(1, -(-rows // per_part))
+
+
 def most_frequent(counts: DataFrame, word: str, n: str, most: int) -> list[tuple[str, int]]:
     """About the ``most`` words with the largest counts (never many more), largest first, ties by word.
 

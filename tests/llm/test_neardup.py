@@ -101,3 +101,13 @@ def test_components_of_chains_stars_and_nothing(spark):
     out = {r["node"]: r["component"] for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert out == {**{i: 100 for i in range(100, 141)}, **{i: 500 for i in range(500, 560)}, 3: 3, 9: 3}
     assert components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+def test_few_edges_lie_in_one_partition_in_every_round(spark, files_written):
+    from rollmatch.llm import components as module
+
+    files = files_written(module)
+    edges = [(i + 1, i) for i in range(300)] + [(1000, i) for i in range(1001, 1300)]
+    out = {r["node"]: r["component"] for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
+    assert out == {i: 0 for i in range(301)} | {i: 1000 for i in range(1000, 1300)}
+    assert len(files) > 3 and {n for _, n in files[1:]} == {1}
