@@ -16,7 +16,10 @@ the subroots, by group (NULL first, then by bytes), become the root in the same
   of that level and folds the claimed digest into the run's digest. Its rows hold one level
   each; the proof of a leaf is put together from them afterwards, one array entry a level.
 
-Nothing but the number of groups, the largest group's size and the root reaches the driver.
+Every table of digests lies in as many partitions as its number of rows needs, however many the
+session's shuffles have.
+
+Nothing but the numbers of groups and rows, the largest group's size and the root reaches the driver.
 
 Rows: a NULL in the group column is a group, a NULL in the order column comes first. Rows with
 equal order ascend by their digest (repeated rows are leaves of their own with equal proofs' parts
@@ -31,7 +34,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rollmatch.llm.common import written
+from rollmatch.llm.common import parts_for, written
 
 FANOUT = 8
 #: Levels whose rows lie inside one block.
@@ -81,7 +84,7 @@ def _numbered(rows: DataFrame, group: str | None, order: list[Column], tag: str)
     return joined.withColumn("__at", offset + F.col("__shift")).drop("__part", "__shift", "__id")
 
 
-def _levels(nodes: DataFrame, top: int, fanout: int, tag: str) -> tuple[list[DataFrame], DataFrame]:
+def _levels(nodes: DataFrame, n_nodes: int, n_trees: int, top: int, fanout: int, tag: str) -> tuple[list[DataFrame], DataFrame]:
     """``nodes`` (tree, height, idx, hash) -> its runs level by level, and each tree's last node (tree, hash).
 
     A run has (tree, height, idx, kids): the digests of its children in order.
@@ -91,7 +94,8 @@ def _levels(nodes: DataFrame, top: int, fanout: int, tag: str) -> tuple[list[Dat
         kids = F.sort_array(F.collect_list(F.struct("idx", "hash")))
         run = nodes.filter(F.col("height") >= level).groupBy("tree", "height", F.floor(F.col("idx") / fanout).alias("up")).agg(kids.alias("kids"))
         joined = F.aggregate("kids", F.lit(b""), lambda all_, kid: F.concat(all_, kid["hash"]))
-        run = written(run.select("tree", "height", F.col("up").alias("idx"), joined.alias("kids")), f"{tag}-{level}")
+        run = run.select("tree", "height", F.col("up").alias("idx"), joined.alias("kids"))
+        run = written(run.coalesce(parts_for(n_nodes // fanout ** level + n_trees)), f"{tag}-{level}")
         runs.append(run)
         nodes = run.select("tree", "height", "idx", _digest_of(F.col("kids")).alias("hash"))
         ends = ends.union(nodes.filter(F.col("height") == level).select("tree", "hash"))
@@ -118,19 +122,19 @@ def build_manifest(rows: DataFrame, group: str, order: str, digest: str, fanout:
     trees = _numbered(sizes, None, [F.col(group).asc_nulls_first()], "merkle-trees").select(
         F.col(group).alias("__group"), F.col("__at").alias("tree"), _height(F.col("size"), fanout).alias("height"), "size")
     trees = written(trees, "merkle-trees")
+    highest, n_trees, n_rows = trees.agg(F.max("height"), F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
     block = fanout ** BLOCK_LEVELS
     leaves = placed.join(trees, F.col(group).eqNullSafe(F.col("__group"))).select(
         *rows.columns, "tree", "height", F.col("__at").alias("idx"), F.floor(F.col("__at") / block).alias("block"), F.col(digest).alias("hash"))
-    leaves = written(leaves, "merkle-numbered")
+    leaves = written(leaves.coalesce(parts_for(n_rows)), "merkle-numbered")
 
-    highest, n_trees = trees.agg(F.max("height"), F.count(F.lit(1))).first()
-    runs, subroots = _levels(leaves.select("tree", "height", "idx", "hash"), highest or 0, fanout, "merkle-level")
-    subroots = written(subroots.select("tree", F.col("hash").alias("subroot")), "merkle-subroots")
+    runs, subroots = _levels(leaves.select("tree", "height", "idx", "hash"), n_rows, n_trees, highest or 0, fanout, "merkle-level")
+    subroots = written(subroots.select("tree", F.col("hash").alias("subroot")).coalesce(parts_for(n_trees)), "merkle-subroots")
     upper = 0
     while fanout ** upper < n_trees:
         upper += 1
     top_nodes = subroots.select(F.lit(-1).cast("long").alias("tree"), F.lit(upper).alias("height"), F.col("tree").alias("idx"), F.col("subroot").alias("hash"))
-    top_runs, top_ends = _levels(top_nodes, upper, fanout, "merkle-top")
+    top_runs, top_ends = _levels(top_nodes, n_trees, 1, upper, fanout, "merkle-top")
     last = top_ends.first()
 
     blocks = trees.select("tree", "height", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("size") - 1) / block))).alias("block"))
@@ -154,6 +158,8 @@ def build_manifest(rows: DataFrame, group: str, order: str, digest: str, fanout:
         links = row if links is None else links.union(row)
     if links is None:  # at most one row in all
         links = leaves.limit(0).select("tree", "block", F.lit(0).alias("step"), "idx", F.col("hash").alias("kids"), F.col("idx").alias("up"), F.lit(0).alias("place"))
+    # a seventh of the rows with the default fanout, and one for each block, tree and upper level
+    links = links.coalesce(parts_for((n_rows // fanout + n_trees) * 2))
     return Manifest(leaves, written(links, "merkle-links"), subroots, hex_of_bytes(last["hash"]) if last else None, fanout)
 
 

@@ -5,7 +5,7 @@ import zlib
 
 from pyspark.sql import functions as F
 
-from rollmatch.llm import catalog
+from rollmatch.llm import catalog, merkle
 from rollmatch.llm.merkle import _height, build_manifest, climb, row_digest
 from tests.llm.conftest import ODD
 
@@ -118,3 +118,13 @@ def test_no_key_meets_more_leaves_than_a_block(spark, docs):
     assert below.agg(F.max("count")).first()[0] == 8 ** 4
     upper = m.links.filter("step > 4").groupBy("tree", "block", "step").count()
     assert upper.agg(F.max("count")).first()[0] == 1
+
+
+def test_levels_of_few_rows_lie_in_one_partition(spark, docs, tmp_path, files_written):
+    df = docs([(i, f"Row {i}", "en" if i % 3 else "de") for i in range(1200)])
+    df.write.parquet(str(tmp_path / "documents.parquet"))
+    files = files_written(merkle)
+    got = sorted((tuple(r) for r in catalog.op12_merkle_manifest(spark, str(tmp_path)).collect()), key=str)
+    assert got == plain(fields(df.collect()))
+    many = {tag: n for tag, n in files if tag not in ("merkle-leaves", "merkle-trees")}
+    assert {"merkle-numbered", "merkle-level-1", "merkle-links"} <= set(many) and set(many.values()) == {1}
