@@ -37,6 +37,8 @@ from itertools import repeat
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -102,16 +104,16 @@ def encoded(docs: DataFrame, words: list[str]) -> DataFrame:
     return written(docs.select(F.monotonically_increasing_id().alias("row"), "id", part(F.col("text")).alias("r")).select("row", "id", "r.*"), "encoded")
 
 
-def running_text(batch: pd.DataFrame, end: int) -> tuple[np.ndarray, list[str]]:
+def running_text(batch: pa.RecordBatch, end: int) -> tuple[np.ndarray, pa.Array]:
     """All texts of a batch in one row of numbers, ``end`` before, between and after them; and the words of numbers -1, -2, .."""
-    parts, names = [np.array([end])], []
-    for raw, words in zip(batch["ids"], batch["words"]):
+    parts, before = [np.array([end])], 0
+    for raw, n in zip(batch.column("ids").to_pylist(), batch.column("words").value_lengths().to_pylist()):
         at = np.frombuffer(raw, "<i4").astype(np.int64)
-        if len(words):
-            at = np.where(at < 0, at - len(names), at)
-            names.extend(words)
+        if n:
+            at = np.where(at < 0, at - before, at)
+            before += n
         parts += [at, parts[0]]
-    return np.concatenate(parts), names
+    return np.concatenate(parts), batch.column("words").flatten().cast(pa.string())
 
 
 def bigram_counts(texts: DataFrame, core: int, end: int) -> np.ndarray:
@@ -133,9 +135,9 @@ def bigram_counts(texts: DataFrame, core: int, end: int) -> np.ndarray:
         if held:
             total += np.bincount(np.concatenate(held), minlength=size * size)
         at = np.flatnonzero(total)
-        yield pd.DataFrame({"pair": at, "n": total[at]})
+        yield pa.RecordBatch.from_pydict({"pair": at, "n": total[at]})
 
-    summed = texts.select("ids", "words").mapInPandas(count, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
+    summed = texts.select("ids", "words").mapInArrow(count, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
     matrix = np.zeros(size * size, np.int64)
     for r in summed.toLocalIterator():  # (core + 2)^2 rows at most
         matrix[r["pair"]] = r["n"]
@@ -207,38 +209,46 @@ def word_contexts(texts: DataFrame, shared, core: int, of: np.ndarray, n: int, m
     class_of = np.full(end + 1, RARE, np.int64)
     class_of[:core], class_of[end] = of[2:], END
 
+    def packed(keys: np.ndarray) -> tuple[np.ndarray, pa.Array]:
+        """Keys number * 2 n + slot -> the different numbers, and their contexts as binary values."""
+        found, times = np.unique(keys, return_counts=True)
+        number, contexts = found // (2 * n), (times * (2 * n) + found % (2 * n)).astype("<u4")
+        at = np.flatnonzero(np.diff(number, prepend=-1))
+        offsets = (4 * np.append(at, len(number))).astype("<i4")
+        return number[at], pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(offsets), pa.py_buffer(contexts)])
+
     def count(batches):
-        keys, size, others = [], 0, Counter()
+        keys, size, names, rare_keys, rare = [], 0, [], [], 0
 
         def rows():
-            found, times = np.unique(np.concatenate(keys), return_counts=True)
-            number, packed = found // (2 * n), (times * (2 * n) + found % (2 * n)).astype("<u4")
-            at = np.flatnonzero(np.diff(number, prepend=-1))
-            out = [(shared.value[k], k, packed[i:j].tobytes()) for k, i, j in zip(number[at].tolist(), at.tolist(), [*at[1:].tolist(), len(packed)])]
-            by_word: dict[str, list] = {}
-            for (w, slot), m in others.items():
-                by_word.setdefault(w, []).append(m * 2 * n + slot)
-            out += [(w, -1, np.array(x, "<u4").tobytes()) for w, x in by_word.items()]
-            return pd.DataFrame(out, columns=["w", "k", "contexts"])
+            if size:
+                number, contexts = packed(np.concatenate(keys))
+                yield pa.RecordBatch.from_arrays([pa.array([shared.value[k] for k in number.tolist()], pa.string()), pa.array(number), contexts], ["w", "k", "contexts"])
+            if rare:
+                coded = pa.concat_arrays(names).dictionary_encode()
+                place = np.concatenate(rare_keys)
+                code = coded.indices.to_numpy().astype(np.int64)[place // (2 * n)]
+                number, contexts = packed(code * (2 * n) + place % (2 * n))
+                yield pa.RecordBatch.from_arrays([coded.dictionary.take(pa.array(number)), pa.array(np.full(len(number), -1)), contexts], ["w", "k", "contexts"])
 
         for batch in batches:
-            x, names = running_text(batch, end)
+            x, found = running_text(batch, end)
             path = np.where(x < 0, RARE, class_of[np.maximum(x, 0)])
             known = np.flatnonzero((x >= core) & (x != end))
             keys += [x[known] * (2 * n) + path[known - 1], x[known] * (2 * n) + n + path[known + 1]]
             size += 2 * len(known)
-            for i in np.flatnonzero(x < 0).tolist():
-                w = names[-1 - x[i]]
-                others[w, int(path[i - 1])] += 1
-                others[w, n + int(path[i + 1])] += 1
-            if size > 4_000_000 or len(others) > most:
-                yield rows()
-                keys, size = [], 0
-                others.clear()
-        if size or others:
-            yield rows()
+            if len(found):
+                at = np.flatnonzero(x < 0)
+                name = rare - 1 - x[at]
+                rare_keys += [name * (2 * n) + path[at - 1], name * (2 * n) + n + path[at + 1]]
+                names.append(found)
+                rare += len(found)
+            if size > 4_000_000 or rare > most:
+                yield from rows()
+                keys, size, names, rare_keys, rare = [], 0, [], [], 0
+        yield from rows()
 
-    return texts.select("ids", "words").mapInPandas(count, "w string, k long, contexts binary")
+    return texts.select("ids", "words").mapInArrow(count, "w string, k long, contexts binary")
 
 
 def likeliest_classes(pairs: np.ndarray, contexts: np.ndarray) -> np.ndarray:
@@ -261,41 +271,51 @@ def likeliest_classes(pairs: np.ndarray, contexts: np.ndarray) -> np.ndarray:
 
 
 def assigned_classes(contexts: DataFrame, pairs: np.ndarray, at_once: int = 1000) -> DataFrame:
-    """(w, k, class) of every word of ``contexts``; a word's rows meet in order, so a task holds ``at_once`` words."""
+    """(w, k, class) of every word of ``contexts``; a word's rows meet in order, so a task holds about ``at_once`` words (and a batch)."""
     slots = 2 * len(pairs)
 
     def assign(batches):
-        words, numbers, where, packed, size = [], [], [], [], 0
-        counts = np.zeros(at_once * slots)
+        words, numbers, last, n_words = [], [], None, 0  # the open words: those of ``counts``
+        where, packed, size, counts = [], [], 0, np.zeros(0)
 
         def fold():
-            x = np.concatenate(packed).astype(np.int64)
-            counts[:] += np.bincount(np.repeat(where, list(map(len, packed))) * slots + x % slots, x // slots, len(counts))
-
-        def result():
-            return pd.DataFrame({"w": words, "k": numbers, "class": likeliest_classes(pairs, counts.reshape(-1, slots)[:len(words)])})
+            nonlocal where, packed, size, counts
+            if where:
+                x = np.concatenate(packed).astype(np.int64)
+                now = np.bincount(np.concatenate(where) * slots + x % slots, x // slots, n_words * slots)
+                now[:len(counts)] += counts
+                where, packed, size, counts = [], [], 0, now
+
+        def result(done: int):
+            """The classes of the first ``done`` open words, which no later row is about."""
+            w, k = pa.concat_arrays(words), pa.concat_arrays(numbers)
+            found = likeliest_classes(pairs, counts.reshape(-1, slots)[:done])
+            return pa.RecordBatch.from_arrays([w[:done], k[:done], pa.array(found.astype(np.int32))], ["w", "k", "class"]), w[done:], k[done:]
 
         for batch in batches:
-            for w, k, raw in zip(batch["w"], batch["k"], batch["contexts"]):
-                if not words or w != words[-1]:
-                    if len(words) == at_once:
-                        fold()
-                        yield result()
-                        words, numbers, where, packed, size = [], [], [], [], 0
-                        counts[:] = 0
-                    words.append(w)
-                    numbers.append(k)
-                elif size > 500_000:
-                    fold()
-                    where, packed, size = [], [], 0
-                where.append(len(words) - 1)
-                packed.append(np.frombuffer(raw, "<u4"))
-                size += len(packed[-1])
-        if words:
+            if not len(batch):
+                continue
+            w, raw = batch.column("w").cast(pa.string()), batch.column("contexts").cast(pa.binary())
+            first = np.concatenate([[w[0].as_py() != last], pc.not_equal(w[1:], w[:-1]).to_numpy(zero_copy_only=False)]).astype(bool)
+            offsets = np.frombuffer(raw.buffers()[1], "<i4")[raw.offset:raw.offset + len(raw) + 1]
+            if first.any():
+                words.append(w.filter(pa.array(first)))
+                numbers.append(batch.column("k").filter(pa.array(first)))
+            where.append(np.repeat(n_words - 1 + np.cumsum(first), np.diff(offsets) // 4))
+            packed.append(np.frombuffer(raw.buffers()[2], "<u4", (offsets[-1] - offsets[0]) // 4, offsets[0]))
+            size += len(packed[-1])
+            n_words, last = n_words + int(first.sum()), w[-1].as_py()
+            if size > 500_000 or n_words > at_once:
+                fold()
+            if n_words > at_once:
+                out, *rest = result(n_words - 1)
+                yield out
+                words, numbers, n_words, counts = [rest[0]], [rest[1]], 1, counts[-slots:]
+        if n_words:
             fold()
-            yield result()
+            yield result(n_words)[0]
 
-    return contexts.repartition("w").sortWithinPartitions("w").mapInPandas(assign, "w string, k long, class int")
+    return contexts.repartition("w").sortWithinPartitions("w").mapInArrow(assign, "w string, k long, class int")
 
 
 def class_pairs(texts: DataFrame, class_of: np.ndarray, n: int, classes: DataFrame, most: int = 250_000) -> np.ndarray:
@@ -303,30 +323,47 @@ def class_pairs(texts: DataFrame, class_of: np.ndarray, n: int, classes: DataFra
     end = len(class_of) - 1
 
     def count(batches):
-        total, others = np.zeros(n * n, np.int64), Counter()
+        total, held, names, rare, columns = np.zeros(n * n, np.int64), [], [], 0, ["a", "b", "v", "w", "n"]
 
         def rows():
             at = np.flatnonzero(total)
-            return pd.DataFrame([*((a // n, a % n, "", "", m) for a, m in zip(at.tolist(), total[at].tolist())), *((*x, m) for x, m in others.items())],
-                                columns=list("abvwn"))
+            none = pa.array(np.full(len(at), "", object), pa.string())
+            yield pa.RecordBatch.from_arrays([pa.array((at // n).astype(np.int32)), pa.array((at % n).astype(np.int32)), none, none, pa.array(total[at])], columns)
+            if not held:
+                return
+            # a word of a pair is its code (or none: the last place) and counts as class -1
+            coded = pa.concat_arrays(names).dictionary_encode()
+            code = np.append(coded.indices.to_numpy().astype(np.int64), len(coded.dictionary))
+            left, right, v, w = (np.concatenate(x) for x in zip(*held))
+            size = len(coded.dictionary) + 1
+            # equal pairs of a word and a class, or of two words, as one number each
+            key, times = np.unique((np.where(left < 0, n + code[v], left)) * (n + size) + np.where(right < 0, n + code[w], right), return_counts=True)
+            left, right = key // (n + size), key % (n + size)
+            known = pa.concat_arrays([coded.dictionary, pa.array([""], pa.string())])
+            v, w = (known.take(pa.array(np.where(x < n, size - 1, x - n))) for x in (left, right))
+            a, b = (pa.array(np.where(x < n, x, -1).astype(np.int32)) for x in (left, right))
+            yield pa.RecordBatch.from_arrays([a, b, v, w, pa.array(times)], columns)
 
         for batch in batches:
-            x, names = running_text(batch, end)
+            x, found = running_text(batch, end)
             path = np.where(x < 0, -1, class_of[np.maximum(x, 0)])
             left, right = path[:-1], path[1:]
             both = (left >= 0) & (right >= 0)
             total += np.bincount(left[both] * n + right[both], minlength=n * n)
-            for i in np.flatnonzero(~both).tolist():
-                a, b = int(left[i]), int(right[i])
-                others[a, b, names[-1 - x[i]] if a < 0 else "", names[-1 - x[i + 1]] if b < 0 else ""] += 1
-            if len(others) > most:
-                yield rows()
-                others.clear()
+            if len(found):
+                at = np.flatnonzero(~both)
+                v, w = (np.where(y < 0, rare - 1 - y, -1) for y in (x[at], x[at + 1]))
+                held.append((left[at], right[at], v, w))
+                names.append(found)
+                rare += len(found)
+            if rare > most:
+                yield from rows()
+                held, names, rare = [], [], 0
                 total[:] = 0
-        if others or total.any():
-            yield rows()
+        if held or total.any():
+            yield from rows()
 
-    summed = written(texts.select("ids", "words").mapInPandas(count, "a int, b int, v string, w string, n long")
+    summed = written(texts.select("ids", "words").mapInArrow(count, "a int, b int, v string, w string, n long")
                      .groupBy("a", "b", "v", "w").agg(F.sum("n").alias("n")), "pairs")
     of = classes.select(F.col("w").alias("_w"), F.col("class").alias("_c"))
     known = summed.filter("v = ''").select("a", "b", "w", "n").unionByName(

@@ -1,11 +1,12 @@
 import math
+import random
 import zlib
 from collections import Counter
 
 import numpy as np
 import pytest
 
-from rollmatch.llm.brown import END, RARE, exchange_classes, score_texts
+from rollmatch.llm.brown import END, RARE, assigned_classes, class_pairs, encoded, exchange_classes, score_texts, word_contexts
 from tests.conftest import SF_SMALL
 from tests.llm.conftest import ODD
 
@@ -86,3 +87,38 @@ def test_words_outside_the_core_have_classes(docs):
         scores.append(out)
     for out in scores[1:]:
         assert out == pytest.approx(scores[0], rel=1e-9)
+
+
+def test_contexts_and_class_pairs_equal_plain_counts(spark):
+    rng = random.Random(7)
+    core, n, table = 3, 5, ["a", "b", "c", "d", "e"]
+    of = np.array([0, 1, 2, 3, 4])  # RARE, END, a, b, c
+    texts = [[rng.choice(table + ["x", "y", "z", f"q{i % 9}"]) for _ in range(rng.randint(0, 12))] for i in range(200)]
+    frame = encoded(spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "id long, text string").repartition(3), table)
+
+    contexts, pairs = Counter(), Counter()
+    core_class = {"a": 2, "b": 3, "c": 4, None: 1}
+    classes = core_class | {"d": 2, "e": 4, "x": 3, "q1": 2}  # other words are of the class RARE or not found
+    for t in texts:
+        line = [None, *t, None]
+        for i, w in enumerate(t, 1):
+            if w not in core_class:
+                contexts[w, core_class.get(line[i - 1], 0)] += 1
+                contexts[w, n + core_class.get(line[i + 1], 0)] += 1
+        pairs.update((classes[u], classes[v]) for u, v in zip(line, line[1:]) if u in classes and v in classes)
+
+    for most in (1, 250_000):  # passed on after every batch, or once
+        found, shared = Counter(), spark.sparkContext.broadcast(table)
+        for r in word_contexts(frame, shared, core, of, n, most).collect():
+            assert r["k"] == (table.index(r["w"]) if r["w"] in table else -1)
+            for x in np.frombuffer(r["contexts"], "<u4").tolist():
+                found[r["w"], x % (2 * n)] += x // (2 * n)
+        assert found == contexts
+        rare = spark.createDataFrame([("x", 3), ("q1", 2)], "w string, class int")
+        got = class_pairs(frame, np.array([2, 3, 4, 2, 4, 1]), n, rare, most)
+        assert {ab: m for ab, m in np.ndenumerate(got) if m} == dict(pairs)
+
+    many = word_contexts(frame, shared, core, of, n, 1)
+    likely = np.arange(1, n * n + 1, dtype=float).reshape(n, n)
+    few, all_ = (sorted(map(tuple, assigned_classes(many, likely, k).collect())) for k in (2, 1000))
+    assert few == all_ and len(few) == len({w for w, _ in contexts})
