@@ -15,10 +15,8 @@ from pyspark.sql import functions as F
 from rollmatch.llm.common import parts_for, written
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
-    # both directions without a union, which would lose the edges' partitioning
-    ways = F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))
-    both = edges.select(F.inline(ways))
+def _large_star(edges: DataFrame, parts: int) -> DataFrame:
+    both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))).coalesce(parts)
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
     return both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
@@ -36,7 +34,7 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     edges = written(edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
     parts, seen = parts_for(edges.count()), None
     for _ in range(max_rounds):
-        edges = written(_small_star(_large_star(edges.coalesce(parts)), parts).coalesce(parts), "edges")
+        edges = written(_small_star(_large_star(edges, parts), parts).coalesce(parts), "edges")
         now = edges.agg(F.count("u"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == seen or not now[0]:
             break
