@@ -25,7 +25,7 @@ from collections import Counter
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rollmatch.llm.common import most_frequent, per_text, small_batches, written
+from rollmatch.llm.common import most_frequent, parts_for, per_text, small_batches, written
 
 SPACE_MARK = "▁"
 _PIECE = re.compile(r" *[^ ]+| +$")
@@ -88,8 +88,11 @@ def frequent_pretokens(docs: DataFrame, text_col: str, table_size: int, per_task
         top = [(w, n) for w, n in counts.most_common(per_task) if n > 1 and len(w) <= max_chars]
         yield pd.DataFrame(top, columns=["piece", "n"])
 
-    tables = docs.select(F.col(text_col)).mapInPandas(summarise, "piece string, n long")
-    counts = written(tables.groupBy("piece").agg(F.sum("n").alias("n")), "pretokens")
+    texts = docs.select(F.col(text_col))
+    # a task's table has per_task rows at most; their sum needs no file for each of the session's shuffle partitions
+    parts = parts_for(per_task * texts.rdd.getNumPartitions())
+    tables = texts.mapInPandas(summarise, "piece string, n long")
+    counts = written(tables.groupBy("piece").agg(F.sum("n").alias("n")).coalesce(parts), "pretokens")
     return [w for w, _ in most_frequent(counts, "piece", "n", table_size)]
 
 

@@ -3,6 +3,7 @@ import random
 import pytest
 import sentencepiece
 
+from rollmatch.llm import tokens
 from rollmatch.llm.catalog import tokenizer_file
 from rollmatch.llm.tokens import Lengths, PreTokens, count_tokens
 from tests.llm.conftest import ODD
@@ -36,3 +37,11 @@ def test_tiny_tables_give_the_same_counts(docs, sp):
     assert all(r["n_tokens"] == len(sp.encode(rows[r["doc_id"]][1])) for r in out)
     cache = Lengths({}, sp, 2)
     assert [cache[w] for w in ("aa", "bb", "cc", "aa")] == [len(sp.encode(w)) for w in ("aa", "bb", "cc", "aa")] and len(cache) <= 2
+
+
+def test_the_summed_tables_lie_in_few_files(docs, sp, files_written):
+    rows = [(i, " ".join(f"w{j}" for j in range(100))) for i in range(20)]
+    seen = files_written(tokens)
+    out = count_tokens(docs(rows), FILE).collect()
+    assert {r["n_tokens"] for r in out} == {len(sp.encode(rows[0][1]))}
+    assert seen == [("pretokens", 1)]
