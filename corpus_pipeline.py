@@ -26,10 +26,10 @@ from rollmatch.llm.common import written
 from rollmatch.llm.decontam import contained_items
 from rollmatch.llm.langid import in_learned_language
 from rollmatch.llm.linededup import dedup_lines
-from rollmatch.llm.neardup import near_duplicates
+from rollmatch.llm.neardup import near_duplicates, same_values
 
 #: Names that no input column is expected to have.
-_LINES, _GONE, _LEAKS, _KEY, _TEXT = "__lines", "__deleted", "__leaks", "__key", "__text"
+_LINES, _GONE, _LEAKS, _KEY = "__lines", "__deleted", "__leaks", "__key"
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,14 +45,20 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    once = written(docs.withColumn(_TEXT, F.xxhash64("text")).dropDuplicates(["doc_id", _TEXT]), "once")
-    # one number for each document (id and text), in the order of the ids, NULL ids last
-    order = once.select(F.col("doc_id").alias("__id"), F.col(_TEXT).alias("__hash")).orderBy(F.col("__id").asc_nulls_last(), "__hash")
+    told = ["__id", "__hash"]
+    docs = docs.withColumns({"__id": F.col("doc_id"), "__hash": F.xxhash64("text")})
+    # one number for each document (id and text), in the order of the ids, NULL ids last; texts stay where they are
+    order = docs.groupBy(told).agg(F.count(F.lit(1)).alias("__rows")).orderBy(F.col("__id").asc_nulls_last(), "__hash")
     keys = written(order.withColumn(_KEY, F.monotonically_increasing_id()), "keys")
-    numbered = once.join(keys, once["doc_id"].eqNullSafe(keys["__id"]) & (once[_TEXT] == keys["__hash"]))
-    numbered = written(numbered.select(*docs.columns, _KEY), "numbered")
-    kept = near_duplicates(numbered, id_col=_KEY, shingle_words=5, threshold=0.8).filter("kept").select(_KEY)
-    return numbered.join(kept, _KEY, "left_semi").select(docs.columns)
+    repeated = keys.filter("__rows > 1").select(told)
+    if not repeated.isEmpty():
+        repeated = written(repeated, "repeated")
+        same = same_values(docs, repeated, told)
+        docs = written(docs.join(repeated, same, "left_anti").union(docs.join(repeated, same, "left_semi").dropDuplicates(told)), "once")
+    keys = keys.drop("__rows")
+    found = near_duplicates(docs, id_col=_KEY, shingle_words=5, threshold=0.8, keys=keys)
+    gone = written(found.filter("NOT kept").join(keys, _KEY).select(told), "gone")
+    return docs.join(gone, same_values(docs, gone, told), "left_anti").drop(*told)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -31,6 +31,7 @@ linked. Tables are written to the shared checkpoint folder between the steps.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -109,8 +110,8 @@ class Signer:
         return keys.view(np.int64).tolist(), sketch.tolist()
 
 
-def signatures(docs: DataFrame, id_col: str, text_col: str, width: int, bands: int, rows: int) -> DataFrame:
-    """Per row: id, n_shingles, h1, h2 (hashes of the set), bands (array), s0.. (odd sketch); NULLs for empty sets."""
+def signatures(docs: DataFrame, ids: list[str], text_col: str, width: int, bands: int, rows: int) -> DataFrame:
+    """Per row: the columns ``ids``, n_shingles, h1, h2 (hashes of the set), bands (array), s0.. (odd sketch); NULLs for empty sets."""
 
     def make():
         shingler, signer = Shingler(width), Signer(bands, rows)
@@ -126,8 +127,8 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, width: int, bands: i
         return sign
 
     signed = per_text(make, "n long, h1 long, h2 long, bands array<long>, sketch array<long>")
-    out = docs.select(F.col(id_col).cast("long").alias("id"), signed(F.col(text_col)).alias("r")).select("id", "r.*")
-    return out.select("id", F.col("n").alias("n_shingles"), "h1", "h2", "bands", *[F.col("sketch")[k].alias(f"s{k}") for k in range(SKETCH_LONGS)])
+    out = docs.select(*ids, signed(F.col(text_col)).alias("r")).select(*ids, "r.*")
+    return out.select(*ids, F.col("n").alias("n_shingles"), "h1", "h2", "bands", *[F.col("sketch")[k].alias(f"s{k}") for k in range(SKETCH_LONGS)])
 
 
 def distance_bound(samples: int, similarity: float) -> int:
@@ -206,15 +207,15 @@ def verify_block(ids: np.ndarray, side: np.ndarray, sets: list[np.ndarray], thre
     return links
 
 
-def verified_links(families: DataFrame, texts: DataFrame, width: int, threshold: float, block_docs: int, block_shingles: int) -> DataFrame:
-    """Links (u, v) within families; families: id, family, n_shingles; texts: id, text."""
+def verified_links(families: DataFrame, with_texts, width: int, threshold: float, block_docs: int, block_shingles: int) -> DataFrame:
+    """Links (u, v) within families; families: id, family, n_shingles; ``with_texts`` adds ``text`` to rows with an ``id``."""
     sizes = families.groupBy("family").agg(
         F.greatest(F.ceil(F.count("id") / block_docs), F.ceil(F.sum("n_shingles") / block_shingles)).cast("int").alias("blocks"))
     placed = families.join(sizes, "family").withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
     # a block meets every other block of its family once; the only block of a family meets itself
     met = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     met = met.select("id", "family", F.least("block", "other").alias("b1"), F.greatest("block", "other").alias("b2"), "block")
-    rows = texts.join(met, "id")
+    rows = with_texts(met)
 
     def verify(batch: pd.DataFrame) -> pd.DataFrame:
         shingler = Shingler(width)
@@ -226,18 +227,43 @@ def verified_links(families: DataFrame, texts: DataFrame, width: int, threshold:
     return rows.select("id", "text", "block", "family", "b1", "b2").groupBy("family", "b1", "b2").applyInPandas(verify, "u long, v long")
 
 
+def same_values(a: DataFrame, b: DataFrame, columns: list[str]):
+    """Condition of a join on equal ``columns``, NULLs equal."""
+    return reduce(lambda x, y: x & y, [a[c].eqNullSafe(b[c]) for c in columns])
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 5, threshold: float = 0.8,
                     bands: int = 30, rows: int = 5, margin: float = 0.2, block_docs: int = 1024,
-                    block_shingles: int = 1_000_000) -> DataFrame:
-    """Per row: id, ``n_shingles``, ``component_id`` (smallest id linked, itself included), ``kept`` (is it that one)."""
-    docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    signed = written(signatures(docs, "id", "text", shingle_words, bands, rows), "signatures")
+                    block_shingles: int = 1_000_000, keys: DataFrame | None = None) -> DataFrame:
+    """Per row: id, ``n_shingles``, ``component_id`` (smallest id linked, itself included), ``kept`` (is it that one).
+
+    ``keys`` numbers documents that have no ``id_col`` themselves: one row for each document, with ``id_col`` and the
+    columns that tell documents apart (NULLs equal, names unlike those of the result). Numbers are joined to signatures
+    and to members of families, so the texts of the others are not shuffled for them.
+    """
+    text = F.col(text_col).cast("string").alias("text")
+    if keys is None:
+        docs = docs.select(F.col(id_col).cast("long").alias("id"), text)
+        signed = written(signatures(docs, ["id"], "text", shingle_words, bands, rows), "signatures")
+
+        def with_texts(met: DataFrame) -> DataFrame:
+            return docs.filter("id IS NOT NULL").join(met, "id")
+    else:
+        own = [c for c in keys.columns if c != id_col]
+        keys = keys.select(F.col(id_col).cast("long").alias("id"), *own)
+        docs = docs.select(*own, text)
+        bare = written(signatures(docs, own, "text", shingle_words, bands, rows), "bare")
+        signed = written(bare.join(keys, same_values(bare, keys, own)).select("id", *[bare[c] for c in bare.columns if c not in own]), "signatures")
+
+        def with_texts(met: DataFrame) -> DataFrame:
+            members = written(met.join(keys, "id"), "met")
+            return docs.join(members, same_values(docs, members, own)).select("text", *met.columns)
     full = signed.filter("n_shingles > 0 AND id IS NOT NULL")
     sets = written(full.groupBy("h1", "h2", "n_shingles").agg(F.min("id").alias("node")), "sets")
     nodes = full.join(sets.select(F.col("node").alias("id"), "h1", "h2", "n_shingles"), ["id", "h1", "h2", "n_shingles"], "left_semi")
     families = written(near_families(nodes, bands, rows, threshold, margin), "families")
     families = families.join(nodes.select("id", "n_shingles").distinct(), "id")
-    links = verified_links(families, docs.filter("id IS NOT NULL"), shingle_words, threshold, block_docs, block_shingles)
+    links = verified_links(families, with_texts, shingle_words, threshold, block_docs, block_shingles)
     found = components(links)
     labels = sets.join(found, sets["node"] == found["node"], "left").select("h1", "h2", "n_shingles", F.coalesce("component", sets["node"]).alias("component"))
     out = signed.select("id", "n_shingles", "h1", "h2").join(written(labels, "labels"), ["h1", "h2", "n_shingles"], "left")

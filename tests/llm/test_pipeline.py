@@ -8,6 +8,7 @@ import pytest
 
 import __spark_entry__ as E
 import corpus_pipeline as P
+from rollmatch.llm import neardup
 from rollmatch.llm.bpe import Decoder, Encoder, Vocabulary
 from rollmatch.llm.catalog import QUERIES
 from tests.conftest import SF_SMALL
@@ -73,3 +74,18 @@ def test_near_dedup_drops_only_copies_of_what_stays(spark, docs):
     got = sorted(((r["doc_id"] or 0, r["text"].replace(" more", "")) for r in out))
     # different texts of id 2 both stay, one of the three texts without an id, and no copy of document 1
     assert got == sorted([(1, text(0)), (2, text(1)), (2, text(2)), (0, text(3)), (3, text(4))])
+
+
+@pytest.mark.parametrize("repeated", [False, True])
+def test_near_dedup_leaves_texts_in_place(spark, docs, monkeypatch, repeated):
+    seen, plain = [], P.written
+    for module in (P, neardup):
+        monkeypatch.setattr(module, "written", lambda df, tag: seen.append((tag, df.columns)) or plain(df, tag))
+    text = lambda k: " ".join(f"word{i}" for i in range(k, k + 50))
+    rows = [(i, text(100 * i)) for i in range(5)] + [(9, text(0) + " more"), (None, text(900))]
+    out = P.near_dedup(spark, docs(rows + rows[2:] if repeated else rows), SF_SMALL)
+    # no table but the one of repeated rows holds texts, and the last join moves none
+    assert [tag for tag, columns in seen if "text" in columns] == ["once"] * repeated
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert sorted((r["doc_id"] or -1, r["text"]) for r in out.collect()) == sorted((i or -1, t) for i, t in rows if i != 9)
